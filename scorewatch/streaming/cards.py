@@ -59,3 +59,24 @@ def pages_from_cards(cards: DataFrame, page_size: int) -> DataFrame:
     return grouped.select(F.to_json(F.struct(
         "page", F.lit(page_size).cast("long").alias("page_size"), total.alias("total"), "items"))
         .alias("value"))
+
+
+CARD_TOPIC = "cards.api"
+
+
+def card_events(pages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+    """Feed pages -> keyed, anonymized card events ``topic, key, value``.
+    PAN and CVV never leave this projection."""
+    anon = anonymize(explode_pages(pages), ingested_at)
+    return encode_card_events(anon).select(F.lit(CARD_TOPIC).alias("topic"), "key", "value")
+
+
+def publish_card_events(events: DataFrame, bootstrap: str | None = None, path: str | None = None) -> None:
+    """Write card events to the broker topic, or as JSON lines to ``path``."""
+    if bootstrap:
+        (events.select("key", "value").write.format("kafka")
+         .option("kafka.bootstrap.servers", bootstrap).option("topic", CARD_TOPIC).save())
+    elif path:
+        events.write.mode("append").json(path)
+    else:
+        raise ValueError("give a broker or a path")

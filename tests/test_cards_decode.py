@@ -1,0 +1,92 @@
+import datetime as dt
+import json
+
+from pyspark.sql import functions as F
+
+from scorewatch.streaming import cards, decode
+
+D = dt.datetime
+
+
+def test_mask_pan_and_cardholder(spark):
+    rows = [(1, "4111 1111 1111 1234", "JUAN P."), (2, "12", "SOFIA"), (3, None, "  ANA   M. "),
+            (4, "ab-98-76", ""), (5, "4000", None)]
+    df = spark.createDataFrame(rows, "card_id long, pan string, cardholder string").select(
+        "card_id", F.lit(1).alias("user_id"), "pan", F.lit("123").alias("cvv"), F.lit("01/27").alias("exp_date"),
+        F.lit("visa").alias("card_type"), "cardholder")
+    out = cards.anonymize(df, F.lit(D(2024, 1, 1)))
+    assert "pan" not in out.columns and "cvv" not in out.columns
+    got = {r.card_id: (r.pan_last_masked, r.cardholder_masked) for r in out.collect()}
+    assert got == {
+        1: ("**** **** **** 1234", "JU** P."),
+        2: ("**** **** **** 12", "SO** S."),
+        3: ("**** **** **** ", "AN** M."),
+        4: ("**** **** **** 9876", ""),
+        5: ("**** **** **** 4000", ""),
+    }
+
+
+def test_pages_round_trip(spark):
+    page = {"page": 1, "page_size": 2, "total": 3, "items": [
+        {"card_id": 1, "user_id": 9, "pan": "4111111111111111", "cvv": "999", "exp_date": "01/27",
+         "card_type": "visa", "cardholder": "MARIA G."},
+        {"card_id": 2, "user_id": 8, "pan": "5500", "cvv": "111", "exp_date": "02/28",
+         "card_type": "amex", "cardholder": "SOFIA"}]}
+    pages = spark.createDataFrame([(json.dumps(page),), (json.dumps({"page": 2, "items": []}),)], "value string")
+    ev = cards.card_events(pages, F.lit(D(2024, 1, 1))).collect()
+    assert [r.key for r in ev] == ["1", "2"]
+    assert all("pan\"" not in r.value and "cvv" not in r.value for r in ev)
+    back = decode.decode_cards(spark.createDataFrame([(r.value,) for r in ev], "value string")).collect()
+    assert back[0].pan_last_masked == "**** **** **** 1111" and back[0].ingested_at == D(2024, 1, 1)
+
+
+def _tx(**kw):
+    base = {"id": 1, "user_id": 2, "amount": "10.50", "merchant_category": "m", "location": "x",
+            "is_flagged_fraud": True, "created_at": "2024-01-01T10:00:00Z"}
+    base.update(kw)
+    return json.dumps({k: v for k, v in base.items() if v is not ...})
+
+
+def test_decode_transactions_policy(spark):
+    values = [
+        (None, "null value"), ("", "empty"), ("{bad", "malformed"), ("[1]", "not an object"),
+        (_tx(id=10, created_at=...), "no created_at"), (_tx(id=11, created_at="junk"), "junk ts"),
+        (_tx(id=12, created_at="2026"), "year only"),
+        (_tx(id=13, amount="AAEC"), "bad amount"), (_tx(id=14, amount=""), "empty amount"),
+        (_tx(id=15, amount=None), "null amount"),
+        (_tx(id=20, created_at="2024-01-01T10:00:00"), "naive = UTC"),
+        (_tx(id=21, created_at="2024-01-01T10:00:00Z"), "Z"),
+        (_tx(id=22, created_at="2024-01-01T10:00:00-03:00"), "offset"),
+        (_tx(id=23, is_flagged_fraud=None), "null flag"),
+        (_tx(id=24, is_flagged_fraud=...), "missing flag"),
+        (_tx(id=25, amount=12.25), "numeric amount"),
+    ]
+    df = spark.createDataFrame(values, "value string, why string")
+    out = {r.id: r for r in decode.decode_transactions(df).collect()}
+    assert sorted(out) == [20, 21, 22, 23, 24, 25]
+    assert out[20].created_at == D(2024, 1, 1, 10) == out[21].created_at
+    assert out[22].created_at == D(2024, 1, 1, 13)
+    assert out[23].is_flagged_fraud is False and out[24].is_flagged_fraud is False
+    assert out[25].amount == 12.25 and out[20].amount == 10.5
+
+
+def test_decode_users_keeps_bad_limit(spark):
+    ok = {"id": 1, "nombre": "A", "scoring_crediticio": 700, "limite_credito": "x1",
+          "status_riesgo": "bajo", "location": "L", "updated_at": "2024-01-01T00:00:00Z"}
+    bad_ts = dict(ok, id=2, updated_at="never")
+    df = spark.createDataFrame([(json.dumps(ok),), (json.dumps(bad_ts),)], "value string")
+    out = decode.decode_users(df).collect()
+    assert [(r.id, r.limite_credito) for r in out] == [(1, None)]
+
+
+def test_cdc_envelope_unwrap(spark):
+    after = {"id": 5, "user_id": 1, "amount": "1.00", "merchant_category": "m", "location": None,
+             "is_flagged_fraud": False, "created_at": "2024-01-01T00:00:00Z"}
+    vals = [json.dumps({"before": None, "after": json.dumps(after), "op": "c"}),
+            json.dumps({"payload": {"after": json.dumps(dict(after, id=6)), "op": "u"}}),
+            json.dumps({"before": json.dumps(after), "after": None, "op": "d"}),
+            json.dumps(dict(after, id=7)),
+            json.dumps({"before": None, "after": dict(after, id=8), "op": "r"})]
+    df = spark.createDataFrame([(v,) for v in vals], "value string")
+    out = decode.decode_transactions(decode.unwrap_cdc(df)).collect()
+    assert sorted(r.id for r in out) == [5, 6, 7, 8]
