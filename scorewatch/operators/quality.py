@@ -5,9 +5,11 @@ offending rows, except ``unique``, which counts duplicated values (NULLs are
 ignored), as the usual warehouse test does. NULL passes ``between`` and
 ``accepted_values``.
 
-All row-level checks of one model run in a single aggregate pass (one scan,
-no shuffle beyond the final one-row merge). Each ``unique`` check is a
-group-by on its column with map-side partial counts.
+A model with one ``unique`` column gets all its checks from one scan: a
+group-by on that column (map-side partial counts, so a hot duplicate value is
+collapsed before the shuffle) that also sums the row-level failures, then a
+one-row merge. Otherwise row-level checks share one global aggregate and each
+``unique`` check is its own group-by.
 """
 
 from __future__ import annotations
@@ -49,6 +51,21 @@ def _row(check: Check, failures: Column) -> list[Column]:
             F.lit(check.test).alias("test"), failures.cast("bigint").alias("failures")]
 
 
+def _single_pass(df: DataFrame, unique: Check, row_checks: Sequence[Check]) -> DataFrame:
+    """All checks of a model with one ``unique`` column in one aggregation:
+    group by that column (partial counts map-side), then one global merge."""
+    key = F.col(unique.column)
+    per_key = df.groupBy(key.alias("_k")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(_failing(ch)).alias(f"_f{i}") for i, ch in enumerate(row_checks)])
+    agg = per_key.agg(
+        F.count_if(F.col("_k").isNotNull() & (F.col("_n") > 1)).alias("_u"),
+        *[F.sum(f"_f{i}").alias(f"_f{i}") for i in range(len(row_checks))])
+    rows = [F.struct(*_row(unique, F.col("_u")))]
+    rows += [F.struct(*_row(ch, F.coalesce(F.col(f"_f{i}"), F.lit(0)))) for i, ch in enumerate(row_checks)]
+    return agg.select(F.inline(F.array(*rows)))
+
+
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row per check: model, column_name, test, failures."""
     parts: list[DataFrame] = []
@@ -58,15 +75,18 @@ def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
     for model, group in by_model.items():
         df = models[model]
         row_checks = [ch for ch in group if ch.test != "unique"]
+        uniques = [ch for ch in group if ch.test == "unique"]
+        if len(uniques) == 1:
+            parts.append(_single_pass(df, uniques[0], row_checks))
+            continue
         if row_checks:
             agg = df.agg(*[F.count_if(_failing(ch)).alias(f"_f{i}") for i, ch in enumerate(row_checks)])
             pairs = [F.struct(*_row(ch, F.col(f"_f{i}"))) for i, ch in enumerate(row_checks)]
             parts.append(agg.select(F.inline(F.array(*pairs))))
-        for ch in group:
-            if ch.test == "unique":
-                dup = (df.filter(F.col(ch.column).isNotNull()).groupBy(ch.column)
-                       .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1))
-                parts.append(dup.agg(*_row(ch, F.count(F.lit(1)))))
+        for ch in uniques:
+            dup = (df.filter(F.col(ch.column).isNotNull()).groupBy(ch.column)
+                   .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1))
+            parts.append(dup.agg(*_row(ch, F.count(F.lit(1)))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

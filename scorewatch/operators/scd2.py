@@ -84,12 +84,23 @@ def snapshot_step(prev: DataFrame, batch: DataFrame, as_of: Column, key: str = "
 
 
 def snapshot_batches(batches: Sequence[DataFrame], run_times: Sequence[Column],
-                     key: str = "user_id", updated_at: str = "updated_at") -> DataFrame:
+                     key: str = "user_id", updated_at: str = "updated_at",
+                     checkpoint_after: int = 2) -> DataFrame:
     """Fold a sequence of batches into a snapshot (first run, then steps).
 
-    ``run_times[i]`` is the run time of ``batches[i + 1]``.
+    ``run_times[i]`` is the run time of ``batches[i + 1]``. A step reads the
+    previous snapshot twice (closed and open versions), so an in-memory fold
+    doubles its plan per step; beyond ``checkpoint_after`` steps every
+    intermediate snapshot is checkpointed to the shared checkpoint folder.
     """
+    from scorewatch.session import ensure_checkpoint_dir
     snap = snapshot_initial(batches[0], key, updated_at)
-    for batch, at in zip(batches[1:], run_times):
+    steps = list(zip(batches[1:], run_times))
+    cut = len(steps) > checkpoint_after
+    if cut:
+        ensure_checkpoint_dir(batches[0].sparkSession)
+    for i, (batch, at) in enumerate(steps):
         snap = snapshot_step(snap, batch, at, key, updated_at)
+        if cut and i < len(steps) - 1:
+            snap = snap.checkpoint(eager=True)
     return snap

@@ -47,12 +47,16 @@ class Warehouse:
     def raw_transactions(self) -> DataFrame:
         return td.transactions_raw(self.spark, self.sf_dir)
 
+    @cached_property
+    def user_base(self) -> DataFrame:
+        return td.event_users(self.spark, self.sf_dir)
+
     def raw_users(self, batch: int) -> DataFrame:
-        return td.users_raw(self.spark, self.sf_dir, batch)
+        return td.users_raw(self.spark, self.sf_dir, batch, self.user_base)
 
     @cached_property
     def card_feed(self) -> DataFrame:
-        return td.card_feed(self.spark, self.sf_dir)
+        return td.card_feed(self.spark, self.sf_dir, self.user_base)
 
     @cached_property
     def raw_cards(self) -> DataFrame:

@@ -25,6 +25,15 @@ ALERT_LIST_COLS = ("transaction_id", "user_id", "created_at", "amount_usd", "mer
 FEED_COLS = ("created_at", "user_id", "amount_usd", "merchant_category", *FLAGS)
 
 
+def _since(df: DataFrame, since: Column) -> DataFrame:
+    """``created_at >= since``, plus the same bound on the ``event_date``
+    partition column when the table has one, so the scan prunes days."""
+    out = df.filter(F.col("created_at") >= since)
+    if "event_date" in df.columns:
+        out = out.filter(F.col("event_date") >= F.to_date(since))
+    return out
+
+
 def _for_users(df: DataFrame, users) -> DataFrame:
     if users is None:
         return df
@@ -71,7 +80,7 @@ def fraud_summary(alerts: DataFrame, as_of: Column, hours: int = K.SUMMARY_HOURS
     if not 1 <= hours <= K.SUMMARY_HOURS_MAX:
         raise ValueError(f"hours must be within 1..{K.SUMMARY_HOURS_MAX}")
     since = as_of.cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(hours))
-    recent = alerts.filter(F.col("created_at") >= since)
+    recent = _since(alerts, since)
     return _rate(recent, trunc_ntz("hour", F.col("created_at")), "hora").orderBy(F.col("hora").desc())
 
 
@@ -105,7 +114,7 @@ def alert_feed(alerts: DataFrame, limit: int = K.FEED_LIMIT, as_of: Column | Non
     df = alerts.filter(F.col("is_fraud_alert"))
     if as_of is not None and minutes is not None:
         since = as_of.cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
-        df = df.filter(F.col("created_at") >= since)
+        df = _since(df, since)
     return (df.orderBy(F.col("created_at").desc_nulls_first(), F.col("transaction_id").desc())
             .limit(limit).select(*FEED_COLS))
 

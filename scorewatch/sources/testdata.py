@@ -67,14 +67,16 @@ def event_users(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("c_custkey", "c_name", "c_nationkey", "n_name"))
 
 
-def users_lake(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame:
+def users_lake(spark: SparkSession, sf_dir: str, batch: int = 1, base: DataFrame | None = None) -> DataFrame:
     """User rows as the lake holds them at snapshot run ``batch`` (1, 2, 3).
 
     Batch 2 changes the score of every third user (limit and status follow
     the new score) with an updated_at inside the transaction span; batch 3 is
-    batch 2 without the keys ``id % 50 = 7`` (hard deletes).
+    batch 2 without the keys ``id % 50 = 7`` (hard deletes). ``base`` is
+    :func:`event_users`; passing one frame to every batch lets Spark reuse
+    its exchanges.
     """
-    u = event_users(spark, sf_dir)
+    u = base if base is not None else event_users(spark, sf_dir)
     key = F.col("c_custkey")
     score1 = _score(key)
     if batch == 1:
@@ -101,9 +103,9 @@ def users_lake(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame:
     return out
 
 
-def users_raw(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame:
+def users_raw(spark: SparkSession, sf_dir: str, batch: int = 1, base: DataFrame | None = None) -> DataFrame:
     """``raw.users`` for one batch: the lake rows typed by the raw loader."""
-    lake = users_lake(spark, sf_dir, batch)
+    lake = users_lake(spark, sf_dir, batch, base)
     return lake.select(
         "id", "nombre", F.col("scoring_crediticio").cast("int").alias("scoring_crediticio"),
         F.col("limite_credito").cast(MONEY).alias("limite_credito"),
@@ -148,7 +150,7 @@ def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.withColumn("amount", F.col("amount").cast(MONEY))
 
 
-def card_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def card_feed(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """Raw cards as the card feed serves them (PAN and CVV in clear), one per
     customer plus a re-delivery at 00:05 for every fourth card.
 
@@ -156,7 +158,7 @@ def card_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     subquery, evaluated once as its own job.
     """
     customer = table(spark, sf_dir, "customer").select("c_custkey")
-    n_users = event_users(spark, sf_dir).select(F.count(F.lit(1))).scalar()
+    n_users = (base if base is not None else event_users(spark, sf_dir)).select(F.count(F.lit(1))).scalar()
     k = F.col("c_custkey")
     cards = customer.select(
         k.alias("card_id"),

@@ -52,10 +52,17 @@ def test_build_all_from_events(spark, tmp):
     stg_tx = staging.stg_transactions(td.transactions_raw(spark, SF_SMALL))
     dim = marts.dim_users(scd2.snapshot_initial(staging.stg_users(td.users_raw(spark, SF_SMALL, 1))))
     want = marts.fct_fraud_alerts(stg_tx, dim)
-    got = spark.read.parquet(paths["fct_fraud_alerts"])
+    mart = spark.read.parquet(paths["fct_fraud_alerts"])
+    got = mart.drop("event_date")
     assert got.count() == want.count() == 1000
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
+    from scorewatch.plans import serving
+    summary = serving.fraud_summary(mart, ntz("2024-01-01 06:00:00"), 3)
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert summary.count() == 3
+
     report = {(r.model, r.column_name, r.test): r.failures
               for r in spark.read.parquet(paths["dq_report"]).collect()}
     assert len(report) == 26 and all(v == 0 for v in report.values()), report
