@@ -136,3 +136,27 @@ MODEL_CHECKS: tuple[Check, ...] = (
     Check("fct_fraud_alerts", "is_fraud_alert", "accepted_values", values=(True, False)),
 )
 # -------------------------------------------------------------------------
+
+
+# --- fixed values: secrets that must never reach the lake ---------------
+FORBIDDEN_COLUMNS = ("pan", "cvv")
+LONG_DIGIT_RUN = r"[0-9]{5,}"
+# -------------------------------------------------------------------------
+
+
+def pii_findings(df: DataFrame, model: str = "cards") -> DataFrame:
+    """No plaintext card data (DQ8): one row per string column with the
+    count of values holding five or more consecutive digits, plus one row
+    per forbidden column present. All counts come from one aggregate pass."""
+    strings = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    checks = [F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"),
+                       F.lit("no_long_digit_run").alias("test"),
+                       F.col(f"_p{i}").cast("bigint").alias("failures"))
+              for i, c in enumerate(strings)]
+    agg = df.agg(*[F.count_if(F.col(c).rlike(LONG_DIGIT_RUN)).alias(f"_p{i}")
+                   for i, c in enumerate(strings)])
+    present = [c for c in FORBIDDEN_COLUMNS if c in df.columns]
+    checks += [F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"),
+                        F.lit("forbidden_column").alias("test"), F.lit(1).cast("bigint").alias("failures"))
+               for c in present]
+    return agg.select(F.inline(F.array(*checks)))

@@ -463,6 +463,10 @@ ORACLE_SQL: dict[str, str] = {
     "dq_unique": _dq_sql(("unique",)),
     "dq_between": _dq_sql(("between",)),
     "dq_accepted_values": _dq_sql(("accepted_values",)),
+    "dq_no_pii": _with("craw") + "\nUNION ALL\n".join(
+        f"SELECT 'cards' AS model, '{c}' AS column_name, 'no_long_digit_run' AS test, "
+        f"count(*) FILTER (WHERE regexp_matches({c}, '[0-9]{{5,}}')) AS failures FROM craw"
+        for c in ("pan_last_masked", "card_type", "cardholder_masked", "exp_date")),
     "dq_relationship": _with("stx", "suall") + """
     SELECT 'stg_transactions' AS model, 'user_id' AS column_name, 'relationships' AS test,
            count(*) AS failures

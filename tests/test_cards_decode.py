@@ -90,3 +90,12 @@ def test_cdc_envelope_unwrap(spark):
     df = spark.createDataFrame([(v,) for v in vals], "value string")
     out = decode.decode_transactions(decode.unwrap_cdc(df)).collect()
     assert sorted(r.id for r in out) == [5, 6, 7, 8]
+
+
+def test_pii_findings(spark):
+    from scorewatch.operators.quality import pii_findings
+    leaky = spark.createDataFrame([(1, "4111111111111111", "x"), (2, "**** 1234", "123")],
+                                  "card_id long, pan string, note string")
+    got = {(r.column_name, r.test): r.failures for r in pii_findings(leaky).collect()}
+    assert got == {("pan", "no_long_digit_run"): 1, ("note", "no_long_digit_run"): 0,
+                   ("pan", "forbidden_column"): 1}
