@@ -99,3 +99,19 @@ def test_pii_findings(spark):
     got = {(r.column_name, r.test): r.failures for r in pii_findings(leaky).collect()}
     assert got == {("pan", "no_long_digit_run"): 1, ("note", "no_long_digit_run"): 0,
                    ("pan", "forbidden_column"): 1}
+
+
+def test_cards_command(spark, tmp):
+    from scorewatch.__main__ import main
+    import os
+    os.makedirs(f"{tmp}/pages")
+    page = {"page": 1, "page_size": 50, "total": 1, "items": [
+        {"card_id": 3, "user_id": 1, "pan": "5500 0000 0000 0004", "cvv": "737", "exp_date": "03/29",
+         "card_type": "mastercard", "cardholder": "MARIA G."}]}
+    with open(f"{tmp}/pages/page-1.json", "w") as f:
+        json.dump(page, f, indent=2)
+    main(["cards", "--pages", f"{tmp}/pages", "--events", f"{tmp}/events"])
+    ev = spark.read.json(f"{tmp}/events").collect()
+    assert [(r.topic, r.key) for r in ev] == [("cards.api", "3")]
+    body = json.loads(ev[0].value)
+    assert body["pan_last_masked"] == "**** **** **** 0004" and "cvv" not in body

@@ -84,6 +84,20 @@ def test_build_all_from_events(spark, tmp):
     assert snap.count() == 15 + 5 and snap.filter(F.col("dbt_valid_to").isNull()).count() == 15
 
 
+    # Command line over the same output.
+    from scorewatch.__main__ import main
+    import contextlib, io, json as _json
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        main(["serve", "alerts", "--out", out, "--limit", "5"])
+        main(["serve", "alerts-by-rule", "--out", out])
+        main(["serve", "credit-score", "--out", out, "--user", "3"])
+        main(["report", "--out", out])
+    lines = [_json.loads(x) for x in buf.getvalue().splitlines()]
+    assert len(lines) == 5 + 5 + 2 + 26
+    assert [x["user_id"] for x in lines[10:12]] == [3, 3]
+
+
 def test_entry_and_registry(spark):
     df = E.entry(spark)
     assert df.columns[0] == "transaction_id" and df.count() == 1000
