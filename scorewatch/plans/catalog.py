@@ -179,6 +179,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # decode
     "decode_transactions": _w(lambda w: w.decoded_transactions()),
     "decode_users": _w(lambda w: w.decoded_users()),
+    "decode_cards": _w(lambda w: decode.decode_cards(card_jobs.encode_card_events(w.raw_cards)).drop("key")),
     # snapshot
     "scd2_initial": _w(lambda w: w.snapshot(1)),
     "scd2_snapshot": _w(lambda w: w.snapshot(3)),

@@ -409,6 +409,7 @@ ORACLE_SQL: dict[str, str] = {
     SELECT CAST(id AS BIGINT) AS id, nombre, CAST(scoring_crediticio AS BIGINT) AS scoring_crediticio,
            CAST(limite_credito AS DOUBLE) AS limite_credito, status_riesgo, location, updated_at
     FROM u2""",
+    "decode_cards": _with("craw") + "SELECT * FROM craw",
     "scd2_initial": _with("s1") + "SELECT * FROM s1",
     "scd2_snapshot": _with("s3") + "SELECT * FROM s3",
     "scd2_hard_delete": _with("s3") + """
