@@ -33,8 +33,24 @@ MOVEMENT_CARDS = 200
 # -------------------------------------------------------------------------
 
 
+# Schemas of the shared test tables we read (given, so no inference job runs).
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+              "props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _score(key: Column) -> Column:
@@ -114,7 +130,12 @@ def users_raw(spark: SparkSession, sf_dir: str, batch: int = 1, base: DataFrame
 
 def transactions_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions as the lake holds them (amount as double), including the
-    re-delivered copies of every 50th id (amount + 1, one second later)."""
+    re-delivered copies of every 50th id (amount + 1, one second later).
+
+    The user's location comes from the event's customer and its nation (the
+    same value batch-1 users carry); the join sides are planned from file
+    sizes, so small dimensions are broadcast and large ones shuffled.
+    """
     ev = table(spark, sf_dir, "events")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n_user = table(spark, sf_dir, "nation").select(
