@@ -54,3 +54,21 @@ def test_long_fold_checkpoints(spark):
     runs = [ntz(f"2024-01-{10 + i:02d} 00:00:00") for i in range(5)]
     snap = scd2.snapshot_batches(batches, runs)
     assert snap.count() == 6 and snap.filter(F.col("dbt_valid_to").isNull()).count() == 1
+
+
+def test_asof_join_boundaries(spark):
+    from scorewatch.operators.asof import asof_join
+    versions = spark.createDataFrame([
+        (1, "v1", D(2024, 1, 1), D(2024, 1, 3)),
+        (1, "v2", D(2024, 1, 3), None),
+        (2, "w1", D(2024, 1, 2), D(2024, 1, 4)),      # closed by delete
+    ], "user_id long, user_sk string, valid_from timestamp_ntz, dbt_valid_to timestamp_ntz")
+    facts = spark.createDataFrame([
+        (10, 1, D(2023, 12, 31)),   # before any version
+        (11, 1, D(2024, 1, 1)),     # at valid_from: v1
+        (12, 1, D(2024, 1, 3)),     # at valid_to of v1: v2
+        (13, 2, D(2024, 1, 4)),     # at delete time: none
+        (14, 3, D(2024, 1, 4)),     # unknown user
+    ], "tx long, user_id long, created_at timestamp_ntz")
+    got = {r.tx: r.user_sk for r in asof_join(facts, versions, "user_id", "created_at", select=("user_sk",)).collect()}
+    assert got == {10: None, 11: "v1", 12: "v2", 13: None, 14: None}
