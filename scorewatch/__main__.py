@@ -1,7 +1,7 @@
 """Command line: the jobs of the pipeline and the served queries.
 
     python -m scorewatch ingest  --events DIR | --bootstrap HOST  --lake DIR --checkpoint DIR [--topic X] [--once]
-    python -m scorewatch cards   --pages DIR (--events DIR | --bootstrap HOST)
+    python -m scorewatch cards   --pages DIR (--events DIR | --bootstrap HOST) [--max-pages N]
     python -m scorewatch load    --lake DIR --landing DIR --raw DIR [--single t1,t2]
     python -m scorewatch build   --raw DIR --out DIR [--run-at 'YYYY-MM-DD HH:MM:SS']
     python -m scorewatch report  --out DIR
@@ -83,6 +83,7 @@ def main(argv: list[str] | None = None) -> int:
 
     c = sub.add_parser("cards", help="card feed pages -> anonymized card events")
     c.add_argument("--pages", required=True), c.add_argument("--events"), c.add_argument("--bootstrap")
+    c.add_argument("--max-pages", type=int, help="process pages 1..N only (default: all)")
 
     lo = sub.add_parser("load", help="full refresh of the raw tables")
     lo.add_argument("--lake", required=True), lo.add_argument("--landing", required=True)
@@ -120,7 +121,8 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "cards":
         from scorewatch.streaming import cards
         pages = spark.read.text(args.pages, wholetext=True)
-        cards.publish_card_events(cards.card_events(pages), bootstrap=args.bootstrap, path=args.events)
+        cards.publish_card_events(cards.card_events(pages, max_pages=args.max_pages),
+                                  bootstrap=args.bootstrap, path=args.events)
     elif args.cmd == "load":
         from scorewatch.sources.lake import load_raw
         tables = args.single.split(",") if args.single else None

@@ -1,8 +1,9 @@
 """End-to-end batch build: raw -> staging -> snapshot -> velocity -> marts ->
 data-quality report (K8, T7).
 
-Staging models are temporary views (recomputed by each consumer, as views
-are); the snapshot, the intermediate model and the marts are written tables.
+Staging models are temporary views; the two deduplicated ones with several
+consumers are written once per build and the views read them. The snapshot,
+the intermediate model and the marts are written tables.
 The snapshot runs before the marts, so ``dim_users`` always reflects the
 current batch.
 
@@ -79,6 +80,13 @@ def build_all(spark: SparkSession, raw_root: str, out_root: str, run_at: Column)
         "stg_cards": staging.stg_cards(raw["cards"]),
         "stg_card_movements": staging.stg_card_movements(raw["card_movements"]),
     }
+    # The deduplicated staging models feed several consumers (transactions:
+    # velocity and both facts; users: the snapshot): write them once instead
+    # of re-running scan + dedup shuffle per consumer. Views stay views.
+    for name in ("stg_transactions", "stg_users"):
+        path = f"{out}/staging/{name}"
+        stg[name].write.mode("overwrite").parquet(path)
+        stg[name] = spark.read.parquet(path)
     for name, df in stg.items():
         df.createOrReplaceTempView(name)
 

@@ -16,10 +16,12 @@ ANON_COLS = ("card_id", "user_id", "pan_last_masked", "card_type", "cardholder_m
              "exp_date", "ingested_at")
 
 
-def explode_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
+def explode_pages(pages: DataFrame, value_col: str = "value", max_pages: int | None = None) -> DataFrame:
     """Card-feed page JSON ``{page, page_size, total, items[]}`` -> one row
-    per card (S10)."""
+    per card (S10); ``max_pages`` keeps pages 1..max_pages only."""
     p = pages.select(F.from_json(F.col(value_col), FEED_PAGE).alias("p"))
+    if max_pages:
+        p = p.filter(F.col("p.page") <= max_pages)
     return p.select(F.inline(F.coalesce(F.col("p.items"), F.array().cast(FEED_PAGE["items"].dataType))))
 
 
@@ -64,10 +66,11 @@ def pages_from_cards(cards: DataFrame, page_size: int) -> DataFrame:
 CARD_TOPIC = "cards.api"
 
 
-def card_events(pages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+def card_events(pages: DataFrame, ingested_at: Column | None = None,
+                max_pages: int | None = None) -> DataFrame:
     """Feed pages -> keyed, anonymized card events ``topic, key, value``.
     PAN and CVV never leave this projection."""
-    anon = anonymize(explode_pages(pages), ingested_at)
+    anon = anonymize(explode_pages(pages, max_pages=max_pages), ingested_at)
     return encode_card_events(anon).select(F.lit(CARD_TOPIC).alias("topic"), "key", "value")
 
 

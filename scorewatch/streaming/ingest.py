@@ -57,14 +57,21 @@ def select_topics(selector: str | None = None) -> list[Route]:
 
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str,
-                 max_offsets_per_trigger: int = K.SINK_FLUSH_ROWS) -> DataFrame:
-    """Broker source from the earliest offset; rows ``topic, key, value``."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap)
-            .option("subscribe", topic)
-            .option("startingOffsets", "earliest")
-            .option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-            .load()
+                 max_offsets_per_trigger: int = K.SINK_FLUSH_ROWS,
+                 min_partitions: int | None = None) -> DataFrame:
+    """Broker source from the earliest offset; rows ``topic, key, value``.
+
+    ``min_partitions`` splits large topic partitions into more Spark tasks
+    (a topic with few partitions does not cap the decode parallelism).
+    """
+    r = (spark.readStream.format("kafka")
+         .option("kafka.bootstrap.servers", bootstrap)
+         .option("subscribe", topic)
+         .option("startingOffsets", "earliest")
+         .option("maxOffsetsPerTrigger", max_offsets_per_trigger))
+    if min_partitions:
+        r = r.option("minPartitions", min_partitions)
+    return (r.load()
             .select(F.col("topic"), F.col("key").cast("string"), F.col("value").cast("string")))
 
 
