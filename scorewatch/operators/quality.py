@@ -138,6 +138,25 @@ MODEL_CHECKS: tuple[Check, ...] = (
 # -------------------------------------------------------------------------
 
 
+# --- fixed values: constraints of the source tables (DQ6) ----------------
+SOURCE_CHECKS: tuple[Check, ...] = (
+    Check("raw_users", "id", "not_null"),
+    Check("raw_users", "nombre", "not_null"),
+    Check("raw_users", "scoring_crediticio", "not_null"),
+    Check("raw_users", "scoring_crediticio", "between", min_value=300, max_value=850),
+    Check("raw_users", "limite_credito", "not_null"),
+    Check("raw_users", "status_riesgo", "not_null"),
+    Check("raw_users", "updated_at", "not_null"),
+    Check("raw_transactions", "id", "not_null"),
+    Check("raw_transactions", "user_id", "not_null"),
+    Check("raw_transactions", "amount", "not_null"),
+    Check("raw_transactions", "merchant_category", "not_null"),
+    Check("raw_transactions", "is_flagged_fraud", "not_null"),
+    Check("raw_transactions", "created_at", "not_null"),
+)
+# -------------------------------------------------------------------------
+
+
 # --- fixed values: secrets that must never reach the lake ---------------
 FORBIDDEN_COLUMNS = ("pan", "cvv")
 LONG_DIGIT_RUN = r"[0-9]{5,}"

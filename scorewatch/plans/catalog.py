@@ -212,6 +212,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_unique": _w(lambda w: w.dq(("unique",))),
     "dq_between": _w(lambda w: w.dq(("between",))),
     "dq_accepted_values": _w(lambda w: w.dq(("accepted_values",))),
+    "dq_source": _w(lambda w: quality.run_checks(
+        {"raw_users": w.raw_users(1).unionByName(w.raw_users(2)).unionByName(w.raw_users(3)),
+         "raw_transactions": w.raw_transactions}, quality.SOURCE_CHECKS)),
     "dq_no_pii": _w(lambda w: quality.pii_findings(w.raw_cards)),
     "dq_relationship": _w(lambda w: quality.relationship_check(
         "stg_transactions", w.stg_transactions, w.stg_users, "user_id", "user_id")),

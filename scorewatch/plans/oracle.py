@@ -12,7 +12,7 @@ without zone, decimal(15,2) money, decimal(18,2) velocity sums, double rates.
 from __future__ import annotations
 
 from scorewatch.functions import constants as K
-from scorewatch.operators.quality import MODEL_CHECKS
+from scorewatch.operators.quality import MODEL_CHECKS, SOURCE_CHECKS
 from scorewatch.plans import catalog
 
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {}
@@ -357,11 +357,12 @@ def _check_sql(ch, src: str) -> str:
 
 _MODEL_CTE = {"stg_transactions": "stx", "stg_users": "suall", "stg_cards": "scard",
               "stg_card_movements": "smv", "int_user_transaction_velocity": "vel", "dim_users": "dim",
-              "fct_transactions": "fct", "fct_fraud_alerts": "fa"}
+              "fct_transactions": "fct", "fct_fraud_alerts": "fa",
+              "raw_users": "uall", "raw_transactions": "traw"}
 
 
-def _dq_sql(tests: tuple[str, ...] | None = None) -> str:
-    checks = [c for c in MODEL_CHECKS if tests is None or c.test in tests]
+def _dq_sql(tests: tuple[str, ...] | None = None, checks=MODEL_CHECKS) -> str:
+    checks = [c for c in checks if tests is None or c.test in tests]
     srcs = sorted({_MODEL_CTE[c.model] for c in checks})
     return _with(*srcs) + "\nUNION ALL\n".join(_check_sql(c, _MODEL_CTE[c.model]) for c in checks)
 
@@ -464,6 +465,7 @@ ORACLE_SQL: dict[str, str] = {
     "dq_unique": _dq_sql(("unique",)),
     "dq_between": _dq_sql(("between",)),
     "dq_accepted_values": _dq_sql(("accepted_values",)),
+    "dq_source": _dq_sql(checks=SOURCE_CHECKS),
     "dq_no_pii": _with("craw") + "\nUNION ALL\n".join(
         f"SELECT 'cards' AS model, '{c}' AS column_name, 'no_long_digit_run' AS test, "
         f"count(*) FILTER (WHERE regexp_matches({c}, '[0-9]{{5,}}')) AS failures FROM craw"
