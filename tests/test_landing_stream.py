@@ -99,3 +99,17 @@ def test_load_raw_is_idempotent(spark, tmp):
     m = read_raw(spark, raw, "card_movements").collect()
     assert [(r.id, r.source_date, r.sourced_from) for r in m] == [(1, "2024-01-01", None)]
     assert read_raw(spark, raw, "users").count() == 0
+
+
+def test_stream_micro_batches(spark, tmp):
+    src, lake, ckpt = f"{tmp}/events", f"{tmp}/lake", f"{tmp}/ckpt"
+    for n in range(3):
+        _events(src, n, [_tx(10 * n + i, f"2024-01-0{n + 1}T00:00:0{i}Z") for i in range(4)])
+    (q,) = start_ingest(file_source(spark, src, max_files_per_trigger=1), lake, ckpt,
+                        selector="transactions", available_now=True)
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 3 and all(p["numInputRows"] == 4 for p in batches)
+    tx = scan_lake(spark, lake, "transactions")
+    assert tx.count() == 12 and tx.select("id").distinct().count() == 12
+    assert sorted(r.day for r in tx.select("day").distinct().collect()) == ["01", "02", "03"]
