@@ -3,6 +3,7 @@
     python -m scorewatch ingest  --events DIR | --bootstrap HOST  --lake DIR --checkpoint DIR [--topic X] [--once]
     python -m scorewatch cards   --pages DIR (--events DIR | --bootstrap HOST) [--max-pages N]
     python -m scorewatch load    --lake DIR --landing DIR --raw DIR [--single t1,t2]
+    python -m scorewatch sync    --lake DIR --raw DIR --checkpoint DIR [--single t1,t2]
     python -m scorewatch build   --raw DIR --out DIR [--run-at 'YYYY-MM-DD HH:MM:SS']
     python -m scorewatch report  --out DIR
     python -m scorewatch serve   QUERY --out DIR [--user N] [--limit N] [--hours N] [--as-of TS] [--write DIR]
@@ -89,6 +90,10 @@ def main(argv: list[str] | None = None) -> int:
     lo.add_argument("--lake", required=True), lo.add_argument("--landing", required=True)
     lo.add_argument("--raw", required=True), lo.add_argument("--single")
 
+    sy = sub.add_parser("sync", help="incremental raw load of the lake tables (new files only)")
+    sy.add_argument("--lake", required=True), sy.add_argument("--raw", required=True)
+    sy.add_argument("--checkpoint", required=True), sy.add_argument("--single")
+
     b = sub.add_parser("build", help="snapshot, velocity, marts and the data-quality report")
     b.add_argument("--raw", required=True), b.add_argument("--out", required=True), b.add_argument("--run-at")
 
@@ -127,6 +132,10 @@ def main(argv: list[str] | None = None) -> int:
         from scorewatch.sources.lake import load_raw
         tables = args.single.split(",") if args.single else None
         print(json.dumps(load_raw(spark, args.lake, args.landing, args.raw, tables)))
+    elif args.cmd == "sync":
+        from scorewatch.sources.lake import sync_raw
+        tables = args.single.split(",") if args.single else ("transactions", "users", "cards")
+        print(json.dumps(sync_raw(spark, args.lake, args.raw, args.checkpoint, tables)))
     elif args.cmd == "build":
         from scorewatch.plans.pipeline import build_all
         print(json.dumps(build_all(spark, args.raw, args.out, _as_of(args.run_at))))

@@ -113,3 +113,23 @@ def test_stream_micro_batches(spark, tmp):
     tx = scan_lake(spark, lake, "transactions")
     assert tx.count() == 12 and tx.select("id").distinct().count() == 12
     assert sorted(r.day for r in tx.select("day").distinct().collect()) == ["01", "02", "03"]
+
+
+def test_sync_raw_follows_the_lake(spark, tmp):
+    from scorewatch.sources.lake import sync_raw
+    src, lake, ckpt, raw_inc, raw_full = (f"{tmp}/{x}" for x in ("ev", "lake", "ckpt", "raw_inc", "raw_full"))
+    _events(src, 1, [_tx(1, "2024-01-01T10:00:00Z"), _tx(2, "2024-01-02T10:00:00Z")])
+    for q in start_ingest(file_source(spark, src), lake, ckpt, selector="transactions", available_now=True):
+        q.awaitTermination()
+    sync_raw(spark, lake, raw_inc, ckpt, tables=["transactions"])
+    assert read_raw(spark, raw_inc, "transactions").count() == 2
+    _events(src, 2, [_tx(3, "2023-12-31T10:00:00Z"), _tx(1, "2024-01-01T10:00:05Z")])   # late + re-delivery
+    for q in start_ingest(file_source(spark, src), lake, ckpt, selector="transactions", available_now=True):
+        q.awaitTermination()
+    sync_raw(spark, lake, raw_inc, ckpt, tables=["transactions"])
+    sync_raw(spark, lake, raw_inc, ckpt, tables=["transactions"])        # nothing new: no change
+    load_raw(spark, lake, f"{tmp}/landing", raw_full, tables=["transactions"])
+    inc = read_raw(spark, raw_inc, "transactions")
+    full = read_raw(spark, raw_full, "transactions")
+    assert inc.count() == 4 and inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
+    assert dict(inc.dtypes)["amount"] == "decimal(15,2)"
