@@ -46,8 +46,11 @@ class SnapshotStore:
         return None if v is None else self.spark.read.parquet(f"{self.root}/v={v}")
 
     def commit(self, snapshot: DataFrame) -> int:
+        """Write the next version, then record it. A folder left by a failed
+        attempt is not in the log, so a retry may overwrite it; readers only
+        ever see logged versions. One writer per store."""
         v = (self.current_version() or 0) + 1
-        snapshot.write.mode("errorifexists").parquet(f"{self.root}/v={v}")
+        snapshot.write.mode("overwrite").parquet(f"{self.root}/v={v}")
         (self.spark.createDataFrame([(v, dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None))], _LOG_SCHEMA)
          .coalesce(1).write.mode("append").parquet(f"{self.root}/_log"))
         return v

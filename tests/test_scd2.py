@@ -72,3 +72,16 @@ def test_asof_join_boundaries(spark):
     ], "tx long, user_id long, created_at timestamp_ntz")
     got = {r.tx: r.user_sk for r in asof_join(facts, versions, "user_id", "created_at", select=("user_sk",)).collect()}
     assert got == {10: None, 11: "v1", 12: "v2", 13: None, 14: None}
+
+
+def test_snapshot_store_retry_after_failed_write(spark, tmp):
+    from scorewatch.plans.pipeline import SnapshotStore, run_snapshot
+    store = SnapshotStore(spark, f"{tmp}/snap")
+    b1 = spark.createDataFrame([(1, 500, D(2024, 1, 1))], S).withColumnRenamed("score", "scoring")
+    assert run_snapshot(store, b1, ntz("2024-01-02 00:00:00")) == 1
+    # A failed attempt left an uncommitted v=2 folder behind.
+    spark.createDataFrame([(9,)], "junk int").write.parquet(f"{tmp}/snap/v=2")
+    assert store.current_version() == 1
+    b2 = spark.createDataFrame([(1, 600, D(2024, 1, 3))], S).withColumnRenamed("score", "scoring")
+    assert run_snapshot(store, b2, ntz("2024-01-04 00:00:00")) == 2
+    assert sorted(r.scoring for r in store.read().collect()) == [500, 600]
