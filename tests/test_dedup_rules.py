@@ -75,3 +75,26 @@ def test_rates_keep_zero_groups_and_rules(spark):
     assert hours[T0] == (1, 0, 0.0) and hours[T0 + dt.timedelta(hours=1)] == (1, 1, 100.0)
     by_rule = {r.regla: r.alertas for r in serving.alerts_by_rule(a).collect()}
     assert len(by_rule) == 5 and by_rule["monto-alto"] == 1 and by_rule["flag-oltp"] == 0
+
+
+def test_dedup_matches_python_on_random_rows(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [(rnd.randint(0, 30), rnd.choice([None, T0, T0 + dt.timedelta(1), T0 + dt.timedelta(2)]),
+             rnd.choice([None, "a", "b", "c"])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, v string")
+
+    def pick(group, latest):
+        # ts: ascending puts NULL last, descending puts NULL first; then v ascending, NULL last.
+        def key(r):
+            ts_key = (r[1] is None, r[1] or T0) if not latest else (r[1] is not None, -(r[1] - T0).total_seconds() if r[1] else 0)
+            return (ts_key, r[2] is None, r[2] or "")
+        return min(group, key=key)
+
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[0], []).append(r)
+    for latest, fn in ((False, keep_earliest), (True, keep_latest)):
+        want = sorted(pick(g, latest) for g in groups.values())
+        got = sorted(tuple(r) for r in fn(df, "k", "ts").collect())
+        assert got == want

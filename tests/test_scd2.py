@@ -85,3 +85,54 @@ def test_snapshot_store_retry_after_failed_write(spark, tmp):
     b2 = spark.createDataFrame([(1, 600, D(2024, 1, 3))], S).withColumnRenamed("score", "scoring")
     assert run_snapshot(store, b2, ntz("2024-01-04 00:00:00")) == 2
     assert sorted(r.scoring for r in store.read().collect()) == [500, 600]
+
+
+def _model(batches, run_times):
+    """Timestamp-strategy snapshot, one batch at a time, in plain Python."""
+    versions = []          # dicts: user_id, score, valid_from, valid_to
+    for i, batch in enumerate(batches):
+        open_by_key = {v["user_id"]: v for v in versions if v["valid_to"] is None}
+        seen = {}
+        for uid, score, ts in batch:
+            seen[uid] = (score, ts)
+        if i > 0:
+            for uid, v in open_by_key.items():
+                if uid not in seen:
+                    v["valid_to"] = run_times[i - 1]
+        for uid, (score, ts) in seen.items():
+            cur = open_by_key.get(uid)
+            if cur is None:
+                versions.append({"user_id": uid, "score": score, "valid_from": ts, "valid_to": None})
+            elif ts > cur["valid_from"]:
+                cur["valid_to"] = ts
+                versions.append({"user_id": uid, "score": score, "valid_from": ts, "valid_to": None})
+    return sorted((v["user_id"], v["score"], v["valid_from"], v["valid_to"]) for v in versions)
+
+
+def test_snapshot_matches_model_on_random_batches(spark):
+    import random
+    rnd = random.Random(11)
+    for _ in range(4):
+        n_batches = rnd.randint(2, 4)
+        day = [D(2024, 1, 1) + dt.timedelta(hours=h) for h in range(0, 200, 7)]
+        batches, last = [], {}
+        for b in range(n_batches):
+            rows = []
+            for uid in range(8):
+                if rnd.random() < 0.2:
+                    continue                                   # absent: hard delete
+                choice = rnd.random()
+                if uid in last and choice < 0.4:
+                    ts = last[uid]                             # unchanged
+                elif uid in last and choice < 0.5:
+                    ts = last[uid] - dt.timedelta(hours=1)     # older: ignored
+                else:
+                    ts = rnd.choice(day) + dt.timedelta(days=30 * b)
+                last[uid] = max(ts, last.get(uid, ts))
+                rows.append((uid, rnd.randint(300, 850), ts))
+            batches.append(rows)
+        runs = [D(2024, 1, 1) + dt.timedelta(days=30 * b + 29) for b in range(1, n_batches)]
+        frames = [spark.createDataFrame(rows or [(0, 0, None)], S).filter("updated_at is not null")
+                  for rows in batches]
+        got = scd2.snapshot_batches(frames, [ntz(r.strftime("%Y-%m-%d %H:%M:%S")) for r in runs])
+        assert _versions(got) == _model(batches, runs)
