@@ -45,9 +45,10 @@ def _emit(df: DataFrame, write: str | None, show: int) -> None:
 
 def serve(spark: SparkSession, args) -> DataFrame:
     from scorewatch.plans import serving
+    from scorewatch.plans.pipeline import read_published
     out = args.out.rstrip("/")
-    dim = spark.read.parquet(f"{out}/marts/dim_users")
-    alerts = spark.read.parquet(f"{out}/marts/fct_fraud_alerts")
+    dim = read_published(spark, f"{out}/marts/dim_users")
+    alerts = read_published(spark, f"{out}/marts/fct_fraud_alerts")
     users = [args.user] if args.user is not None else None
     q = args.query
     if q == "credit-score":
@@ -140,7 +141,8 @@ def main(argv: list[str] | None = None) -> int:
         from scorewatch.plans.pipeline import build_all
         print(json.dumps(build_all(spark, args.raw, args.out, _as_of(args.run_at))))
     elif args.cmd == "report":
-        _emit(spark.read.parquet(f"{args.out.rstrip('/')}/reports/dq_report"), None, 1000)
+        from scorewatch.plans.pipeline import read_published
+        _emit(read_published(spark, f"{args.out.rstrip('/')}/reports/dq_report"), None, 1000)
     elif args.cmd == "serve":
         _emit(serve(spark, args), args.write, args.show)
     return 0

@@ -7,15 +7,17 @@ the intermediate model and the marts are written tables.
 The snapshot runs before the marts, so ``dim_users`` always reflects the
 current batch.
 
-Snapshot store: Parquet has no MERGE, so each snapshot step writes a new
+Published tables (snapshot, intermediate model, marts, report) are
+versioned: Parquet has no MERGE or atomic replace, so each build writes a new
 folder ``v=<n>`` and then appends one row to a small commit log ``_log``;
-readers take the highest committed version. A failed step leaves the
-previous version current; nothing is ever overwritten in place.
+readers take the highest committed version. A failed build leaves the
+previous versions current; nothing published is overwritten in place.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -29,10 +31,13 @@ _LOG_SCHEMA = T.StructType([T.StructField("version", T.LongType()),
                             T.StructField("committed_at", T.TimestampNTZType())])
 
 
-class SnapshotStore:
+class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def path(self, version: int) -> str:
+        return f"{self.root}/v={version}"
+
     def current_version(self) -> int | None:
         try:
             row = self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_log").agg(
@@ -43,19 +48,40 @@ class SnapshotStore:
 
     def read(self, version: int | None = None) -> DataFrame | None:
         v = self.current_version() if version is None else version
-        return None if v is None else self.spark.read.parquet(f"{self.root}/v={v}")
+        return None if v is None else self.spark.read.parquet(self.path(v))
 
-    def commit(self, snapshot: DataFrame) -> int:
+    def commit(self, df: DataFrame, writer: Callable[[DataFrame, str], None] | None = None) -> int:
         """Write the next version, then record it. A folder left by a failed
         attempt is not in the log, so a retry may overwrite it; readers only
-        ever see logged versions. One writer per store."""
+        ever see logged versions. One writer per table."""
         v = (self.current_version() or 0) + 1
-        snapshot.write.mode("overwrite").parquet(f"{self.root}/v={v}")
+        if writer is None:
+            df.write.mode("overwrite").parquet(self.path(v))
+        else:
+            writer(df, self.path(v))
         (self.spark.createDataFrame([(v, dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None))], _LOG_SCHEMA)
          .coalesce(1).write.mode("append").parquet(f"{self.root}/_log"))
         return v
 
 
+SnapshotStore = VersionedTable
+
+
+def publish(spark: SparkSession, root: str, df: DataFrame,
+            writer: Callable[[DataFrame, str], None] | None = None) -> str:
+    """Commit ``df`` as the next version of the table at ``root``; returns
+    the version's folder."""
+    table = VersionedTable(spark, root)
+    return table.path(table.commit(df, writer))
+
+
+def read_published(spark: SparkSession, root: str) -> DataFrame:
+    df = VersionedTable(spark, root).read()
+    if df is None:
+        raise FileNotFoundError(f"no committed version under {root}")
+    return df
+
+
 def write_by_date(facts: DataFrame, path: str, ts_col: str = "created_at") -> None:
     """Write a fact table partitioned by ``event_date`` so time-window
     queries prune whole days. Rows are range-partitioned on (date, id)
@@ -96,22 +122,19 @@ def build_all(spark: SparkSession, raw_root: str, out_root: str, run_at: Column)
     store = SnapshotStore(spark, f"{out}/snapshots/snap_users_scoring")
     run_snapshot(store, stg["stg_users"], run_at)
 
-    paths = {
-        "int_user_transaction_velocity": f"{out}/intermediate/int_user_transaction_velocity",
-        "dim_users": f"{out}/marts/dim_users",
-        "fct_transactions": f"{out}/marts/fct_transactions",
-        "fct_fraud_alerts": f"{out}/marts/fct_fraud_alerts",
-    }
-    user_transaction_velocity(stg["stg_transactions"]).write.mode("overwrite").parquet(
-        paths["int_user_transaction_velocity"])
-    marts.dim_users(store.read()).write.mode("overwrite").parquet(paths["dim_users"])
+    stg_tx = stg["stg_transactions"]
+    paths = {"int_user_transaction_velocity": publish(
+        spark, f"{out}/intermediate/int_user_transaction_velocity", user_transaction_velocity(stg_tx))}
+    paths["dim_users"] = publish(spark, f"{out}/marts/dim_users", marts.dim_users(store.read()))
     dim = spark.read.parquet(paths["dim_users"])
-    write_by_date(marts.fct_transactions(stg["stg_transactions"], dim), paths["fct_transactions"])
-    write_by_date(marts.fct_fraud_alerts(stg["stg_transactions"], dim), paths["fct_fraud_alerts"])
+    paths["fct_transactions"] = publish(spark, f"{out}/marts/fct_transactions",
+                                        marts.fct_transactions(stg_tx, dim), write_by_date)
+    paths["fct_fraud_alerts"] = publish(spark, f"{out}/marts/fct_fraud_alerts",
+                                        marts.fct_fraud_alerts(stg_tx, dim), write_by_date)
 
     models = dict(stg)
     models.update({k: spark.read.parquet(p) for k, p in paths.items()})
-    paths["dq_report"] = f"{out}/reports/dq_report"
-    quality.run_checks(models, quality.MODEL_CHECKS).write.mode("overwrite").parquet(paths["dq_report"])
-    paths["snapshot"] = f"{store.root}/v={store.current_version()}"
+    paths["dq_report"] = publish(spark, f"{out}/reports/dq_report",
+                                 quality.run_checks(models, quality.MODEL_CHECKS))
+    paths["snapshot"] = store.path(store.current_version())
     return paths
