@@ -13,11 +13,6 @@ def epoch_micros(c: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), c)
 
 
-def ntz_from_micros(c: Column) -> Column:
-    """Inverse of :func:`epoch_micros`."""
-    return F.timestamp_add("MICROSECOND", c, F.expr(EPOCH_NTZ))
-
-
 def ntz(literal: str) -> Column:
     """A ``timestamp_ntz`` literal from ``'YYYY-MM-DD HH:MM:SS'`` text."""
     return F.lit(literal).cast("timestamp_ntz")

@@ -16,8 +16,6 @@ from scorewatch.operators import rules
 from scorewatch.operators.asof import asof_join
 from scorewatch.operators.velocity import with_velocity
 
-DIM_COLS = ("user_id", "user_sk", "nombre", "scoring_crediticio", "limite_credito",
-            "status_riesgo", "location", "valid_from", "dbt_valid_to", "is_current")
 TX_COLS = ("transaction_id", "user_id", "created_at", "amount_usd", "merchant_category",
            "location", "is_flagged_fraud")
 ALERT_COLS = ("transaction_id", "user_id", "created_at", "amount_usd", "merchant_category",

@@ -64,11 +64,6 @@ LAKE_USER = _s(
     ("status_riesgo", T.StringType()), ("location", T.StringType()),
     ("updated_at", TS))
 
-# Landing CSV: header row, five columns taken by position.
-LANDING_MOVEMENT = _s(
-    ("card_id", T.LongType()), ("date", TS), ("amount", T.StringType()),
-    ("merchant_category", T.StringType()), ("location", T.StringType()))
-
 # Raw warehouse tables.
 RAW_TRANSACTIONS = _s(
     ("id", T.LongType()), ("user_id", T.LongType()), ("amount", MONEY),
