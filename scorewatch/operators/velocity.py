@@ -7,14 +7,16 @@ is ``RANGE BETWEEN (w - 1 µs) PRECEDING AND CURRENT ROW`` over epoch
 microseconds. A NULL user or NULL time matches nothing: both metrics are 0.
 
 Skew: a plain ``partitionBy(user_id)`` sends each user's whole history to one
-task. Instead the time axis is cut into buckets of ``bucket_minutes`` (at
-least the widest window). Each row is owned by its bucket ``b`` and copied,
-payload-free, into the next ``k = ceil(max_window / bucket)`` buckets as
-context. The window runs over ``(user_id, bucket)``, which holds every row an
-owner's frame can reach, and only owner rows are kept. A hot user is spread
-over as many tasks as it has active buckets; the shuffle carries ``1 + k``
-narrow copies per row. All three windows share one partition/order spec, so
-Spark evaluates them after a single exchange and sort.
+task. Instead the time axis is cut into buckets of ``bucket_minutes``
+(default four times the widest window). Each row is owned by its bucket
+``b``; it is also copied, payload-free, into a following bucket ``b + j``
+(``j <= k = ceil(max_window / bucket)``) when it lies within the widest
+window before that bucket's start, i.e. only where some owner's frame can
+reach it. The window runs over ``(user_id, bucket)`` and only owner rows are
+kept. A hot user is spread over as many tasks as it has active buckets; with
+the default width about a quarter of the rows travel twice, as narrow
+copies. All windows share one partition/order spec, so Spark evaluates them
+after a single exchange and sort.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ def with_velocity(df: DataFrame, user_col: str = "user_id", ts_col: str = "creat
                   metrics: Sequence[str] = ("cnt", "sum")) -> DataFrame:
     """Add ``cnt_{w}min`` / ``sum_{w}min`` columns for each window ``w``."""
     widest = max(windows_min)
-    bucket = bucket_minutes or widest
+    bucket = bucket_minutes or 4 * widest
     if bucket < 1:
         raise ValueError("bucket_minutes must be positive")
     k = math.ceil(widest / bucket)
@@ -45,11 +47,16 @@ def with_velocity(df: DataFrame, user_col: str = "user_id", ts_col: str = "creat
 
     payload = [c for c in df.columns if c not in (user_col, ts_col, amount_col)]
     us = epoch_micros(F.col(ts_col))
+    widest_us = widest * MICROS_PER_MINUTE
     staged = (df.withColumn("_us", us)
               .withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_us)))
               .withColumn("_shift", F.explode(F.sequence(
                   F.lit(0), F.when(F.col("_us").isNull(), F.lit(0)).otherwise(F.lit(k))))))
     owner = F.col("_shift") == 0
+    # A copy is useful only if it is within the widest window of the start of
+    # the bucket it is copied into: (b + j) * bucket - widest < ts.
+    reachable = F.col("_us") > (F.col("_b") + F.col("_shift")) * F.lit(bucket_us) - F.lit(widest_us)
+    staged = staged.filter(owner | reachable)
     # Context copies keep only what the frame needs: user, time, amount.
     spread = staged.select(
         F.col(user_col), F.col(ts_col), F.col(amount_col), "_us", "_shift",

@@ -20,7 +20,7 @@ def test_hot_user_spreads_over_buckets(spark):
         F.lit(Decimal("1.00")).cast("decimal(15,2)").alias("amount_usd"))
     out = with_velocity(df, windows_min=(60,), metrics=("cnt",))
     assert out.count() == n
-    # The hot user's rows are evaluated in one window partition per active hour, not one.
+    # The hot user's rows span 24 hours, so they fall into several window partitions, not one.
     hot = df.filter("user_id = 1").select(F.floor(F.timestamp_diff("MINUTE", F.lit(T0).cast("timestamp_ntz"),
                                                                      F.col("created_at")) / 60).alias("b"))
     assert hot.distinct().count() == 24
