@@ -76,7 +76,7 @@ def with_velocity(df: DataFrame, user_col: str = "user_id", ts_col: str = "creat
                 F.coalesce(F.sum(F.col(amount_col)).over(frame), F.lit(0)))
                 .cast(SUM_TYPE).alias(f"sum_{w}min"))
     out = spread.select("*", *cols).filter(owner)
-    return out.select(*df.columns, *[c for c in out.columns if c.startswith(("cnt_", "sum_"))])
+    return out.select(*df.columns, *out.columns[len(spread.columns):])
 
 
 def user_transaction_velocity(stg_transactions: DataFrame, **kw) -> DataFrame:
