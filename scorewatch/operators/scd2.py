@@ -55,12 +55,15 @@ def snapshot_step(prev: DataFrame, batch: DataFrame, as_of: Column, key: str = "
     closed = prev.filter(F.col("dbt_valid_to").isNotNull())
     opened = prev.filter(F.col("dbt_valid_to").isNull())
 
-    o = opened.select(*[F.col(c).alias(f"o_{c}") for c in cols + list(SCD_COLS)])
-    b = batch.select(*[F.col(c).alias(f"b_{c}") for c in cols])
+    # Presence markers, not key nullness: a NULL key never matches, so its
+    # open version is closed as deleted and its batch row opens a new one.
+    o = opened.select(*[F.col(c).alias(f"o_{c}") for c in cols + list(SCD_COLS)],
+                      F.lit(True).alias("_o"))
+    b = batch.select(*[F.col(c).alias(f"b_{c}") for c in cols], F.lit(True).alias("_b"))
     j = o.join(b, F.col(f"o_{key}") == F.col(f"b_{key}"), "full_outer")
 
-    has_o = F.col(f"o_{key}").isNotNull()
-    has_b = F.col(f"b_{key}").isNotNull()
+    has_o = F.col("_o").isNotNull()
+    has_b = F.col("_b").isNotNull()
     newer = F.col(f"b_{updated_at}") > F.col("o_dbt_valid_from")
     deleted = has_o & ~has_b
     if not invalidate_hard_deletes:

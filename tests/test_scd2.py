@@ -136,3 +136,14 @@ def test_snapshot_matches_model_on_random_batches(spark):
                   for rows in batches]
         got = scd2.snapshot_batches(frames, [ntz(r.strftime("%Y-%m-%d %H:%M:%S")) for r in runs])
         assert _versions(got) == _model(batches, runs)
+
+
+def test_null_key_never_matches(spark):
+    b1 = spark.createDataFrame([(None, 500, D(2024, 1, 1)), (1, 600, D(2024, 1, 1))], S)
+    b2 = spark.createDataFrame([(None, 510, D(2024, 1, 1)), (1, 600, D(2024, 1, 1))], S)
+    snap = scd2.snapshot_batches([b1, b2], [ntz("2024-01-05 00:00:00")])
+    got = sorted(((r.user_id, r.score, r.dbt_valid_from, r.dbt_valid_to) for r in snap.collect()), key=str)
+    assert got == sorted([
+        (None, 500, D(2024, 1, 1), D(2024, 1, 5)),   # unmatched: closed as deleted
+        (None, 510, D(2024, 1, 1), None),            # and the batch row opens anew
+        (1, 600, D(2024, 1, 1), None)], key=str)
