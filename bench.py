@@ -1,7 +1,7 @@
 """Benchmark: headline queries on the test tables.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default 8), ``BENCH_RUNS`` (timed runs per query after one warm-up, default
+(default 8), ``BENCH_SHUFFLE_PARTITIONS`` (default 2 x cpus), ``BENCH_RUNS`` (timed runs per query after one warm-up, default
 3; the median is reported). Each run computes the full result from the
 parquet tables and discards it through the ``noop`` sink (no collect).
 Prints one JSON line.
@@ -41,7 +41,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = local_session(cpus, shuffle_partitions=cpus * 2, app="scorewatch-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus * 2)))
+    spark = local_session(cpus, shuffle_partitions=parts, app="scorewatch-bench")
     per_query = {}
     for name in HEADLINE:
         run_once(spark, name, sf_dir)  # warm-up: JIT, file listing, broadcast stats
@@ -54,6 +55,7 @@ def main() -> None:
         "queries": per_query,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
+        "shuffle_partitions": parts,
         "runs": runs,
     }))
     spark.stop()
