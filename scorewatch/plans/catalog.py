@@ -17,12 +17,11 @@ from scorewatch.functions import constants as K
 from scorewatch.functions.timecols import ntz
 from scorewatch.operators import quality, rules, scd2
 from scorewatch.operators.dedup import keep_earliest, keep_latest
-from scorewatch.operators.surrogate import dense_id
 from scorewatch.operators.velocity import user_transaction_velocity, with_velocity
 from scorewatch.plans import marts, serving, staging
 from scorewatch.session import configure
 from scorewatch.sources import testdata as td
-from scorewatch.sources.schemas import conform, RAW_CARD_MOVEMENTS
+from scorewatch.sources.lake import raw_movements
 from scorewatch.streaming import cards as card_jobs
 from scorewatch.streaming import decode
 
@@ -34,9 +33,6 @@ ALERT_USER = 3
 CORRUPT_EVERY = 101                  # decode check: every 101st event has a bad created_at
 # -------------------------------------------------------------------------
 
-MOVEMENT_ORDER = ("source_date", "card_id", "date", "amount", "merchant_category", "location")
-
-
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
@@ -66,8 +62,7 @@ class Warehouse:
     def raw_card_movements(self) -> DataFrame:
         landing = td.card_movements_landing(self.spark, self.sf_dir).withColumn(
             "amount", F.col("amount").cast("decimal(15,2)"))
-        order = [F.col(c).asc_nulls_last() for c in MOVEMENT_ORDER]
-        return conform(dense_id(landing, order), RAW_CARD_MOVEMENTS)
+        return raw_movements(landing)
 
     # staging -------------------------------------------------------------
     @cached_property
