@@ -1,7 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F, types as T
+
 
 from scorewatch.operators import rules
 from scorewatch.operators.dedup import keep_earliest, keep_latest
