@@ -2,9 +2,10 @@
 
 For every transaction ``t`` and window ``w``: the number and the amount sum
 of the same user's transactions with ``t.ts - w < x.ts <= t.ts``, the row
-itself and equal-time peers included. The window is left-open, so the frame
-is ``RANGE BETWEEN (w - 1 µs) PRECEDING AND CURRENT ROW`` over epoch
-microseconds. A NULL user or NULL time matches nothing: both metrics are 0.
+itself and equal-time peers included. The window is left-open: it is the
+running total up to ``t`` minus the running total up to ``t - w`` (both
+``RANGE`` frames over epoch microseconds, exact for counts and decimals).
+A NULL user or NULL time matches nothing: both metrics are 0.
 
 Skew: a plain ``partitionBy(user_id)`` sends each user's whole history to one
 task. Instead the time axis is cut into buckets of ``bucket_minutes``
@@ -63,18 +64,24 @@ def with_velocity(df: DataFrame, user_col: str = "user_id", ts_col: str = "creat
         (F.col("_b") + F.col("_shift")).alias("_pb"),
         *[F.when(owner, F.col(c)).alias(c) for c in payload])
 
+    # (t - w, t] = (-inf, t] minus (-inf, t - w]. Both are UNBOUNDED PRECEDING
+    # frames, which Spark evaluates incrementally (a sliding frame would
+    # re-aggregate its whole buffer each time its lower bound moves). Rows
+    # with a NULL time sit in their own partition, so prefixes never see them.
     spec = Window.partitionBy(user_col, "_pb").orderBy("_us")
+    upto_now = spec.rangeBetween(Window.unboundedPreceding, 0)
+    amount = F.col(amount_col)
     guard = F.col(user_col).isNull() | F.col("_us").isNull()
     cols = []
     for w in windows_min:
-        frame = spec.rangeBetween(-(w * MICROS_PER_MINUTE - 1), 0)
+        upto_before = spec.rangeBetween(Window.unboundedPreceding, -w * MICROS_PER_MINUTE)
         if "cnt" in metrics:
-            cols.append(F.when(guard, F.lit(0)).otherwise(F.count(F.lit(1)).over(frame))
-                        .cast("bigint").alias(f"cnt_{w}min"))
+            cnt = F.count(F.lit(1)).over(upto_now) - F.count(F.lit(1)).over(upto_before)
+            cols.append(F.when(guard, F.lit(0)).otherwise(cnt).cast("bigint").alias(f"cnt_{w}min"))
         if "sum" in metrics:
-            cols.append(F.when(guard, F.lit(0)).otherwise(
-                F.coalesce(F.sum(F.col(amount_col)).over(frame), F.lit(0)))
-                .cast(SUM_TYPE).alias(f"sum_{w}min"))
+            total = (F.coalesce(F.sum(amount).over(upto_now), F.lit(0))
+                     - F.coalesce(F.sum(amount).over(upto_before), F.lit(0)))
+            cols.append(F.when(guard, F.lit(0)).otherwise(total).cast(SUM_TYPE).alias(f"sum_{w}min"))
     out = spread.select("*", *cols).filter(owner)
     return out.select(*df.columns, *out.columns[len(spread.columns):])
 
