@@ -30,6 +30,7 @@ AS_OF = "2024-01-01 06:00:00"        # "now" of the served queries
 SUMMARY_HOURS = 3
 RADAR_MINUTES = 5
 ALERT_USER = 3
+HISTORY_USER = 57                    # changed in batch 2, deleted in batch 3 (sf0.01 and up)
 CORRUPT_EVERY = 101                  # decode check: every 101st event has a bad created_at
 # -------------------------------------------------------------------------
 
@@ -190,10 +191,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # served queries
     "credit_score_history": _w(lambda w: serving.credit_score_history(w.dim_users)),
     "credit_score_current": _w(lambda w: serving.credit_score_current(w.dim_users)),
+    "credit_score_user": _w(lambda w: serving.credit_score_history(w.dim_users, [HISTORY_USER])),
+    "credit_score_current_user": _w(lambda w: serving.credit_score_current(w.dim_users, [ALERT_USER])),
     "fraud_alerts_active": _w(lambda w: serving.active_alerts(w.fct_fraud_alerts)),
     "fraud_alerts_user": _w(lambda w: serving.active_alerts(w.fct_fraud_alerts, limit=K.ALERTS_LIMIT_MAX,
                                                             user_id=ALERT_USER)),
     "fraud_summary_hourly": _w(lambda w: serving.fraud_summary(w.fct_fraud_alerts, _asof(w), SUMMARY_HOURS)),
+    "fraud_summary_24h": _w(lambda w: serving.fraud_summary(w.fct_fraud_alerts, _asof(w))),
     "fraud_pct_by_hour": _w(lambda w: serving.fraud_pct_by_hour(w.fct_fraud_alerts)),
     "fraud_pct_by_day": _w(lambda w: serving.fraud_pct_by_day(w.fct_fraud_alerts)),
     "score_distribution": _w(lambda w: serving.score_distribution(w.dim_users)),

@@ -430,6 +430,10 @@ ORACLE_SQL: dict[str, str] = {
           FROM dim WHERE is_current) d""",
     "credit_score_history": _with("dim") + f"SELECT {_HISTORY} FROM dim ORDER BY user_id, valid_from",
     "credit_score_current": _with("dim") + f"SELECT {_HISTORY} FROM dim WHERE is_current",
+    "credit_score_user": _with("dim") + f"""
+    SELECT {_HISTORY} FROM dim WHERE user_id = {catalog.HISTORY_USER} ORDER BY valid_from""",
+    "credit_score_current_user": _with("dim") + f"""
+    SELECT {_HISTORY} FROM dim WHERE user_id = {catalog.ALERT_USER} AND is_current LIMIT 1""",
     "fraud_alerts_active": _with("fa") + f"""
     SELECT {_ALERT_LIST} FROM fa WHERE is_fraud_alert
     ORDER BY created_at DESC NULLS FIRST, transaction_id DESC LIMIT {K.ALERTS_LIMIT_DEFAULT}""",
@@ -439,6 +443,9 @@ ORACLE_SQL: dict[str, str] = {
     "fraud_summary_hourly": _with("fa") + _rate_sql(
         "hour", "hora",
         where=f"WHERE created_at >= TIMESTAMP '{_AS_OF}' - INTERVAL {catalog.SUMMARY_HOURS} HOUR"),
+    "fraud_summary_24h": _with("fa") + _rate_sql(
+        "hour", "hora",
+        where=f"WHERE created_at >= TIMESTAMP '{_AS_OF}' - INTERVAL {K.SUMMARY_HOURS_DEFAULT} HOUR"),
     "fraud_pct_by_hour": _with("fa") + _rate_sql("hour", "hora", tail=f"LIMIT {K.HOURLY_PANEL_LIMIT}"),
     "fraud_pct_by_day": _with("fa") + _rate_sql("day", "dia"),
     "score_distribution": _with("dim") + f"""
