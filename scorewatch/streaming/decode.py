@@ -49,9 +49,16 @@ def parse_number(c: Column) -> Column:
 
 
 def unwrap_cdc(values: DataFrame) -> DataFrame:
-    """Replace change-data envelopes by their new row state."""
+    """Replace change-data envelopes by their new row state.
+
+    Accepted: a flat row; ``{before, after, op}``; the same inside
+    ``payload``; and a flat row inside ``payload`` (converter with schemas).
+    """
     env = F.from_json(F.col("value"), _ENVELOPE)
-    after = F.coalesce(env["after"], env["payload"]["after"])
+    payload_row = F.when(env["payload"].isNotNull() & env["payload"]["after"].isNull()
+                         & env["payload"]["op"].isNull(),
+                         F.get_json_object(F.col("value"), "$.payload"))
+    after = F.coalesce(env["after"], env["payload"]["after"], payload_row)
     op = F.coalesce(env["op"], env["payload"]["op"])
     is_env = after.isNotNull() | op.isNotNull()
     return (values.withColumn("_env", F.struct(after.alias("after"), op.alias("op"), is_env.alias("is_env")))

@@ -86,10 +86,11 @@ def test_cdc_envelope_unwrap(spark):
             json.dumps({"payload": {"after": json.dumps(dict(after, id=6)), "op": "u"}}),
             json.dumps({"before": json.dumps(after), "after": None, "op": "d"}),
             json.dumps(dict(after, id=7)),
-            json.dumps({"before": None, "after": dict(after, id=8), "op": "r"})]
+            json.dumps({"before": None, "after": dict(after, id=8), "op": "r"}),
+            json.dumps({"schema": {"type": "struct"}, "payload": dict(after, id=9)})]
     df = spark.createDataFrame([(v,) for v in vals], "value string")
     out = decode.decode_transactions(decode.unwrap_cdc(df)).collect()
-    assert sorted(r.id for r in out) == [5, 6, 7, 8]
+    assert sorted(r.id for r in out) == [5, 6, 7, 8, 9]
 
 
 def test_pii_findings(spark):
