@@ -52,7 +52,8 @@ def encode_card_events(anon: DataFrame) -> DataFrame:
 
 def pages_from_cards(cards: DataFrame, page_size: int) -> DataFrame:
     """Group raw cards into feed pages of ``page_size`` by card id (the shape
-    the feed serves). A page is a bounded group of ``page_size`` items."""
+    the feed serves). A feed lists each card once, so with unique card ids a
+    page is a bounded group of at most ``page_size`` items."""
     total = cards.select(F.count(F.lit(1))).scalar()
     page = (F.floor(F.col("card_id") / page_size) + 1).cast("long")
     item = F.struct(*[F.col(c) for c in ("card_id", "user_id", "pan", "cvv", "exp_date",
