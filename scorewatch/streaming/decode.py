@@ -61,8 +61,10 @@ def unwrap_cdc(values: DataFrame) -> DataFrame:
     after = F.coalesce(env["after"], env["payload"]["after"], payload_row)
     op = F.coalesce(env["op"], env["payload"]["op"])
     is_env = after.isNotNull() | op.isNotNull()
-    return (values.withColumn("_env", F.struct(after.alias("after"), op.alias("op"), is_env.alias("is_env")))
-            .filter(~F.col("_env.is_env") | (F.col("_env.after").isNotNull() & (F.coalesce(F.col("_env.op"), F.lit("")) != "d")))
+    tagged = values.withColumn("_env", F.struct(after.alias("after"), op.alias("op"), is_env.alias("is_env")))
+    # Envelopes without a new state (deletes) are dropped; flat rows pass.
+    has_state = F.col("_env.after").isNotNull() & (F.coalesce(F.col("_env.op"), F.lit("")) != "d")
+    return (tagged.filter(~F.col("_env.is_env") | has_state)
             .withColumn("value", F.when(F.col("_env.is_env"), F.col("_env.after")).otherwise(F.col("value")))
             .drop("_env"))
 
