@@ -37,8 +37,21 @@ def with_velocity(df: DataFrame, user_col: str = "user_id", ts_col: str = "creat
                   amount_col: str = "amount_usd",
                   windows_min: Sequence[int] = VELOCITY_WINDOWS_MIN,
                   bucket_minutes: int | None = None,
-                  metrics: Sequence[str] = ("cnt", "sum")) -> DataFrame:
-    """Add ``cnt_{w}min`` / ``sum_{w}min`` columns for each window ``w``."""
+                  metrics: Sequence[str] = ("cnt", "sum"),
+                  strategy: str = "halo", bucket_seconds: int | None = None) -> DataFrame:
+    """Add ``cnt_{w}min`` / ``sum_{w}min`` columns for each window ``w``.
+
+    ``strategy="halo"`` (default): one exchange, about a quarter of the rows
+    copied. ``strategy="probe"``: no copies and buckets of any width
+    (``bucket_seconds``, default 60), for data where one user-bucket of
+    halo width could still hold a large share of all rows; it costs a second
+    exchange (see :func:`_with_velocity_probe`).
+    """
+    if strategy == "probe":
+        return _with_velocity_probe(df, user_col, ts_col, amount_col, windows_min,
+                                    bucket_seconds or 60, metrics)
+    if strategy != "halo":
+        raise ValueError(f"unknown strategy {strategy!r}")
     widest = max(windows_min)
     bucket = bucket_minutes or 4 * widest
     if bucket < 1:
@@ -86,6 +99,83 @@ def with_velocity(df: DataFrame, user_col: str = "user_id", ts_col: str = "creat
     return out.select(*df.columns, *out.columns[len(spread.columns):])
 
 
+def _with_velocity_probe(df: DataFrame, user_col: str, ts_col: str, amount_col: str,
+                         windows_min: Sequence[int], bucket_seconds: int,
+                         metrics: Sequence[str]) -> DataFrame:
+    """Velocity without copies: running totals at probe times.
+
+    ``P(u, tau)`` = count (and amount sum) of user ``u``'s rows with time
+    <= ``tau``, so the window ``(t - w, t]`` is ``P(t) - P(t - w)``. Every
+    input row becomes one data row (its amount) and one probe per time in
+    ``{t} + {t - w}``; the owner probe (at ``t``) carries the payload. Rows
+    and probes are bucketed by ``(user, floor(time / bucket))``:
+
+    1. per bucket, the data count/sum and, over a user's buckets in order,
+       the totals of all earlier buckets (a narrow table, one row per active
+       bucket);
+    2. joined to it on the bucket key, one pass per bucket in time order
+       (data before probes at equal times) gives each probe the running
+       totals inside its bucket; offset + running = ``P(tau)``;
+    3. probes are regrouped by their source row (an id assigned before the
+       rows were generated, so all pieces of one row share it).
+
+    The largest task holds one user-bucket, whatever its width; nothing is
+    replicated beyond the probes.
+    """
+    bucket_us = bucket_seconds * 1_000_000
+    if bucket_us < 1:
+        raise ValueError("bucket_seconds must be positive")
+    payload = [c for c in df.columns if c not in (user_col, ts_col, amount_col)]
+    us = epoch_micros(F.col(ts_col))
+    offsets_min = [0, *windows_min]
+    base = df.select("*", us.alias("_us"), F.monotonically_increasing_id().alias("_rid"))
+    pieces = [F.struct(F.lit(0).alias("_kind"), F.col("_us").alias("_tau"), F.lit(-1).alias("_w"))]
+    pieces += [F.struct(F.lit(1).alias("_kind"), (F.col("_us") - F.lit(w * MICROS_PER_MINUTE)).alias("_tau"),
+                        F.lit(w).alias("_w")) for w in offsets_min]
+    gen = base.select(F.col(user_col), F.col(ts_col), F.col(amount_col), *payload, "_rid",
+                      F.inline(F.array(*pieces)))
+    is_data = F.col("_kind") == 0
+    is_owner = (F.col("_kind") == 1) & (F.col("_w") == 0)
+    rows = gen.select(
+        F.col(user_col), "_rid", "_kind", "_w", "_tau",
+        F.floor(F.col("_tau") / F.lit(bucket_us)).alias("_b"),
+        F.when(is_data, F.col(amount_col)).alias("_amt"),
+        *[F.when(is_owner, F.col(c)).alias(c) for c in (ts_col, amount_col, *payload)])
+
+    per_bucket = rows.groupBy(user_col, "_b").agg(
+        F.count_if(F.col("_kind") == 0).alias("_bn"), F.sum("_amt").alias("_bs"))
+    before = Window.partitionBy(user_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(
+        F.col(user_col).alias("_ou"), F.col("_b").alias("_ob"),
+        F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off_n"),
+        F.coalesce(F.sum("_bs").over(before), F.lit(0)).alias("_off_s"))
+    joined = rows.join(offsets, (F.col(user_col) == F.col("_ou")) & (F.col("_b") == F.col("_ob")), "left")
+
+    running = (Window.partitionBy(user_col, "_b").orderBy("_tau", "_kind")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    probed = joined.select(
+        "*",
+        (F.col("_off_n") + F.sum(F.when(is_data, F.lit(1)).otherwise(F.lit(0))).over(running)).alias("_pn"),
+        (F.col("_off_s") + F.coalesce(F.sum("_amt").over(running), F.lit(0))).alias("_ps"),
+    ).filter(F.col("_kind") == 1)
+
+    first = lambda c: F.first(F.col(c), ignorenulls=True).alias(c)
+    regrouped = probed.groupBy("_rid").agg(
+        F.first(F.col(user_col)).alias(user_col), first(ts_col), first(amount_col), *[first(c) for c in payload],
+        *[F.max(F.when(F.col("_w") == w, F.col("_pn"))).alias(f"_pn{w}") for w in offsets_min],
+        *[F.max(F.when(F.col("_w") == w, F.col("_ps"))).alias(f"_ps{w}") for w in offsets_min])
+    guard = F.col(user_col).isNull() | F.col(ts_col).isNull()
+    cols = []
+    for w in windows_min:
+        if "cnt" in metrics:
+            cols.append(F.when(guard, F.lit(0)).otherwise(F.col("_pn0") - F.col(f"_pn{w}"))
+                        .cast("bigint").alias(f"cnt_{w}min"))
+        if "sum" in metrics:
+            cols.append(F.when(guard, F.lit(0)).otherwise(F.col("_ps0") - F.col(f"_ps{w}"))
+                        .cast(SUM_TYPE).alias(f"sum_{w}min"))
+    return regrouped.select(*df.columns, *cols)
+
+
 def user_transaction_velocity(stg_transactions: DataFrame, **kw) -> DataFrame:
     """``int_user_transaction_velocity``: one row per staged transaction."""
     base = stg_transactions.select("user_id", "transaction_id", "created_at", "amount_usd")

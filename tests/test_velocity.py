@@ -83,3 +83,36 @@ def test_one_exchange_for_all_windows(spark):
     df = spark.createDataFrame([(1, 1, T0, Decimal("1.00"))], SCHEMA)
     plan = with_velocity(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_probe_strategy_matches_brute_force(spark):
+    rnd = random.Random(9)
+    rows = []
+    for i in range(500):
+        uid = rnd.choice([1, 1, 1, 2, 3, None])
+        t = T0 + dt.timedelta(microseconds=rnd.randrange(0, 2 * 3600 * 10**6))
+        if rnd.random() < 0.1:
+            t = T0 + dt.timedelta(minutes=rnd.randrange(0, 120))
+        if rnd.random() < 0.03:
+            t = None
+        amount = None if rnd.random() < 0.05 else Decimal(rnd.randrange(0, 100000)) / 100
+        rows.append((i, uid, t, amount))
+    for seconds in (1, 45, 600, 7200):
+        r = _run(spark, rows, strategy="probe", bucket_seconds=seconds)
+        assert len(r) == len(rows)
+        for w in (5, 15, 60):
+            for tid, (c, s) in _brute(rows, w).items():
+                assert r[tid][f"cnt_{w}min"] == c, (seconds, w, tid)
+                assert r[tid][f"sum_{w}min"] == s, (seconds, w, tid)
+
+
+def test_probe_strategy_edges(spark):
+    rows = [
+        (1, 7, T0, Decimal("10.00")),
+        (2, 7, T0 + dt.timedelta(minutes=5), Decimal("1.00")),
+        (3, 7, T0 + dt.timedelta(minutes=10) - dt.timedelta(microseconds=1), Decimal("2.00")),
+        (4, 7, T0 + dt.timedelta(minutes=10) - dt.timedelta(microseconds=1), Decimal("3.00")),
+    ]
+    r = _run(spark, rows, strategy="probe", bucket_seconds=1)
+    assert [r[i]["cnt_5min"] for i in (1, 2, 3, 4)] == [1, 1, 3, 3]
+    assert r[3]["sum_5min"] == Decimal("6.00")

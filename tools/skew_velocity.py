@@ -40,8 +40,12 @@ def plain_prefix():
     return df.select("transaction_id", *cols)
 def bucketed():
     return with_velocity(df).select("transaction_id", "cnt_5min", "sum_5min", "cnt_15min", "sum_15min", "cnt_60min", "sum_60min")
-for name, f in (("plain", plain), ("plain_prefix", plain_prefix), ("bucketed", bucketed),
-                ("plain", plain), ("plain_prefix", plain_prefix), ("bucketed", bucketed)):
+def probe():
+    return with_velocity(df, strategy="probe", bucket_seconds=60).select(
+        "transaction_id", "cnt_5min", "sum_5min", "cnt_15min", "sum_15min", "cnt_60min", "sum_60min")
+for name, f in (("plain", plain), ("plain_prefix", plain_prefix), ("bucketed", bucketed), ("probe_60s", probe),
+                ("plain", plain), ("plain_prefix", plain_prefix), ("bucketed", bucketed), ("probe_60s", probe)):
     s = time.perf_counter(); f().write.format("noop").mode("overwrite").save(); print(name, round(time.perf_counter() - s, 1))
 a = plain().select("transaction_id", "cnt_60min"); b = bucketed().select("transaction_id", "cnt_60min")
-print("equal:", a.exceptAll(b).count() == 0)
+c = probe().select("transaction_id", "cnt_60min")
+print("equal:", a.exceptAll(b).count() == 0, b.exceptAll(c).count() == 0)
