@@ -147,3 +147,43 @@ def test_null_key_never_matches(spark):
         (None, 500, D(2024, 1, 1), D(2024, 1, 5)),   # unmatched: closed as deleted
         (None, 510, D(2024, 1, 1), None),            # and the batch row opens anew
         (1, 600, D(2024, 1, 1), None)], key=str)
+
+
+def test_asof_strategies_agree_on_random_data(spark):
+    import random
+    from scorewatch.operators.asof import asof_join
+    rnd = random.Random(3)
+    versions, sk = [], 0
+    for uid in range(6):
+        t = D(2024, 1, 1) + dt.timedelta(hours=rnd.randrange(0, 48))
+        for _ in range(rnd.randint(0, 6)):
+            nxt = t + dt.timedelta(hours=rnd.randrange(1, 60))
+            closed = rnd.random() < 0.3
+            versions.append((uid, f"s{sk}", t, nxt if closed else None))
+            sk += 1
+            if not closed:
+                t = nxt
+                continue
+            t = nxt + dt.timedelta(hours=rnd.randrange(0, 10))      # gap after a delete
+        # open versions are closed by the next one
+    fixed = []
+    by_user = {}
+    for v in versions:
+        by_user.setdefault(v[0], []).append(v)
+    for uid, vs in by_user.items():
+        vs.sort(key=lambda v: v[2])
+        for i, v in enumerate(vs):
+            to = v[3] if v[3] is not None else (vs[i + 1][2] if i + 1 < len(vs) else None)
+            fixed.append((uid, v[1], v[2], to))
+    vdf = spark.createDataFrame(fixed, "user_id long, user_sk string, valid_from timestamp_ntz, dbt_valid_to timestamp_ntz")
+    facts = [(i, rnd.choice([0, 1, 2, 3, 4, 5, 6, None]),
+              None if rnd.random() < 0.05 else D(2024, 1, 1) + dt.timedelta(minutes=rnd.randrange(0, 60 * 24 * 20)))
+             for i in range(400)]
+    fdf = spark.createDataFrame(facts, "tx long, user_id long, created_at timestamp_ntz")
+    want = {r.tx: r.user_sk for r in asof_join(fdf, vdf, "user_id", "created_at", select=("user_sk",),
+                                               strategy="merge").collect()}
+    for seconds in (3600, 86_400, 30 * 86_400):
+        got = {r.tx: r.user_sk for r in asof_join(fdf, vdf, "user_id", "created_at", select=("user_sk",),
+                                                  bucket_seconds=seconds).collect()}
+        assert got == want, seconds
+    assert len(want) == 400
