@@ -5,18 +5,22 @@ with ``valid_from <= ts AND (valid_to IS NULL OR ts < valid_to)``, if any.
 
 Two plans:
 
-* ``strategy="carry"`` (default): no pairs at all. Versions (at their
+* ``strategy="merge"`` (default): equi-join on the key with the validity
+  range as a residual condition (sort-merge or broadcast hash join; never a
+  nested loop). Each fact is checked against the versions of its key, so
+  the work is facts x versions-per-key: small for a score history (tens to
+  hundreds of versions per user), and a hot key on the fact side is split
+  by AQE's skew-join handling.
+* ``strategy="carry"``: no pairs at all, for dimensions with very many
+  versions per key. Versions (at their
   ``valid_from``) and facts (at their time) are put in one frame and bucketed
   by ``(key, floor(time / bucket))``. A narrow per-bucket table holds each
   bucket's last version; over a key's buckets in order it yields the last
   version of all earlier buckets (the carry). Joined back on the bucket key,
   one ordered pass per bucket forward-fills the latest version seen so far
   (versions sort before facts at equal times); if none, the carry applies.
-  One big exchange, linear work, and a hot key is split by time buckets.
-* ``strategy="merge"``: equi-join on the key with the validity range as a
-  residual condition (sort-merge or broadcast hash join; never a nested
-  loop). Each fact is compared with every version of its key, so it suits
-  few versions per key; a hot key relies on AQE's skew-join splitting.
+  One big exchange, linear work, and a hot key is split by time buckets;
+  it costs a few small extra stages (a per-bucket aggregate and its carry).
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from scorewatch.functions.timecols import epoch_micros
 
 def asof_join(facts: DataFrame, versions: DataFrame, key: str, ts_col: str,
               valid_from: str = "valid_from", valid_to: str = "dbt_valid_to",
-              select: Sequence[str] = (), how: str = "left", strategy: str = "carry",
+              select: Sequence[str] = (), how: str = "left", strategy: str = "merge",
               bucket_seconds: int = 86_400) -> DataFrame:
     if strategy == "merge":
         return _asof_merge(facts, versions, key, ts_col, valid_from, valid_to, select, how)
