@@ -70,8 +70,10 @@ def test_asof_join_boundaries(spark):
         (13, 2, D(2024, 1, 4)),     # at delete time: none
         (14, 3, D(2024, 1, 4)),     # unknown user
     ], "tx long, user_id long, created_at timestamp_ntz")
-    got = {r.tx: r.user_sk for r in asof_join(facts, versions, "user_id", "created_at", select=("user_sk",)).collect()}
-    assert got == {10: None, 11: "v1", 12: "v2", 13: None, 14: None}
+    for strategy in ("merge", "carry"):
+        got = {r.tx: r.user_sk for r in asof_join(facts, versions, "user_id", "created_at", select=("user_sk",),
+                                                  strategy=strategy).collect()}
+        assert got == {10: None, 11: "v1", 12: "v2", 13: None, 14: None}, strategy
 
 
 def test_snapshot_store_retry_after_failed_write(spark, tmp):
@@ -184,6 +186,6 @@ def test_asof_strategies_agree_on_random_data(spark):
                                                strategy="merge").collect()}
     for seconds in (3600, 86_400, 30 * 86_400):
         got = {r.tx: r.user_sk for r in asof_join(fdf, vdf, "user_id", "created_at", select=("user_sk",),
-                                                  bucket_seconds=seconds).collect()}
+                                                  strategy="carry", bucket_seconds=seconds).collect()}
         assert got == want, seconds
     assert len(want) == 400
