@@ -7,6 +7,7 @@
     python -m scorewatch build   --raw DIR --out DIR [--run-at 'YYYY-MM-DD HH:MM:SS']
     python -m scorewatch report  --out DIR
     python -m scorewatch serve   QUERY --out DIR [--user N] [--limit N] [--hours N] [--as-of TS] [--write DIR]
+    python -m scorewatch sql     "SELECT ... FROM marts.fct_fraud_alerts ..." --out DIR [--database marts] [--write DIR]
 
 Served queries: credit-score, credit-score-current, alerts, alerts-summary,
 fraud-by-hour, fraud-by-day, score-distribution, feed, alerts-by-rule.
@@ -107,6 +108,11 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--hours", type=int), s.add_argument("--minutes", type=int)
     s.add_argument("--as-of"), s.add_argument("--write"), s.add_argument("--show", type=int, default=1000)
 
+    q = sub.add_parser("sql", help="run SQL over the published tables (database.table)")
+    q.add_argument("statement"), q.add_argument("--out", required=True)
+    q.add_argument("--database", default="marts"), q.add_argument("--write")
+    q.add_argument("--show", type=int, default=1000)
+
     args = p.parse_args(argv)
     spark = _session()
 
@@ -145,6 +151,10 @@ def main(argv: list[str] | None = None) -> int:
         _emit(read_published(spark, f"{args.out.rstrip('/')}/reports/dq_report"), None, 1000)
     elif args.cmd == "serve":
         _emit(serve(spark, args), args.write, args.show)
+    elif args.cmd == "sql":
+        from scorewatch.plans.pipeline import register_tables
+        register_tables(spark, args.out, args.database)
+        _emit(spark.sql(args.statement), args.write, args.show)
     return 0
 
 

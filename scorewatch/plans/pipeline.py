@@ -138,3 +138,36 @@ def build_all(spark: SparkSession, raw_root: str, out_root: str, run_at: Column)
                                  quality.run_checks(models, quality.MODEL_CHECKS))
     paths["snapshot"] = store.path(store.current_version())
     return paths
+
+
+PUBLISHED = {
+    "dim_users": "marts/dim_users",
+    "fct_transactions": "marts/fct_transactions",
+    "fct_fraud_alerts": "marts/fct_fraud_alerts",
+    "int_user_transaction_velocity": "intermediate/int_user_transaction_velocity",
+    "snap_users_scoring": "snapshots/snap_users_scoring",
+    "dq_report": "reports/dq_report",
+}
+
+
+def register_tables(spark: SparkSession, out_root: str, database: str = "marts") -> dict[str, str]:
+    """Expose the committed version of every published table to Spark SQL as
+    ``<database>.<name>`` (external Parquet tables), so SQL written against
+    the warehouse runs unchanged on the session. Re-run after each build to
+    point the tables at the new versions. Returns name -> location."""
+    out = out_root.rstrip("/")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    located = {}
+    for name, rel in PUBLISHED.items():
+        table = VersionedTable(spark, f"{out}/{rel}")
+        v = table.current_version()
+        if v is None:
+            continue
+        path = table.path(v)
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+        spark.sql(f"CREATE TABLE `{database}`.`{name}` USING parquet LOCATION '{path}'")
+        if any(c.isPartition for c in spark.catalog.listColumns(f"`{database}`.`{name}`")):
+            # Partition folders (event_date=...) are registered in the catalog.
+            spark.catalog.recoverPartitions(f"`{database}`.`{name}`")
+        located[name] = path
+    return located

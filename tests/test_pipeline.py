@@ -84,6 +84,24 @@ def test_build_all_from_events(spark, tmp):
     assert snap.count() == 15 + 5 and snap.filter(F.col("dbt_valid_to").isNull()).count() == 15
 
 
+    # SQL over the published tables gives what the serving functions give.
+    from scorewatch.plans.pipeline import read_published, register_tables
+    from scorewatch.plans import serving as sv
+    located = register_tables(spark, out, "wh")
+    assert located["dim_users"].endswith("/v=2")          # the latest committed build
+    hourly = spark.sql("""
+        SELECT CAST(date_trunc('hour', created_at) AS TIMESTAMP_NTZ) AS hora, count(*) AS tx_total,
+               count(*) FILTER (WHERE is_fraud_alert) AS tx_con_alertas
+        FROM wh.fct_fraud_alerts GROUP BY 1""")
+    want_h = sv.fraud_pct_by_hour(read_published(spark, f"{out}/marts/fct_fraud_alerts")).drop("pct_fraude")
+    assert hourly.exceptAll(want_h).count() == 0 and want_h.exceptAll(hourly).count() == 0
+    hist = spark.sql("""
+        SELECT status_riesgo, width_bucket(scoring_crediticio, 300, 850, 11) AS bucket,
+               min(scoring_crediticio) AS min_score, max(scoring_crediticio) AS max_score, count(*) AS usuarios
+        FROM wh.dim_users WHERE is_current GROUP BY 1, 2""")
+    want_d = sv.score_distribution(read_published(spark, f"{out}/marts/dim_users"))
+    assert hist.exceptAll(want_d).count() == 0 and want_d.exceptAll(hist).count() == 0
+
     # Command line over the same output.
     from scorewatch.__main__ import main
     import contextlib, io, json as _json
