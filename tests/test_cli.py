@@ -34,6 +34,7 @@ def test_job_commands(spark, tmp):
         main(["build", "--raw", raw, "--out", out, "--run-at", "2024-01-01 01:00:00"])
         main(["serve", "alerts-summary", "--out", out, "--as-of", "2024-01-01 01:00:00", "--hours", "2"])
         main(["serve", "score-distribution", "--out", out])
+        main(["sql", "SELECT count(*) AS n, count_if(is_fraud_alert) AS a FROM marts.fct_fraud_alerts", "--out", out])
     lines = buf.getvalue().splitlines()
     loaded = json.loads(lines[0])
     assert set(loaded) == {"transactions", "users", "cards", "card_movements"}
@@ -41,3 +42,5 @@ def test_job_commands(spark, tmp):
     summary = json.loads(lines[3])
     assert summary["tx_total"] == 6 and summary["tx_con_alertas"] >= 3
     assert spark.read.parquet(f"{inc}/transactions").count() == 6
+    last = json.loads(lines[-1])
+    assert last["n"] == 6 and last["a"] == summary["tx_con_alertas"]
