@@ -32,7 +32,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     read from the session. Only a local-mode session without one (tests,
     benchmark) gets a private folder under the system temp dir.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver context; the server's setting applies
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
