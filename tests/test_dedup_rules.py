@@ -98,3 +98,17 @@ def test_dedup_matches_python_on_random_rows(spark):
         want = sorted(pick(g, latest) for g in groups.values())
         got = sorted(tuple(r) for r in fn(df, "k", "ts").collect())
         assert got == want
+
+
+def test_alert_velocity_needs_a_transaction_id(spark):
+    from scorewatch.plans import marts
+    tx = spark.createDataFrame(
+        [(i if i < 5 else None, 1, T0 + dt.timedelta(seconds=i), Decimal("1.00"), "m", "A", False) for i in range(6)],
+        "transaction_id long, user_id long, created_at timestamp_ntz, amount_usd decimal(15,2), "
+        "merchant_category string, location string, is_flagged_fraud boolean")
+    dim = spark.createDataFrame([(1, "sk", Decimal("100.00"), "A", True)],
+                                "user_id long, user_sk string, limite_credito decimal(15,2), location string, "
+                                "is_current boolean")
+    got = {r.transaction_id: r.alert_velocity for r in marts.fct_fraud_alerts(tx, dim).collect()}
+    assert got[4] is True                 # fifth transaction within five minutes
+    assert got[None] is False             # a NULL id finds no velocity row
