@@ -2,7 +2,7 @@
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8), ``BENCH_SHUFFLE_PARTITIONS`` (default 2 x cpus), ``BENCH_RUNS`` (timed runs per query after one warm-up, default
-3; the median is reported). Each run computes the full result from the
+5; the median is reported). Each run computes the full result from the
 parquet tables and discards it through the ``noop`` sink (no collect).
 Prints one JSON line.
 """
@@ -40,7 +40,7 @@ def run_once(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus * 2)))
     spark = local_session(cpus, shuffle_partitions=parts, app="scorewatch-bench")
     per_query = {}
