@@ -31,22 +31,47 @@ from scorewatch.functions.constants import VELOCITY_WINDOWS_MIN
 from scorewatch.functions.timecols import MICROS_PER_MINUTE, epoch_micros
 
 SUM_TYPE = "decimal(18,2)"
+TARGET_ROWS_PER_TASK = 5_000_000
+
+
+def choose_buckets(df: DataFrame, user_col: str, ts_col: str, widest_min: int,
+                   target_rows: int = TARGET_ROWS_PER_TASK) -> dict:
+    """Pick the strategy and bucket width from the data: the densest
+    (user, hour) count comes from one partial-aggregated job (one number
+    reaches the driver). Buckets hold about ``target_rows`` of the hottest
+    user, at least the widest window (halo copies stay below one per row) and
+    at most a day; if even that is too dense, the copy-free probe strategy
+    with buckets of whole seconds is used."""
+    hour = F.floor(epoch_micros(F.col(ts_col)) / F.lit(3600 * 1_000_000))
+    peak = (df.filter(F.col(user_col).isNotNull() & F.col(ts_col).isNotNull())
+            .groupBy(F.col(user_col), hour.alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+            .agg(F.max("_n").alias("_peak")).first()["_peak"]) or 0
+    per_minute = max(peak / 60.0, 1e-9)
+    minutes = int(target_rows / per_minute)
+    if minutes >= widest_min:
+        return {"strategy": "halo", "bucket_minutes": min(minutes, 24 * 60)}
+    return {"strategy": "probe", "bucket_seconds": max(1, int(target_rows / (per_minute / 60.0)))}
 
 
 def with_velocity(df: DataFrame, user_col: str = "user_id", ts_col: str = "created_at",
                   amount_col: str = "amount_usd",
                   windows_min: Sequence[int] = VELOCITY_WINDOWS_MIN,
-                  bucket_minutes: int | None = None,
+                  bucket_minutes: int | str | None = None,
                   metrics: Sequence[str] = ("cnt", "sum"),
-                  strategy: str = "halo", bucket_seconds: int | None = None) -> DataFrame:
+                  strategy: str = "halo", bucket_seconds: int | None = None,
+                  target_rows_per_task: int = TARGET_ROWS_PER_TASK) -> DataFrame:
     """Add ``cnt_{w}min`` / ``sum_{w}min`` columns for each window ``w``.
 
     ``strategy="halo"`` (default): one exchange, about a quarter of the rows
     copied. ``strategy="probe"``: no copies and buckets of any width
     (``bucket_seconds``, default 60), for data where one user-bucket of
     halo width could still hold a large share of all rows; it costs a second
-    exchange (see :func:`_with_velocity_probe`).
+    exchange (see :func:`_with_velocity_probe`). ``bucket_minutes="auto"``
+    picks strategy and width from the data (:func:`choose_buckets`).
     """
+    if bucket_minutes == "auto":
+        return with_velocity(df, user_col, ts_col, amount_col, windows_min, metrics=metrics,
+                             **choose_buckets(df, user_col, ts_col, max(windows_min), target_rows_per_task))
     if strategy == "probe":
         return _with_velocity_probe(df, user_col, ts_col, amount_col, windows_min,
                                     bucket_seconds or 60, metrics)

@@ -49,7 +49,7 @@ def fct_transactions_asof(stg_tx: DataFrame, dim: DataFrame) -> DataFrame:
                      select=("user_sk", "scoring_crediticio", "status_riesgo"))
 
 
-def fct_fraud_alerts(stg_tx: DataFrame, dim: DataFrame, bucket_minutes: int | None = None) -> DataFrame:
+def fct_fraud_alerts(stg_tx: DataFrame, dim: DataFrame, bucket_minutes: int | str | None = None) -> DataFrame:
     vel = with_velocity(stg_tx.select(*TX_COLS), windows_min=(5,), metrics=("cnt",),
                         bucket_minutes=bucket_minutes)
     # The velocity model is joined on transaction_id: a NULL id finds no row.

@@ -116,3 +116,19 @@ def test_probe_strategy_edges(spark):
     r = _run(spark, rows, strategy="probe", bucket_seconds=1)
     assert [r[i]["cnt_5min"] for i in (1, 2, 3, 4)] == [1, 1, 3, 3]
     assert r[3]["sum_5min"] == Decimal("6.00")
+
+
+def test_auto_buckets_choose_and_stay_exact(spark):
+    from scorewatch.operators.velocity import choose_buckets
+    rows = [(i, 1 if i % 2 else 2, T0 + dt.timedelta(seconds=3 * i), Decimal("1.00")) for i in range(1200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    # 600 rows of user 1 in one hour: 10 per minute.
+    assert choose_buckets(df, "user_id", "created_at", 60, target_rows=6000) == {
+        "strategy": "halo", "bucket_minutes": 600}
+    assert choose_buckets(df, "user_id", "created_at", 60, target_rows=100) == {
+        "strategy": "probe", "bucket_seconds": 600}
+    for target in (6000, 100):
+        r = _run(spark, rows, bucket_minutes="auto", target_rows_per_task=target)
+        for w in (5, 60):
+            for tid, (c, s) in _brute(rows, w).items():
+                assert (r[tid][f"cnt_{w}min"], r[tid][f"sum_{w}min"]) == (c, s), (target, w, tid)
