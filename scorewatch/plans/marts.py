@@ -49,9 +49,12 @@ def fct_transactions_asof(stg_tx: DataFrame, dim: DataFrame) -> DataFrame:
                      select=("user_sk", "scoring_crediticio", "status_riesgo"))
 
 
-def fct_fraud_alerts(stg_tx: DataFrame, dim: DataFrame, bucket_minutes: int | str | None = None) -> DataFrame:
+def fct_fraud_alerts(stg_tx: DataFrame, dim: DataFrame, bucket_minutes: int | str | None = None,
+                     **velocity_kw) -> DataFrame:
+    """``velocity_kw`` (``strategy``, ``bucket_seconds``) pass through to
+    :func:`with_velocity`."""
     vel = with_velocity(stg_tx.select(*TX_COLS), windows_min=(5,), metrics=("cnt",),
-                        bucket_minutes=bucket_minutes)
+                        bucket_minutes=bucket_minutes, **velocity_kw)
     # The velocity model is joined on transaction_id: a NULL id finds no row.
     vel = vel.withColumn("cnt_5min", F.when(F.col("transaction_id").isNotNull(), F.col("cnt_5min")))
     cur = current_users(dim).select(

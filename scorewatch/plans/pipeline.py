@@ -23,7 +23,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from scorewatch.operators import quality, scd2
-from scorewatch.operators.velocity import user_transaction_velocity
+from scorewatch.functions.constants import VELOCITY_WINDOWS_MIN
+from scorewatch.operators.velocity import choose_buckets, user_transaction_velocity
 from scorewatch.plans import marts, staging
 from scorewatch.sources.lake import read_raw
 
@@ -123,18 +124,19 @@ def build_all(spark: SparkSession, raw_root: str, out_root: str, run_at: Column)
     run_snapshot(store, stg["stg_users"], run_at)
 
     stg_tx = stg["stg_transactions"]
-    # Bucket width from the data (one small job each): a hot user is split
-    # into tasks of bounded size whatever its density.
+    # Velocity bucket width from the data (one small job): a hot user is split
+    # into tasks of bounded size whatever its density. A width chosen for the
+    # widest window also serves the alerts' 5-minute window.
+    buckets = choose_buckets(stg_tx, "user_id", "created_at", max(VELOCITY_WINDOWS_MIN))
     paths = {"int_user_transaction_velocity": publish(
         spark, f"{out}/intermediate/int_user_transaction_velocity",
-        user_transaction_velocity(stg_tx, bucket_minutes="auto"))}
+        user_transaction_velocity(stg_tx, **buckets))}
     paths["dim_users"] = publish(spark, f"{out}/marts/dim_users", marts.dim_users(store.read()))
     dim = spark.read.parquet(paths["dim_users"])
     paths["fct_transactions"] = publish(spark, f"{out}/marts/fct_transactions",
                                         marts.fct_transactions(stg_tx, dim), write_by_date)
     paths["fct_fraud_alerts"] = publish(spark, f"{out}/marts/fct_fraud_alerts",
-                                        marts.fct_fraud_alerts(stg_tx, dim, bucket_minutes="auto"),
-                                        write_by_date)
+                                        marts.fct_fraud_alerts(stg_tx, dim, **buckets), write_by_date)
 
     models = dict(stg)
     models.update({k: spark.read.parquet(p) for k, p in paths.items()})
