@@ -35,13 +35,17 @@ def _as_of(text: str | None):
     return F.lit(text).cast("timestamp_ntz") if text else F.current_timestamp().cast("timestamp_ntz")
 
 
-def _emit(df: DataFrame, write: str | None, show: int) -> None:
+def _emit(df: DataFrame, write: str | None, show: int) -> int:
+    """Print up to ``show`` rows as JSON lines (or write them); returns the
+    number of rows printed (-1 when written)."""
     if write:
         df.write.mode("overwrite").parquet(write)
         print(json.dumps({"written": write}))
-        return
-    for row in df.toJSON().take(show):
+        return -1
+    rows = df.toJSON().take(show)
+    for row in rows:
         print(row)
+    return len(rows)
 
 
 def serve(spark: SparkSession, args) -> DataFrame:
@@ -150,7 +154,11 @@ def main(argv: list[str] | None = None) -> int:
         from scorewatch.plans.pipeline import read_published
         _emit(read_published(spark, f"{args.out.rstrip('/')}/reports/dq_report"), None, 1000)
     elif args.cmd == "serve":
-        _emit(serve(spark, args), args.write, args.show)
+        shown = _emit(serve(spark, args), args.write, args.show)
+        if shown == 0 and args.user is not None and args.query.startswith("credit-score"):
+            # The served API answered "not found" for an unknown user.
+            print(json.dumps({"error": f"user {args.user} not found"}), file=sys.stderr)
+            return 1
     elif args.cmd == "sql":
         from scorewatch.plans.pipeline import register_tables
         register_tables(spark, args.out, args.database)

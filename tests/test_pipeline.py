@@ -111,7 +111,9 @@ def test_build_all_from_events(spark, tmp):
         main(["serve", "alerts-by-rule", "--out", out])
         main(["serve", "credit-score", "--out", out, "--user", "3"])
         main(["report", "--out", out])
+        missing = main(["serve", "credit-score", "--out", out, "--user", "999999"])
     lines = [_json.loads(x) for x in buf.getvalue().splitlines()]
+    assert missing == 1
     assert len(lines) == 5 + 5 + 2 + 26
     assert [x["user_id"] for x in lines[10:12]] == [3, 3]
 
