@@ -113,7 +113,13 @@ def sync_raw(spark: SparkSession, lake_root: str, raw_root: str, checkpoint_root
         if t not in LAKE:
             log.warning("skipping %s: not a lake table", t)
             continue
-        src = spark.readStream.schema(lake_schema(t)).parquet(f"{lake_root.rstrip('/')}/{t}")
+        try:
+            src = spark.readStream.schema(lake_schema(t)).parquet(f"{lake_root.rstrip('/')}/{t}")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            log.warning("no lake files for %s under %s yet; skipped", t, lake_root)
+            continue
         typed = src.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW[t].fields],
                            *PARTITION_COLS)
         path = f"{raw_root.rstrip('/')}/{t}"

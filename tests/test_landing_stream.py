@@ -133,3 +133,9 @@ def test_sync_raw_follows_the_lake(spark, tmp):
     full = read_raw(spark, raw_full, "transactions")
     assert inc.count() == 4 and inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
     assert dict(inc.dtypes)["amount"] == "decimal(15,2)"
+
+
+def test_sync_raw_skips_missing_lake_tables(spark, tmp):
+    from scorewatch.sources.lake import sync_raw
+    assert sync_raw(spark, f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/ck", ["cards"]) == {}
+    assert read_raw(spark, f"{tmp}/raw", "cards").count() == 0
