@@ -17,6 +17,7 @@ previous versions current; nothing published is overwritten in place.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -29,7 +30,8 @@ from scorewatch.plans import marts, staging
 from scorewatch.sources.lake import read_raw
 
 _LOG_SCHEMA = T.StructType([T.StructField("version", T.LongType()),
-                            T.StructField("committed_at", T.TimestampNTZType())])
+                            T.StructField("committed_at", T.TimestampNTZType()),
+                            T.StructField("schema_json", T.StringType())])
 
 
 class VersionedTable:
@@ -39,17 +41,27 @@ class VersionedTable:
     def path(self, version: int) -> str:
         return f"{self.root}/v={version}"
 
-    def current_version(self) -> int | None:
+    def _latest(self, version: int | None = None):
         try:
-            row = self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_log").agg(
-                F.max("version").alias("v")).first()
+            log = self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_log")
         except AnalysisException:
             return None
-        return None if row is None or row["v"] is None else int(row["v"])
+        if version is not None:
+            log = log.filter(F.col("version") == version)
+        return log.orderBy(F.col("version").desc()).select("version", "schema_json").first()
+
+    def current_version(self) -> int | None:
+        row = self._latest()
+        return None if row is None else int(row["version"])
 
     def read(self, version: int | None = None) -> DataFrame | None:
-        v = self.current_version() if version is None else version
-        return None if v is None else self.spark.read.parquet(self.path(v))
+        """The committed version, read with its recorded schema (an empty
+        version, e.g. a partitioned write of no rows, has no files)."""
+        row = self._latest(version)
+        if row is None:
+            return None
+        schema = T.StructType.fromJson(json.loads(row["schema_json"]))
+        return self.spark.read.schema(schema).parquet(self.path(int(row["version"])))
 
     def commit(self, df: DataFrame, writer: Callable[[DataFrame, str], None] | None = None) -> int:
         """Write the next version, then record it. A folder left by a failed
@@ -60,7 +72,8 @@ class VersionedTable:
             df.write.mode("overwrite").parquet(self.path(v))
         else:
             writer(df, self.path(v))
-        (self.spark.createDataFrame([(v, dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None))], _LOG_SCHEMA)
+        now = dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None)
+        (self.spark.createDataFrame([(v, now, df.schema.json())], _LOG_SCHEMA)
          .coalesce(1).write.mode("append").parquet(f"{self.root}/_log"))
         return v
 
@@ -83,14 +96,18 @@ def read_published(spark: SparkSession, root: str) -> DataFrame:
     return df
 
 
-def write_by_date(facts: DataFrame, path: str, ts_col: str = "created_at") -> None:
-    """Write a fact table partitioned by ``event_date`` so time-window
-    queries prune whole days. Rows are range-partitioned on (date, id)
-    first: each task writes a contiguous run of days, and a hot day is
-    split across several tasks instead of landing in one."""
-    key = "transaction_id" if "transaction_id" in facts.columns else ts_col
-    (facts.withColumn("event_date", F.to_date(F.col(ts_col)))
-     .repartitionByRange("event_date", key)
+def with_event_date(facts: DataFrame, ts_col: str = "created_at") -> DataFrame:
+    return facts.withColumn("event_date", F.to_date(F.col(ts_col)))
+
+
+def write_by_date(facts: DataFrame, path: str) -> None:
+    """Write a fact table (with ``event_date``, see :func:`with_event_date`)
+    partitioned by ``event_date`` so time-window queries prune whole days.
+    Rows are range-partitioned on (date, id) first: each task writes a
+    contiguous run of days, and a hot day is split across several tasks
+    instead of landing in one."""
+    key = "transaction_id" if "transaction_id" in facts.columns else "event_date"
+    (facts.repartitionByRange("event_date", key)
      .write.mode("overwrite").partitionBy("event_date").parquet(path))
 
 
@@ -116,7 +133,7 @@ def build_all(spark: SparkSession, raw_root: str, out_root: str, run_at: Column)
     for name in ("stg_transactions", "stg_users"):
         path = f"{out}/staging/{name}"
         stg[name].write.mode("overwrite").parquet(path)
-        stg[name] = spark.read.parquet(path)
+        stg[name] = spark.read.schema(stg[name].schema).parquet(path)
     for name, df in stg.items():
         df.createOrReplaceTempView(name)
 
@@ -132,14 +149,18 @@ def build_all(spark: SparkSession, raw_root: str, out_root: str, run_at: Column)
         spark, f"{out}/intermediate/int_user_transaction_velocity",
         user_transaction_velocity(stg_tx, **buckets))}
     paths["dim_users"] = publish(spark, f"{out}/marts/dim_users", marts.dim_users(store.read()))
-    dim = spark.read.parquet(paths["dim_users"])
+    dim = read_published(spark, f"{out}/marts/dim_users")
     paths["fct_transactions"] = publish(spark, f"{out}/marts/fct_transactions",
-                                        marts.fct_transactions(stg_tx, dim), write_by_date)
+                                        with_event_date(marts.fct_transactions(stg_tx, dim)), write_by_date)
     paths["fct_fraud_alerts"] = publish(spark, f"{out}/marts/fct_fraud_alerts",
-                                        marts.fct_fraud_alerts(stg_tx, dim, **buckets), write_by_date)
+                                        with_event_date(marts.fct_fraud_alerts(stg_tx, dim, **buckets)),
+                                        write_by_date)
 
     models = dict(stg)
-    models.update({k: spark.read.parquet(p) for k, p in paths.items()})
+    roots = {"int_user_transaction_velocity": "intermediate/int_user_transaction_velocity",
+             "dim_users": "marts/dim_users", "fct_transactions": "marts/fct_transactions",
+             "fct_fraud_alerts": "marts/fct_fraud_alerts"}
+    models.update({k: read_published(spark, f"{out}/{r}") for k, r in roots.items()})
     paths["dq_report"] = publish(spark, f"{out}/reports/dq_report",
                                  quality.run_checks(models, quality.MODEL_CHECKS))
     paths["snapshot"] = store.path(store.current_version())
@@ -166,13 +187,16 @@ def register_tables(spark: SparkSession, out_root: str, database: str = "marts")
     located = {}
     for name, rel in PUBLISHED.items():
         table = VersionedTable(spark, f"{out}/{rel}")
-        v = table.current_version()
-        if v is None:
+        row = table._latest()
+        if row is None:
             continue
-        path = table.path(v)
+        path = table.path(int(row["version"]))
+        schema = T.StructType.fromJson(json.loads(row["schema_json"]))
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parts = " PARTITIONED BY (event_date)" if "event_date" in schema.fieldNames() else ""
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
-        spark.sql(f"CREATE TABLE `{database}`.`{name}` USING parquet LOCATION '{path}'")
-        if any(c.isPartition for c in spark.catalog.listColumns(f"`{database}`.`{name}`")):
+        spark.sql(f"CREATE TABLE `{database}`.`{name}` ({cols}) USING parquet{parts} LOCATION '{path}'")
+        if parts:
             # Partition folders (event_date=...) are registered in the catalog.
             spark.catalog.recoverPartitions(f"`{database}`.`{name}`")
         located[name] = path

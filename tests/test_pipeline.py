@@ -123,3 +123,13 @@ def test_entry_and_registry(spark):
     assert df.columns[0] == "transaction_id" and df.count() == 1000
     assert set(E.oracle_sql()) <= set(E.queries())
     assert len(E.queries()) >= 40
+
+
+def test_build_before_any_data(spark, tmp):
+    from scorewatch.plans.pipeline import read_published, register_tables
+    build_all(spark, f"{tmp}/raw", f"{tmp}/out", ntz("2024-01-01 00:00:00"))
+    assert read_published(spark, f"{tmp}/out/marts/fct_fraud_alerts").count() == 0
+    report = read_published(spark, f"{tmp}/out/reports/dq_report")
+    assert report.count() == 26 and report.filter("failures > 0").count() == 0
+    register_tables(spark, f"{tmp}/out", "empty_wh")
+    assert spark.sql("SELECT count(*) AS n FROM empty_wh.fct_fraud_alerts").first().n == 0
