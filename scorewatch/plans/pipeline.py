@@ -35,13 +35,17 @@ _LOG_SCHEMA = T.StructType([T.StructField("version", T.LongType()),
 
 
 class VersionedTable:
+    """A table published as version folders ``<root>/v=<n>`` plus a commit
+    log ``<root>/_log`` (one small row per commit: version, time, schema)."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
     def path(self, version: int) -> str:
         return f"{self.root}/v={version}"
 
-    def _latest(self, version: int | None = None):
+    def latest_commit(self, version: int | None = None):
+        """The log row of ``version`` (default: the highest), or None."""
         try:
             log = self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_log")
         except AnalysisException:
@@ -51,13 +55,13 @@ class VersionedTable:
         return log.orderBy(F.col("version").desc()).select("version", "schema_json").first()
 
     def current_version(self) -> int | None:
-        row = self._latest()
+        row = self.latest_commit()
         return None if row is None else int(row["version"])
 
     def read(self, version: int | None = None) -> DataFrame | None:
         """The committed version, read with its recorded schema (an empty
         version, e.g. a partitioned write of no rows, has no files)."""
-        row = self._latest(version)
+        row = self.latest_commit(version)
         if row is None:
             return None
         schema = T.StructType.fromJson(json.loads(row["schema_json"]))
@@ -187,7 +191,7 @@ def register_tables(spark: SparkSession, out_root: str, database: str = "marts")
     located = {}
     for name, rel in PUBLISHED.items():
         table = VersionedTable(spark, f"{out}/{rel}")
-        row = table._latest()
+        row = table.latest_commit()
         if row is None:
             continue
         path = table.path(int(row["version"]))
