@@ -132,3 +132,11 @@ def test_auto_buckets_choose_and_stay_exact(spark):
         for w in (5, 60):
             for tid, (c, s) in _brute(rows, w).items():
                 assert (r[tid][f"cnt_{w}min"], r[tid][f"sum_{w}min"]) == (c, s), (target, w, tid)
+
+
+def test_auto_buckets_on_empty_input(spark):
+    from scorewatch.operators.velocity import choose_buckets
+    empty = spark.createDataFrame([(1, None, None, Decimal("1.00"))], SCHEMA)
+    assert choose_buckets(empty, "user_id", "created_at", 60) == {"strategy": "halo", "bucket_minutes": 1440}
+    r = _run(spark, [(1, None, None, Decimal("1.00"))], bucket_minutes="auto")
+    assert r[1]["cnt_60min"] == 0
