@@ -39,6 +39,8 @@ from .common import checkpointed, shared_folder, slices, texts
 
 #: A space after white space, where cutting before every space isn't safe.
 _UNSAFE = re.compile(r"\s ")
+TOGETHER = 400  # pieces in one call; the library slows down on longer texts
+_encoders: dict[int, CachedEncoder] = {}
 
 
 class CachedEncoder:
@@ -64,17 +66,17 @@ class CachedEncoder:
         self.keep, self.known = keep, {}
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype)
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
 
     def _learn(self, pieces: list[str]) -> None:
-        for i in range(0, len(pieces), 4000):
-            part = [f" {x}" for x in pieces[i: i + 4000]]
+        for i in range(0, len(pieces), TOGETHER):
+            part = [f" {x}" for x in pieces[i: i + TOGETHER]]
             ids = self._ids("".join(part))
             ends = np.cumsum([len(x.encode()) for x in part])
             at = np.searchsorted(np.cumsum(self.width[ids]), ends, "right")
             raw, size = ids.tobytes(), self.dtype.itemsize
             last = 0
-            for piece, end in zip(pieces[i: i + 4000], (at * size).tolist()):
+            for piece, end in zip(pieces[i: i + TOGETHER], (at * size).tolist()):
                 self.known[piece] = raw[last:end]
                 last = end
 
@@ -90,6 +92,13 @@ class CachedEncoder:
                 for t, pieces in zip(batch, cut)]
 
 
+def _encoder(raw: str) -> CachedEncoder:
+    """One per worker process, so that its pieces serve the next task too."""
+    if hash(raw) not in _encoders:
+        _encoders[hash(raw)] = CachedEncoder(raw)
+    return _encoders[hash(raw)]
+
+
 def _store(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
 
@@ -119,7 +128,7 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 0, id
     def run(batches):
         part = TaskContext.get().partitionId()
         store, root = _store(folder)
-        stem, encoder = f"{part:06d}-{uuid.uuid4().hex[:12]}", CachedEncoder(raw.value)
+        stem, encoder = f"{part:06d}-{uuid.uuid4().hex[:12]}", _encoder(raw.value)
         end = np.array([end_id], encoder.dtype).tobytes()
         ids, counts = [], []
         with store.open_output_stream(f"{root}/{stem}.ids") as out:
