@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, token_files, topk, toxicity_pu, url_filter
+from . import bpe, decontaminate, line_dedup, near_dup, token_files, topk, toxicity_pu, url_filter
 from .common import fold, read_table, texts
 
 #: Fixed rules of the url query: host, path, verdict.
@@ -40,6 +40,11 @@ def bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path(MULTI_RANKS), public_tokenizers.PATTERN)
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 6: every pair of a document and a benchmark item that it holds."""
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("hash")
+
+
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 7: toxicity score of every document; one id fold in five is held out."""
     docs = texts(read_table(spark, sf_dir, "documents"))
@@ -48,6 +53,16 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 8: class and number of links of every document."""
+    return near_dup.classes(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 10: every maximal line run that is a later copy."""
+    return line_dedup.repeated_runs(read_table(spark, sf_dir, "documents"))
+
+
 def token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 9: write every document's ids as flat files, read them back."""
     return token_files.written_and_read(spark, read_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
@@ -57,8 +72,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_topk": exact_topk,
     "op4_url_filters": url_filters,
     "op5_bpe_codec": bpe_codec,
+    "op6_decontamination": decontamination,
     "op7_toxicity": toxicity,
+    "op8_near_dedup": near_dedup,
     "op9_token_files": token_binary,
+    "op10_line_dedup": repeated_lines,
 }
 
 ORACLE_SQL: dict[str, str] = {

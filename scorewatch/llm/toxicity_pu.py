@@ -119,8 +119,8 @@ def _selected(sample: DataFrame, max_features: int, least_z: float) -> tuple[np.
     return np.sort(np.array([r.feature for r in best], np.int64)), size.p, size.u
 
 
-def nn_pu(x: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 600,
-          rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def nn_pu(x: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400,
+          rate: float = 0.05, decay: float = 3e-4) -> tuple[np.ndarray, float]:
     """Weights and intercept of the linear model, by Adam on the whole sample."""
     xp, xu = x[positive], x[unlabelled]
     w, b = np.zeros(x.shape[1]), float(np.log(prior / (1 - prior)))
@@ -144,7 +144,7 @@ def nn_pu(x: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior: fl
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, prior: float | None = None, max_positive: int = 8_000,
-        max_unlabelled: int = 24_000, max_features: int = 600, least_z: float = 4.5) -> Model:
+        max_unlabelled: int = 24_000, max_features: int = 400, least_z: float = 5.0) -> Model:
     """``docs``: doc_id, text; ``labels``: doc_id, toxic; ``train``: which ids
     the fit may learn from."""
     labels = labels.select(F.col("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("toxic IS NOT NULL")
