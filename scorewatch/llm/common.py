@@ -19,11 +19,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Two columns, ``doc_id`` and ``text``; a null text is empty. Any other
-    column, whatever its name, stays out of the operator."""
+def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_col: str | None = None) -> DataFrame:
+    """Two columns, ``doc_id`` and ``text`` (and ``block``); a null text is
+    empty. Any other column, whatever its name, stays out of the operator."""
     return docs.select(F.col(id_col).alias("doc_id"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+                       *([F.col(block_col).alias("block")] if block_col else []))
 
 
 def fold(buckets: int, id_col: str = "doc_id") -> Column:

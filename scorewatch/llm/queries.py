@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, near_dup, token_files, topk, toxicity_pu, url_filter
+from . import bpe, decontaminate, line_dedup, lm_ppm, near_dup, token_files, topk, toxicity_pu, url_filter
 from .common import fold, read_table, texts
 
 #: Fixed rules of the url query: host, path, verdict.
@@ -24,6 +24,12 @@ MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 BYTE_BPE = "byte_bpe_50k.json"
 
 
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 1: log probability of every document; one id fold in seven is held out."""
+    scores = lm_ppm.score(read_table(spark, sf_dir, "documents"), fold(7) != 2)
+    return scores.withColumn("held_out", fold(7) == 2)
+
+
 def exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 3: the 10 best rows by integer inner product for every 100th vector."""
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
@@ -69,6 +75,7 @@ def token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": lm_scoring,
     "op3_exact_topk": exact_topk,
     "op4_url_filters": url_filters,
     "op5_bpe_codec": bpe_codec,
