@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, lm_ppm, near_dup, token_files, topk, toxicity_pu, url_filter
+from . import bpe, decontaminate, license_scan, line_dedup, lm_ppm, near_dup, token_files, topk, toxicity_pu, url_filter
 from .common import fold, read_table, texts
 
 #: Fixed rules of the url query: host, path, verdict.
@@ -30,6 +30,11 @@ def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumn("held_out", fold(7) == 2)
 
 
+def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 2: license phrases and labels of every document."""
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 def exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 3: the 10 best rows by integer inner product for every 100th vector."""
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
@@ -76,6 +81,7 @@ def token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": lm_scoring,
+    "op2_license_scans": license_scans,
     "op3_exact_topk": exact_topk,
     "op4_url_filters": url_filters,
     "op5_bpe_codec": bpe_codec,
