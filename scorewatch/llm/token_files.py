@@ -39,7 +39,9 @@ from .common import checkpointed, shared_folder, slices, texts
 
 #: A space after white space, where cutting before every space isn't safe.
 _UNSAFE = re.compile(r"\s ")
-TOGETHER = 400  # pieces in one call; the library slows down on longer texts
+#: Letters, marks, and after a line feed letters and marks again.
+_SHAPE = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)(?:\n([^\W\d_]+)([!-/:-@\[-`{-~]*))?\Z")
+TOGETHER = 200  # pieces in one call; the library slows down on longer texts
 _encoders: dict[int, CachedEncoder] = {}
 
 
@@ -48,9 +50,12 @@ class CachedEncoder:
 
     No match of the byte-level pattern goes on from a character that isn't
     white space into a space, so the ids of a text are those of its pieces cut
-    before spaces. The ids of a piece are kept; the library sees each new piece
-    once, many at a time. Texts with a space after white space go to the
-    library whole. Special tokens in a text are ordinary text.
+    before spaces. Nor does one go on from letters into marks, or over a line
+    feed between marks and letters; a piece of that shape has the ids of its words
+    and marks. The ids of pieces and of words are kept, so the library sees a
+    word about once in a worker's life, many words at a time. Texts with a space
+    after white space go to the library whole. Special tokens in a text are
+    ordinary text.
     """
 
     def __init__(self, raw: str, keep: int = 300_000):
@@ -63,32 +68,62 @@ class CachedEncoder:
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         # Each character of a byte-level token stands for one byte.
         self.width = np.array([len(self.library.id_to_token(i) or "") for i in range(size)], np.int64)
-        self.keep, self.known = keep, {}
+        self.keep = keep
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # with the space before them
+        self.single: dict[str, bytes] = {}  # texts that don't begin with a space
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
 
-    def _learn(self, pieces: list[str]) -> None:
-        for i in range(0, len(pieces), TOGETHER):
-            part = [f" {x}" for x in pieces[i: i + TOGETHER]]
+    def _alone(self, text: str) -> bytes:
+        ids = self.single.get(text)
+        if ids is None:
+            ids = self.single[text] = self._ids(text).tobytes()
+        return ids
+
+    def _spaced(self, words: list[str], into: dict[str, bytes]) -> None:
+        """Ids of each word with a space before it."""
+        size = self.dtype.itemsize
+        for i in range(0, len(words), TOGETHER):
+            part = [f" {x}" for x in words[i: i + TOGETHER]]
             ids = self._ids("".join(part))
             ends = np.cumsum([len(x.encode()) for x in part])
-            at = np.searchsorted(np.cumsum(self.width[ids]), ends, "right")
-            raw, size = ids.tobytes(), self.dtype.itemsize
-            last = 0
-            for piece, end in zip(pieces[i: i + TOGETHER], (at * size).tolist()):
-                self.known[piece] = raw[last:end]
+            at = np.searchsorted(np.cumsum(self.width[ids]), ends, "right") * size
+            raw, last = ids.tobytes(), 0
+            for word, end in zip(words[i: i + TOGETHER], at.tolist()):
+                into[word] = raw[last:end]
                 last = end
 
+    def _learn(self, pieces: list[str]) -> None:
+        shaped, other = [], []
+        for x in pieces:
+            m = _SHAPE.match(x)
+            if m and m[1].isalpha() and (m[3] is None or m[3].isalpha()):
+                shaped.append((x, m[1], m[2], m[3], m[4]))
+            else:
+                other.append(x)
+        self._spaced(list({s[1] for s in shaped}.difference(self.words)), self.words)
+        self._spaced(other, self.pieces)
+        for x, word, marks, following, more in shaped:
+            ids = self.words[word]
+            if marks:
+                ids += self._alone(marks)
+            if following is not None:
+                ids += self._alone("\n") + self._alone(following)
+                if more:
+                    ids += self._alone(more)
+            self.pieces[x] = ids
+
     def encode(self, batch: list[str]) -> list[bytes]:
-        if len(self.known) > self.keep:
-            self.known.clear()
+        for known, most in ((self.pieces, self.keep), (self.words, 2 * self.keep), (self.single, self.keep)):
+            if len(known) > most:
+                known.clear()
         cut = [None if _UNSAFE.search(t) else t.split(" ") for t in batch]
         new = {x for pieces in cut if pieces for x in pieces[1:]}
-        self._learn([x for x in new if x not in self.known])
-        get = self.known.__getitem__
-        return [self._ids(t).tobytes() if pieces is None
-                else b"".join([self._ids(pieces[0]).tobytes(), *map(get, pieces[1:])])
+        self._learn(list(new.difference(self.pieces)))
+        get = self.pieces.__getitem__
+        return [self._ids(t).tobytes() if pieces is None else b"".join([self._alone(pieces[0]), *map(get, pieces[1:])])
                 for t, pieces in zip(batch, cut)]
 
 
