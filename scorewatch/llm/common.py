@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,7 +66,9 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text",
 
 
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of a string column without nulls, and the offsets of its rows."""
+    """Bytes of a string column, and the offsets of its rows; a null is empty."""
+    if col.null_count:
+        col = pc.fill_null(col, "" if not pa.types.is_binary(col.type) else b"")
     kind = np.int64 if pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type) else np.int32
     _, offsets, data = col.buffers()
     at = np.frombuffer(offsets, kind)[col.offset: col.offset + len(col) + 1].astype(np.int64)

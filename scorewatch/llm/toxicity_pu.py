@@ -56,10 +56,10 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total, -40, 40)))
 
 
-def features(batch: pa.RecordBatch, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def features(batch: pa.RecordBatch, known: np.ndarray | None = None, column: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """Distinct (row, feature) pairs of a batch of texts; ``known``: a table of
     truth values, true for the features that matter."""
-    raw, offsets = utf8(batch.column("text"))
+    raw, offsets = utf8(batch.column(column))
     low = LOWER[raw]
     starts, ends, row = words(low, offsets, ALNUM)
     shift = np.uint64(64 - BITS + 1)
@@ -196,6 +196,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, score double")
 
 
+def kept(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """``docs`` with its columns, without the documents that score ``threshold``
+    or more; decided where the rows are, nothing is shuffled."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        model = sent.value
+        known = np.zeros(1 << BITS, bool)
+        known[model.features] = True
+        for part in slices(batches, text_col):
+            row, feature = features(part, known, text_col)
+            yield part.filter(pa.array(model.score(row, feature, part.num_rows) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def scored(docs: DataFrame, labels: DataFrame, train: Column, **limits) -> DataFrame:
     docs = texts(docs)
     return score(docs, fit(docs, labels, train, **limits))
