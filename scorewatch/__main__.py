@@ -35,17 +35,22 @@ def _as_of(text: str | None):
     return F.lit(text).cast("timestamp_ntz") if text else F.current_timestamp().cast("timestamp_ntz")
 
 
-def _emit(df: DataFrame, write: str | None, show: int) -> int:
-    """Print up to ``show`` rows as JSON lines (or write them); returns the
-    number of rows printed (-1 when written)."""
+def _emit(df: DataFrame, write: str | None, show: int | None = None) -> int:
+    """Print the rows as JSON lines, partition by partition, or write them;
+    returns the number of rows printed (-1 when written). An explicit ``show``
+    stops there and says so if rows are left."""
     if write:
         df.write.mode("overwrite").parquet(write)
         print(json.dumps({"written": write}))
         return -1
-    rows = df.toJSON().take(show)
-    for row in rows:
+    n = 0
+    for row in df.toJSON().toLocalIterator():
+        if n == show:
+            print(json.dumps({"truncated": f"only the first {show} rows are shown"}), file=sys.stderr)
+            break
         print(row)
-    return len(rows)
+        n += 1
+    return n
 
 
 def serve(spark: SparkSession, args) -> DataFrame:
@@ -61,9 +66,9 @@ def serve(spark: SparkSession, args) -> DataFrame:
     if q == "credit-score-current":
         return serving.credit_score_current(dim, users)
     if q == "alerts":
-        return serving.active_alerts(alerts, args.limit or K.ALERTS_LIMIT_DEFAULT, args.user)
+        return serving.active_alerts(alerts, K.ALERTS_LIMIT_DEFAULT if args.limit is None else args.limit, args.user)
     if q == "alerts-summary":
-        return serving.fraud_summary(alerts, _as_of(args.as_of), args.hours or K.SUMMARY_HOURS_DEFAULT)
+        return serving.fraud_summary(alerts, _as_of(args.as_of), K.SUMMARY_HOURS_DEFAULT if args.hours is None else args.hours)
     if q == "fraud-by-hour":
         return serving.fraud_pct_by_hour(alerts)
     if q == "fraud-by-day":
@@ -72,7 +77,7 @@ def serve(spark: SparkSession, args) -> DataFrame:
         return serving.score_distribution(dim)
     if q == "feed":
         minutes = args.minutes
-        return serving.alert_feed(alerts, args.limit or K.FEED_LIMIT,
+        return serving.alert_feed(alerts, K.FEED_LIMIT if args.limit is None else args.limit,
                                   _as_of(args.as_of) if minutes else None, minutes)
     if q == "alerts-by-rule":
         return serving.alerts_by_rule(alerts)
@@ -87,6 +92,7 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--events"), a.add_argument("--bootstrap")
     a.add_argument("--lake", required=True), a.add_argument("--checkpoint", required=True)
     a.add_argument("--topic"), a.add_argument("--once", action="store_true")
+    a.add_argument("--max-offsets", type=int, help="broker offsets per topic and trigger (default: all)")
 
     c = sub.add_parser("cards", help="card feed pages -> anonymized card events")
     c.add_argument("--pages", required=True), c.add_argument("--events"), c.add_argument("--bootstrap")
@@ -110,12 +116,12 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("query"), s.add_argument("--out", required=True)
     s.add_argument("--user", type=int), s.add_argument("--limit", type=int)
     s.add_argument("--hours", type=int), s.add_argument("--minutes", type=int)
-    s.add_argument("--as-of"), s.add_argument("--write"), s.add_argument("--show", type=int, default=1000)
+    s.add_argument("--as-of"), s.add_argument("--write"), s.add_argument("--show", type=int)
 
     q = sub.add_parser("sql", help="run SQL over the published tables (database.table)")
     q.add_argument("statement"), q.add_argument("--out", required=True)
     q.add_argument("--database", default="marts"), q.add_argument("--write")
-    q.add_argument("--show", type=int, default=1000)
+    q.add_argument("--show", type=int)
 
     args = p.parse_args(argv)
     spark = _session()
@@ -125,7 +131,7 @@ def main(argv: list[str] | None = None) -> int:
         if args.bootstrap:
             queries = []
             for route in ingest.select_topics(args.topic):
-                src = ingest.kafka_source(spark, args.bootstrap, route.topic)
+                src = ingest.kafka_source(spark, args.bootstrap, route.topic, args.max_offsets)
                 queries += ingest.start_ingest(src, args.lake, args.checkpoint, route.topic, args.once)
         elif args.events:
             queries = ingest.start_ingest(ingest.file_source(spark, args.events), args.lake,
@@ -152,7 +158,7 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(build_all(spark, args.raw, args.out, _as_of(args.run_at))))
     elif args.cmd == "report":
         from scorewatch.plans.pipeline import read_published
-        _emit(read_published(spark, f"{args.out.rstrip('/')}/reports/dq_report"), None, 1000)
+        _emit(read_published(spark, f"{args.out.rstrip('/')}/reports/dq_report"), None)
     elif args.cmd == "serve":
         shown = _emit(serve(spark, args), args.write, args.show)
         if shown == 0 and args.user is not None and args.query.startswith("credit-score"):

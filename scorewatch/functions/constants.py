@@ -25,8 +25,7 @@ ALERTS_LIMIT_DEFAULT, ALERTS_LIMIT_MAX = 50, 500
 SUMMARY_HOURS_DEFAULT, SUMMARY_HOURS_MAX = 24, 168
 FEED_LIMIT = 50
 HOURLY_PANEL_LIMIT = 168
-# Micro-batch sink: flush size (rows) and interval.
-SINK_FLUSH_ROWS = 200
+# Micro-batch sink: flush interval.
 SINK_FLUSH_SECONDS = 5
 # Card feed page size.
 CARD_PAGE_SIZE = 50

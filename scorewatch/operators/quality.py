@@ -102,8 +102,12 @@ def orphans(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str
 
 def relationship_check(model: str, child: DataFrame, parent: DataFrame, child_col: str,
                        parent_col: str) -> DataFrame:
+    """Orphan rows, counted per key before the join, so a key that many rows
+    share meets its parent once."""
     ch = Check(model, child_col, "relationships")
-    return orphans(child, parent, child_col, parent_col).agg(*_row(ch, F.count(F.lit(1))))
+    keys = child.groupBy(child_col).agg(F.count(F.lit(1)).alias("_n"))
+    failures = F.coalesce(F.sum("_n"), F.lit(0))
+    return orphans(keys, parent, child_col, parent_col).agg(*_row(ch, failures))
 
 
 # --- fixed values: the model tests of the warehouse project -------------

@@ -22,7 +22,7 @@ def high_amount(amount: Column, threshold=K.HIGH_AMOUNT_USD) -> Column:
 
 
 def limit_exceeded(amount: Column, limit: Column) -> Column:
-    return _safe(limit.isNotNull() & (amount > limit))
+    return _safe(amount > limit)
 
 
 def velocity(cnt_5min: Column, threshold=K.VELOCITY_MIN_TX_5MIN) -> Column:
@@ -30,8 +30,7 @@ def velocity(cnt_5min: Column, threshold=K.VELOCITY_MIN_TX_5MIN) -> Column:
 
 
 def location_shift(tx_location: Column, user_location: Column) -> Column:
-    return _safe(user_location.isNotNull() & tx_location.isNotNull()
-                 & (tx_location != user_location))
+    return _safe(tx_location != user_location)
 
 
 def source_flag(flag: Column) -> Column:
@@ -63,9 +62,7 @@ def risk_band(score: Column) -> Column:
 
 
 def risk_band_check(users: DataFrame) -> DataFrame:
-    """Expected band per score next to the stored status, with a flag."""
+    """Versions whose stored status is not the band of their score."""
     expected = risk_band(F.col("scoring_crediticio"))
-    return users.select(
-        "user_id", "scoring_crediticio", "status_riesgo",
-        expected.alias("expected_status"),
-        F.coalesce(F.col("status_riesgo") == expected, F.lit(False)).alias("is_consistent"))
+    return (users.select("user_id", "valid_from", "scoring_crediticio", "status_riesgo", expected.alias("expected_status"))
+            .filter(~F.col("status_riesgo").eqNullSafe(F.col("expected_status"))))

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SCD_COLS = ("dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")
 
@@ -87,23 +87,42 @@ def snapshot_step(prev: DataFrame, batch: DataFrame, as_of: Column, key: str = "
 
 
 def snapshot_batches(batches: Sequence[DataFrame], run_times: Sequence[Column],
-                     key: str = "user_id", updated_at: str = "updated_at",
-                     checkpoint_after: int = 2) -> DataFrame:
-    """Fold a sequence of batches into a snapshot (first run, then steps).
-
-    ``run_times[i]`` is the run time of ``batches[i + 1]``. A step reads the
-    previous snapshot twice (closed and open versions), so an in-memory fold
-    doubles its plan per step; beyond ``checkpoint_after`` steps every
-    intermediate snapshot is checkpointed to the shared checkpoint folder.
+                     key: str = "user_id", updated_at: str = "updated_at") -> DataFrame:
+    """Snapshot of a sequence of batches (first run, then steps), with the
+    result of the steps one by one; ``run_times[i]`` is the run time of
+    ``batches[i + 1]``."""
+    both = batches[0].withColumn("_b", F.lit(0))
+    for i, batch in enumerate(batches[1:], 1):
+        both = both.unionByName(batch.withColumn("_b", F.lit(i)))
+    return snapshot_union(both, run_times, key, updated_at)
+
+
+def snapshot_union(rows: DataFrame, run_times: Sequence[Column], key: str = "user_id",
+                   updated_at: str = "updated_at", batch: str = "_b") -> DataFrame:
+    """All versions from one pass over the batches' rows, one row per key and
+    ``batch`` (0, 1, ...).
+
+    Within a stretch of batches that all hold the key, a row opens a version if
+    it is the first or newer than everything before it in the stretch, and
+    closes at the next version's time; the last one closes at the run that
+    missed the key, if there was one. A row with a NULL key is a stretch of its
+    own. All windows share the key's exchange.
     """
-    from scorewatch.session import ensure_checkpoint_dir
-    snap = snapshot_initial(batches[0], key, updated_at)
-    steps = list(zip(batches[1:], run_times))
-    cut = len(steps) > checkpoint_after
-    if cut:
-        ensure_checkpoint_dir(batches[0].sparkSession)
-    for i, (batch, at) in enumerate(steps):
-        snap = snapshot_step(snap, batch, at, key, updated_at)
-        if cut and i < len(steps) - 1:
-            snap = snap.checkpoint(eager=True)
-    return snap
+    cols = [c for c in rows.columns if c != batch]
+    at = F.col(updated_at)
+    per_key = Window.partitionBy(key).orderBy(batch)
+    stretch = F.when(F.col(key).isNull(), F.col(batch)).otherwise(F.col(batch) - F.row_number().over(per_key))
+    rows = rows.withColumn("_s", stretch)
+    along = Window.partitionBy(key, "_s").orderBy(batch)
+    whole = Window.partitionBy(key, "_s")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    rows = (rows.withColumn("_first", F.row_number().over(along) == 1)
+            .withColumn("_open", F.first(at).over(along)).withColumn("_top", F.max(at).over(before))
+            .withColumn("_missed", F.max(batch).over(whole) + 1)
+            .filter(F.col("_first") | (F.col("_open").isNotNull() & (at > F.col("_top")))))
+    gone = F.lit(None).cast("timestamp_ntz")
+    for i, run_at in enumerate(run_times, 1):
+        gone = F.when(F.col("_missed") == i, run_at.cast("timestamp_ntz")).otherwise(gone)
+    # A version that follows is newer, so its time is never NULL.
+    until = F.coalesce(F.lead(at).over(along), gone)
+    return rows.select(*_open_version(rows, key, updated_at, cols)[:-1], until.alias("dbt_valid_to"))

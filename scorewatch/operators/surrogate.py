@@ -1,18 +1,17 @@
 """Dense surrogate ids 1..n in a total order, without a single-partition sort.
 
-A global ``row_number()`` without ``PARTITION BY`` moves every row to one
-task. Instead:
-
-1. ``orderBy`` range-partitions on the full order key (sampled bounds split
-   even one hot date across tasks) and sorts within partitions;
-   ``monotonically_increasing_id`` then numbers rows in order and encodes
-   the partition in its upper bits.
-2. The numbered rows are checkpointed to the shared checkpoint folder, so
-   both uses below see one fixed partitioning (and an executor loss does not
-   renumber anything).
-3. Row counts per partition are a table of at most ``numPartitions`` rows;
-   their running sum gives each partition's offset. That table is joined
-   back with a broadcast whose size is bounded by the partition count.
+A global ``row_number()`` without ``PARTITION BY`` moves every row to one task.
+Instead the order's first column and a range of its second column name groups
+that follow each other in the order. Rows are numbered inside their group, and
+a group's offset is the number of rows in all groups before it:
+
+* counts per (first column, range) come from a partial aggregation;
+* their running sum within one value of the first column, and the running sum
+  of the totals over the first column's values, are windows over these counts
+  only, never over rows.
+
+Rows are shuffled once, by group; a value of the first column that holds much
+of the data is spread over its ranges. Nothing runs before an action.
 """
 
 from __future__ import annotations
@@ -21,23 +20,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from scorewatch.session import ensure_checkpoint_dir
-
-_LOW_BITS = 33
-
-
-def dense_id(df: DataFrame, order: Sequence[Column], id_col: str = "id") -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    numbered = (df.orderBy(*order)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
-    part = F.shiftright(F.col("_mid"), _LOW_BITS)
-    local = F.col("_mid") - F.shiftleft(part, _LOW_BITS)
-    counts = numbered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_part",
-        (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"))
-    out = (numbered.join(F.broadcast(offsets), part == F.col("_part"))
-           .withColumn(id_col, F.coalesce(F.col("_off"), F.lit(0)) + local + 1))
-    return out.select(id_col, *df.columns)
+
+def dense_id(df: DataFrame, order: Sequence[str], part: Column, id_col: str = "id") -> DataFrame:
+    """``order``: the columns of the total order, NULLs last; ``part``: a
+    non-decreasing function of its second column (NULL only where that is)."""
+    first = F.col(order[0])
+    rows = df.withColumn("_part", part)
+    counts = rows.groupBy(first.alias("_first"), F.col("_part").alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    days = counts.groupBy("_first").agg(F.sum("_n").alias("_total"))
+    # One row per value of the first column: days of the landing folders.
+    before = Window.orderBy(F.col("_first").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select(F.col("_first").alias("_day"), F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
+    inside = (Window.partitionBy("_first").orderBy(F.col("_p").asc_nulls_last())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = (counts.withColumn("_inner", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+               .join(days, F.col("_first").eqNullSafe(F.col("_day")))
+               .select("_first", "_p", (F.col("_base") + F.col("_inner")).alias("_offset")))
+    along = Window.partitionBy(order[0], "_part").orderBy(*[F.col(c).asc_nulls_last() for c in order[1:]])
+    numbered = rows.withColumn("_rn", F.row_number().over(along))
+    joined = numbered.join(offsets, first.eqNullSafe(F.col("_first")) & F.col("_part").eqNullSafe(F.col("_p")))
+    return joined.select((F.col("_offset") + F.col("_rn")).alias(id_col), *df.columns)

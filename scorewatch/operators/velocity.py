@@ -32,6 +32,7 @@ from scorewatch.functions.timecols import MICROS_PER_MINUTE, epoch_micros
 
 SUM_TYPE = "decimal(18,2)"
 TARGET_ROWS_PER_TASK = 5_000_000
+NOBODY = 1009  # groups for rows without a user or time
 
 
 def choose_buckets(df: DataFrame, user_col: str, ts_col: str, widest_min: int,
@@ -77,30 +78,8 @@ def with_velocity(df: DataFrame, user_col: str = "user_id", ts_col: str = "creat
                                     bucket_seconds or 60, metrics)
     if strategy != "halo":
         raise ValueError(f"unknown strategy {strategy!r}")
-    widest = max(windows_min)
-    bucket = bucket_minutes or 4 * widest
-    if bucket < 1:
-        raise ValueError("bucket_minutes must be positive")
-    k = math.ceil(widest / bucket)
-    bucket_us = bucket * MICROS_PER_MINUTE
-
-    payload = [c for c in df.columns if c not in (user_col, ts_col, amount_col)]
-    us = epoch_micros(F.col(ts_col))
-    widest_us = widest * MICROS_PER_MINUTE
-    staged = (df.withColumn("_us", us)
-              .withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_us)))
-              .withColumn("_shift", F.explode(F.sequence(
-                  F.lit(0), F.when(F.col("_us").isNull(), F.lit(0)).otherwise(F.lit(k))))))
+    spread = spread_over_buckets(df, user_col, ts_col, amount_col, max(windows_min), bucket_minutes)
     owner = F.col("_shift") == 0
-    # A copy is useful only if it is within the widest window of the start of
-    # the bucket it is copied into: (b + j) * bucket - widest < ts.
-    reachable = F.col("_us") > (F.col("_b") + F.col("_shift")) * F.lit(bucket_us) - F.lit(widest_us)
-    staged = staged.filter(owner | reachable)
-    # Context copies keep only what the frame needs: user, time, amount.
-    spread = staged.select(
-        F.col(user_col), F.col(ts_col), F.col(amount_col), "_us", "_shift",
-        (F.col("_b") + F.col("_shift")).alias("_pb"),
-        *[F.when(owner, F.col(c)).alias(c) for c in payload])
 
     # (t - w, t] = (-inf, t] minus (-inf, t - w]. Both are UNBOUNDED PRECEDING
     # frames, which Spark evaluates incrementally (a sliding frame would
@@ -124,6 +103,39 @@ def with_velocity(df: DataFrame, user_col: str = "user_id", ts_col: str = "creat
     return out.select(*df.columns, *out.columns[len(spread.columns):])
 
 
+def spread_over_buckets(df: DataFrame, user_col: str, ts_col: str, amount_col: str, widest: int,
+                        bucket_minutes: int | None) -> DataFrame:
+    """The rows and their copies with ``_pb``: one window group per user and
+    ``_pb``; owners have ``_shift`` 0."""
+    bucket = bucket_minutes or 4 * widest
+    if bucket < 1:
+        raise ValueError("bucket_minutes must be positive")
+    k = math.ceil(widest / bucket)
+    bucket_us = bucket * MICROS_PER_MINUTE
+
+    payload = [c for c in df.columns if c not in (user_col, ts_col, amount_col)]
+    us = epoch_micros(F.col(ts_col))
+    widest_us = widest * MICROS_PER_MINUTE
+    staged = (df.withColumn("_us", us)
+              .withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_us)))
+              .withColumn("_shift", F.explode(F.sequence(
+                  F.lit(0), F.when(F.col("_us").isNull(), F.lit(0)).otherwise(F.lit(k))))))
+    owner = F.col("_shift") == 0
+    # A copy is useful only if it is within the widest window of the start of
+    # the bucket it is copied into: (b + j) * bucket - widest < ts.
+    reachable = F.col("_us") > (F.col("_b") + F.col("_shift")) * F.lit(bucket_us) - F.lit(widest_us)
+    staged = staged.filter(owner | reachable)
+    # Context copies keep only what the frame needs: user, time, amount.
+    # Rows without a user or time have no window: they go anywhere, so that
+    # many of them don't meet in one task.
+    nobody = F.col(user_col).isNull() | F.col("_us").isNull()
+    return staged.select(
+        F.col(user_col), F.col(ts_col), F.col(amount_col), "_us", "_shift",
+        F.when(nobody, F.pmod(F.xxhash64(*payload, ts_col, amount_col), F.lit(NOBODY)))
+        .otherwise(F.col("_b") + F.col("_shift")).alias("_pb"),
+        *[F.when(owner, F.col(c)).alias(c) for c in payload])
+
+
 def _with_velocity_probe(df: DataFrame, user_col: str, ts_col: str, amount_col: str,
                          windows_min: Sequence[int], bucket_seconds: int,
                          metrics: Sequence[str]) -> DataFrame:
@@ -153,7 +165,11 @@ def _with_velocity_probe(df: DataFrame, user_col: str, ts_col: str, amount_col:
     payload = [c for c in df.columns if c not in (user_col, ts_col, amount_col)]
     us = epoch_micros(F.col(ts_col))
     offsets_min = [0, *windows_min]
-    base = df.select("*", us.alias("_us"), F.monotonically_increasing_id().alias("_rid"))
+    # A row is known by its content and its number among equal rows, which a
+    # retried task finds again.
+    alike = Window.partitionBy("_h", *df.columns).orderBy("_h")
+    base = (df.withColumn("_h", F.xxhash64(*df.columns)).withColumn("_nr", F.row_number().over(alike))
+            .select(*df.columns, us.alias("_us"), F.struct("_h", "_nr", F.struct(*df.columns).alias("_row")).alias("_rid")))
     pieces = [F.struct(F.lit(0).alias("_kind"), F.col("_us").alias("_tau"), F.lit(-1).alias("_w"))]
     pieces += [F.struct(F.lit(1).alias("_kind"), (F.col("_us") - F.lit(w * MICROS_PER_MINUTE)).alias("_tau"),
                         F.lit(w).alias("_w")) for w in offsets_min]

@@ -57,6 +57,17 @@ def fct_fraud_alerts(stg_tx: DataFrame, dim: DataFrame, bucket_minutes: int | st
                         bucket_minutes=bucket_minutes, **velocity_kw)
     # The velocity model is joined on transaction_id: a NULL id finds no row.
     vel = vel.withColumn("cnt_5min", F.when(F.col("transaction_id").isNotNull(), F.col("cnt_5min")))
+    return _alerts(vel, dim)
+
+
+def fct_fraud_alerts_from(stg_tx: DataFrame, velocity: DataFrame, dim: DataFrame) -> DataFrame:
+    """The same from the published velocity model, joined on its key."""
+    cnt = velocity.select(F.col("transaction_id").alias("_tid"), "cnt_5min")
+    vel = stg_tx.select(*TX_COLS).join(cnt, F.col("transaction_id") == F.col("_tid"), "left").drop("_tid")
+    return _alerts(vel, dim)
+
+
+def _alerts(vel: DataFrame, dim: DataFrame) -> DataFrame:
     cur = current_users(dim).select(
         F.col("user_id").alias("_uid"), "limite_credito",
         F.col("location").alias("user_location"))

@@ -1,9 +1,9 @@
 """DuckDB SQL computing every registered query from the same test tables.
 
 This is the independent check of the Spark code: the raw-table derivation,
-staging, the SCD2 steps, the velocity (in its literal correlated-subquery
-form), the marts and the served queries are written here in plain SQL over
-the views ``customer nation events lineitem supplier``.
+staging, the SCD2 steps one by one, the velocity as a self join, the marts and
+the served queries are written here in plain SQL over the views ``customer
+nation events orders lineitem supplier``.
 
 Written for DuckDB's NULL ordering (explicit everywhere) and types: timestamps
 without zone, decimal(15,2) money, decimal(18,2) velocity sums, double rates.
@@ -40,8 +40,7 @@ def _with(*names: str) -> str:
 # --- users: three batches ----------------------------------------------------
 _cte("eu", (), """
     SELECT c.c_custkey AS id, c.c_name, n.n_name
-    FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
-    WHERE c.c_custkey IN (SELECT user_id FROM events)""")
+    FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey""")
 
 _cte("ub", ("eu",), """
     SELECT id, c_name, n_name,
@@ -63,7 +62,7 @@ def _users_batch(score: str, ts: str) -> str:
            CAST(CASE WHEN {score} >= 700 THEN 200000 + (id * 7919) % 300001
                      WHEN {score} >= 550 THEN 50000 + (id * 7919) % 150000
                      ELSE 1000 + (id * 7919) % 9000 END AS DECIMAL(15,2)) AS limite_credito,
-           CASE WHEN {score} >= 700 THEN ' Bajo' WHEN {score} >= 550 THEN 'MEDIO ' ELSE 'alto' END
+           CASE WHEN id % 41 = 0 THEN 'alto' WHEN {score} >= 700 THEN ' Bajo' WHEN {score} >= 550 THEN 'MEDIO ' ELSE 'alto' END
                AS status_riesgo,
            n_name AS location,
            {ts} AS updated_at
@@ -140,33 +139,34 @@ _cte("dim", ("s3",), """
            dbt_valid_to IS NULL AS is_current
     FROM s3""")
 
-# --- transactions -------------------------------------------------------------
-_cte("t0", (), """
+# --- transactions, velocity and facts: time compressed, and as it is ("m") ---
+def _transactions(m: str, compression: int) -> None:
+    _cte(f"t0{m}", (), f"""
     SELECT e.event_id AS id, e.user_id, e.value * 40 AS amount, e.event_type AS merchant_category,
            CASE WHEN e.event_id % 97 = 0 THEN '  '
                 WHEN e.event_id % 10 = 0 THEN nx.n_name
                 ELSE nu.n_name END AS location,
            CASE WHEN e.event_id % 89 = 0 THEN NULL
                 ELSE (e.event_type = 'error' AND e.event_id % 4 = 0) END AS is_flagged_fraud,
-           make_timestamp(1704067200000000 + (epoch_us(e.ts) - 1704067200000000) // 120) AS created_at
+           make_timestamp(1704067200000000 + (epoch_us(e.ts) - 1704067200000000) // {compression}) AS created_at
     FROM events e
     LEFT JOIN customer c ON c.c_custkey = e.user_id
     LEFT JOIN nation nu ON nu.n_nationkey = c.c_nationkey
-    LEFT JOIN nation nx ON nx.n_nationkey = (c.c_nationkey + 1) % 25""")
+    LEFT JOIN nation nx ON nx.n_nationkey = (c.c_nationkey + 1) % (SELECT count(*) FROM nation)""")
 
-_cte("tlake", ("t0",), """
-    SELECT * FROM t0
+    _cte(f"tlake{m}", (f"t0{m}",), f"""
+    SELECT * FROM t0{m}
     UNION ALL
     SELECT id, user_id, amount + 1, merchant_category, location, is_flagged_fraud,
            created_at + INTERVAL 1 SECOND
-    FROM t0 WHERE id % 50 = 0""")
+    FROM t0{m} WHERE id % 50 = 0""")
 
-_cte("traw", ("tlake",), """
+    _cte(f"traw{m}", (f"tlake{m}",), f"""
     SELECT id, user_id, CAST(amount AS DECIMAL(15,2)) AS amount, merchant_category, location,
            is_flagged_fraud, created_at
-    FROM tlake""")
+    FROM tlake{m}""")
 
-_cte("stx", ("traw",), """
+    _cte(f"stx{m}", (f"traw{m}",), f"""
     SELECT transaction_id, user_id, amount_usd, merchant_category, location, is_flagged_fraud, created_at
     FROM (
         SELECT *, row_number() OVER (
@@ -178,63 +178,55 @@ _cte("stx", ("traw",), """
                      nullif(trim(merchant_category), '') AS merchant_category,
                      nullif(trim(location), '') AS location,
                      coalesce(is_flagged_fraud, false) AS is_flagged_fraud, created_at
-              FROM traw) typed
+              FROM traw{m}) typed
     ) ranked
     WHERE rn = 1""")
 
-
-def _count_in(minutes: int) -> str:
-    return f"""(SELECT count(*) FROM stx x
-             WHERE x.user_id = t.user_id
-               AND x.created_at > t.created_at - INTERVAL {minutes} MINUTE
-               AND x.created_at <= t.created_at)"""
-
-
-def _sum_in(minutes: int) -> str:
-    return f"""CAST((SELECT coalesce(sum(x.amount_usd), 0) FROM stx x
-             WHERE x.user_id = t.user_id
-               AND x.created_at > t.created_at - INTERVAL {minutes} MINUTE
-               AND x.created_at <= t.created_at) AS DECIMAL(18,2))"""
-
-
-_cte("vel", ("stx",), f"""
-    SELECT t.user_id, t.transaction_id, t.created_at,
-           {_count_in(5)} AS cnt_5min, {_sum_in(5)} AS sum_5min,
-           {_count_in(15)} AS cnt_15min, {_sum_in(15)} AS sum_15min,
-           {_count_in(60)} AS cnt_60min, {_sum_in(60)} AS sum_60min
-    FROM stx t""")
-
-_cte("vel5", ("stx",), f"""
-    SELECT t.transaction_id, {_count_in(5)} AS cnt_5min FROM stx t""")
-
-_cte("vel60s", ("stx",), f"""
-    SELECT t.transaction_id, {_sum_in(60)} AS sum_60min FROM stx t""")
-
-_FACT = """
+    # How old each transaction of the same user is at each transaction's time.
+    ages = f"""
+    FROM stx{m} now LEFT JOIN (
+        SELECT user_id, created_at AS at, amount_usd AS paid FROM stx{m}) past
+      ON past.user_id = now.user_id AND past.at <= now.created_at AND now.created_at - past.at < to_minutes(60)
+    GROUP BY now.user_id, now.transaction_id, now.created_at"""
+    young = "past.at IS NOT NULL AND now.created_at - past.at < to_minutes({w})"
+    metrics = ", ".join(
+        f"CAST(sum(CASE WHEN {young.format(w=w)} THEN 1 ELSE 0 END) AS BIGINT) AS cnt_{w}min, "
+        f"CAST(sum(CASE WHEN {young.format(w=w)} THEN paid ELSE 0 END) AS DECIMAL(18,2)) AS sum_{w}min"
+        for w in K.VELOCITY_WINDOWS_MIN)
+    _cte(f"vel{m}", (f"stx{m}",), f"SELECT now.user_id, now.transaction_id, now.created_at, {metrics} {ages}")
+
+    user_now = "(SELECT * FROM dim WHERE is_current)"
+    _cte(f"fct{m}", (f"stx{m}", "dim"), f"""
     SELECT s.transaction_id, s.user_id, s.created_at, s.amount_usd, s.merchant_category,
-           s.location, s.is_flagged_fraud, d.user_sk, d.scoring_crediticio, d.status_riesgo
-    FROM stx s LEFT JOIN dim d ON d.user_id = s.user_id AND {cond}"""
-
-_cte("fct", ("stx", "dim"), _FACT.format(cond="d.is_current"))
-_cte("fct_asof", ("stx", "dim"), _FACT.format(
-    cond="d.valid_from <= s.created_at AND (d.dbt_valid_to IS NULL OR s.created_at < d.dbt_valid_to)"))
-
-_cte("fa", ("fct", "vel5", "dim"), f"""
-    SELECT *, alert_high_amount OR alert_limit_exceeded OR alert_velocity
-              OR alert_location_shift OR alert_source_flag AS is_fraud_alert
+           s.location, s.is_flagged_fraud, u.user_sk, u.scoring_crediticio, u.status_riesgo
+    FROM stx{m} s LEFT JOIN {user_now} u USING (user_id)""")
+
+    _cte(f"fa{m}", (f"stx{m}", f"vel{m}", "dim"), f"""
+    SELECT transaction_id, user_id, created_at, amount_usd, merchant_category,
+           high = 1 AS alert_high_amount, over_limit = 1 AS alert_limit_exceeded, fast = 1 AS alert_velocity,
+           moved = 1 AS alert_location_shift, flagged = 1 AS alert_source_flag,
+           high + over_limit + fast + moved + flagged > 0 AS is_fraud_alert
     FROM (
-        SELECT f.transaction_id, f.user_id, f.created_at, f.amount_usd, f.merchant_category,
-               coalesce(f.amount_usd >= {K.HIGH_AMOUNT_USD}, false) AS alert_high_amount,
-               coalesce(d.limite_credito IS NOT NULL AND f.amount_usd > d.limite_credito, false)
-                   AS alert_limit_exceeded,
-               coalesce(v.cnt_5min >= {K.VELOCITY_MIN_TX_5MIN}, false) AS alert_velocity,
-               coalesce(d.location IS NOT NULL AND f.location IS NOT NULL
-                        AND f.location <> d.location, false) AS alert_location_shift,
-               coalesce(f.is_flagged_fraud, false) AS alert_source_flag
-        FROM fct f
-        LEFT JOIN vel5 v ON v.transaction_id = f.transaction_id
-        LEFT JOIN dim d ON d.user_id = f.user_id AND d.is_current
-    ) flags""")
+        SELECT s.*,
+               CASE WHEN s.amount_usd >= {K.HIGH_AMOUNT_USD} THEN 1 ELSE 0 END AS high,
+               CASE WHEN s.amount_usd > u.limite_credito THEN 1 ELSE 0 END AS over_limit,
+               CASE WHEN v.cnt_5min >= {K.VELOCITY_MIN_TX_5MIN} THEN 1 ELSE 0 END AS fast,
+               CASE WHEN s.location <> u.location THEN 1 ELSE 0 END AS moved,
+               CASE WHEN s.is_flagged_fraud THEN 1 ELSE 0 END AS flagged
+        FROM stx{m} s
+        LEFT JOIN vel{m} v ON v.transaction_id = s.transaction_id
+        LEFT JOIN {user_now} u ON u.user_id = s.user_id
+    ) points""")
+
+
+_transactions("", 120)
+_transactions("m", 1)
+
+_cte("fct_asof", ("stx", "dim"), """
+    SELECT s.transaction_id, s.user_id, s.created_at, s.amount_usd, s.merchant_category,
+           s.location, s.is_flagged_fraud, d.user_sk, d.scoring_crediticio, d.status_riesgo
+    FROM stx s LEFT JOIN dim d
+      ON d.user_id = s.user_id AND d.valid_from <= s.created_at AND coalesce(s.created_at < d.dbt_valid_to, true)""")
 
 # --- cards ----------------------------------------------------------------------
 _cte("feed", ("eu",), """
@@ -283,11 +275,12 @@ _cte("scard", ("craw",), """
 
 # --- card movements ----------------------------------------------------------
 _cte("mv", (), """
-    SELECT l.l_orderkey % 200 + 1 AS card_id, l.l_shipdate AS date,
+    SELECT o.o_custkey AS card_id, l.l_shipdate AS date,
            CAST(l.l_extendedprice AS DECIMAL(15,2)) AS amount,
            CASE WHEN l.l_linenumber = 7 THEN ' ' ELSE l.l_returnflag END AS merchant_category,
            n.n_name AS location, strftime(l.l_shipdate, '%Y-%m-%d') AS source_date
     FROM lineitem l
+    LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey
     LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey
     LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey""")
 
@@ -315,23 +308,43 @@ _HISTORY = ("user_id, nombre, scoring_crediticio, status_riesgo, limite_credito,
             "dbt_valid_to, is_current")
 
 
-def _rate_sql(unit: str, name: str, where: str = "", tail: str = "") -> str:
+def _rate_sql(unit: str, name: str, src: str = "fa", where: str = "", tail: str = "") -> str:
     return f"""
-    SELECT date_trunc('{unit}', created_at) AS {name},
-           count(*) AS tx_total,
-           count(*) FILTER (WHERE is_fraud_alert) AS tx_con_alertas,
-           CAST(round(100.0 * count(*) FILTER (WHERE is_fraud_alert) / nullif(count(*), 0), 2) AS DOUBLE)
-               AS pct_fraude
-    FROM fa {where}
-    GROUP BY 1
-    ORDER BY 1 DESC NULLS FIRST {tail}"""
+    SELECT {name}, tx_total, tx_con_alertas, CAST(round(100.0 * tx_con_alertas / tx_total, 2) AS DOUBLE) AS pct_fraude
+    FROM (SELECT date_trunc('{unit}', created_at) AS {name}, CAST(sum(1) AS BIGINT) AS tx_total,
+                 CAST(sum(CASE WHEN is_fraud_alert THEN 1 ELSE 0 END) AS BIGINT) AS tx_con_alertas
+          FROM {src} {where} GROUP BY ALL) counted
+    ORDER BY {name} DESC NULLS FIRST {tail}"""
 
 
 def _rules_sql() -> str:
     from scorewatch.operators.rules import FLAGS
-    parts = [f"SELECT '{label}' AS regla, count(*) AS alertas FROM fa WHERE is_fraud_alert AND {flag}"
-             for label, flag in zip(K.RULE_LABELS, FLAGS)]
-    return "\nUNION ALL\n".join(parts) + "\nORDER BY 2 DESC, 1"
+    names = ", ".join(f"{flag} AS '{label}'" for label, flag in zip(K.RULE_LABELS, FLAGS))
+    sums = ", ".join(f"coalesce(sum(CASE WHEN {flag} THEN 1 ELSE 0 END), 0)::BIGINT AS {flag}" for flag in FLAGS)
+    return f"""
+    SELECT regla, alertas
+    FROM (UNPIVOT (SELECT {sums} FROM fa WHERE is_fraud_alert) ON {names} INTO NAME regla VALUE alertas) long
+    ORDER BY alertas DESC, regla"""
+
+
+def _literal(v) -> str:
+    return "NULL" if v is None else repr(v)
+
+
+def _soiled_sql(model: str) -> str:
+    """The model with repeated rows and with broken copies."""
+    src = _MODEL_CTE[model]
+    key, changes = catalog.SOILED[model]
+    parts = [f"SELECT * FROM {src}", f"SELECT * FROM {src} WHERE {key} % {catalog.REPEAT_EVERY} = 0"]
+    parts += [f"SELECT * REPLACE ({', '.join(f'{_literal(v)} AS {c}' for c, v in columns.items())}) FROM {src} WHERE {key} % {every} = 0"
+              for every, columns in changes]
+    return "(" + " UNION ALL ".join(parts) + ") soiled"
+
+
+def _dq_soiled_sql(test: str) -> str:
+    checks = [c for c in (*MODEL_CHECKS, catalog.STATUS_CHECK) if c.test == test]
+    return (_with(*sorted({_MODEL_CTE[c.model] for c in checks}))
+            + "\nUNION ALL\n".join(_check_sql(c, _soiled_sql(c.model)) for c in checks))
 
 
 def _check_sql(ch, src: str) -> str:
@@ -361,8 +374,7 @@ _MODEL_CTE = {"stg_transactions": "stx", "stg_users": "suall", "stg_cards": "sca
               "raw_users": "uall", "raw_transactions": "traw"}
 
 
-def _dq_sql(tests: tuple[str, ...] | None = None, checks=MODEL_CHECKS) -> str:
-    checks = [c for c in checks if tests is None or c.test in tests]
+def _dq_sql(checks=MODEL_CHECKS) -> str:
     srcs = sorted({_MODEL_CTE[c.model] for c in checks})
     return _with(*srcs) + "\nUNION ALL\n".join(_check_sql(c, _MODEL_CTE[c.model]) for c in checks)
 
@@ -375,8 +387,8 @@ ORACLE_SQL: dict[str, str] = {
     "fct_transactions_asof": _with("fct_asof") + "SELECT * FROM fct_asof",
     "dim_users": _with("dim") + "SELECT * FROM dim",
     "user_transaction_velocity": _with("vel") + "SELECT * FROM vel",
-    "velocity_count": _with("vel5") + "SELECT * FROM vel5",
-    "velocity_sum": _with("vel60s") + "SELECT * FROM vel60s",
+    "velocity_count": _with("vel") + "SELECT transaction_id, cnt_5min FROM vel",
+    "velocity_sum": _with("vel") + "SELECT transaction_id, sum_60min FROM vel",
     "stg_transactions": _with("stx") + "SELECT * FROM stx",
     "stg_users": _with("suall") + "SELECT * FROM suall",
     "stg_cards": _with("scard") + "SELECT * FROM scard",
@@ -401,15 +413,33 @@ ORACLE_SQL: dict[str, str] = {
     WHERE rn = 1""",
     "movement_surrogate_id": _with("mvraw") + "SELECT * FROM mvraw",
     "anonymize_cards": _with("craw") + "SELECT * FROM craw",
-    "explode_card_pages": _with("feed") + "SELECT * FROM feed",
+    "explode_card_pages": _with("feed_t") + "SELECT * EXCLUDE (ingested_at) FROM feed_t",
+    "card_stamp": _with("craw") + f"SELECT * REPLACE (TIMESTAMP '{catalog.CARD_STAMP}' AS ingested_at) FROM craw",
+    "encode_card_events": _with("craw") + """
+    SELECT CAST(card_id AS VARCHAR) AS key,
+           '{"card_id":' || card_id || ',"user_id":' || user_id || ',"pan_last_masked":"' || pan_last_masked
+           || '","card_type":"' || card_type || '","cardholder_masked":"' || cardholder_masked || '","exp_date":"' || exp_date
+           || '","ingested_at":"' || strftime(ingested_at, '%Y-%m-%dT%H:%M:%S.%fZ') || '"}' AS value
+    FROM craw""",
+    "cdc_unwrap": _with("tlake") + """
+    SELECT id, user_id, CAST(CAST(amount AS DECIMAL(15,2)) AS DOUBLE) AS amount, merchant_category,
+           location, coalesce(is_flagged_fraud, false) AS is_flagged_fraud, created_at
+    FROM tlake WHERE id % 59 <> 0""",
+    "lake_partition_parts": _with("tlake") + """
+    SELECT id, user_id, CAST(CAST(amount AS DECIMAL(15,2)) AS DOUBLE) AS amount, merchant_category,
+           location, coalesce(is_flagged_fraud, false) AS is_flagged_fraud, created_at,
+           strftime(created_at, '%Y') AS year, strftime(created_at, '%m') AS month, strftime(created_at, '%d') AS day
+    FROM tlake""",
+    "raw_load_typed": _with("traw") + f"""
+    SELECT * REPLACE (CASE WHEN id % {catalog.NONE_EVERY} <> 0 THEN location END AS location) FROM traw""",
     "decode_transactions": _with("tlake") + f"""
     SELECT id, user_id, CAST(CAST(amount AS DECIMAL(15,2)) AS DOUBLE) AS amount, merchant_category,
            location, coalesce(is_flagged_fraud, false) AS is_flagged_fraud, created_at
     FROM tlake WHERE id % {catalog.CORRUPT_EVERY} <> 0""",
-    "decode_users": _with("u2") + """
+    "decode_users": _with("uall") + """
     SELECT CAST(id AS BIGINT) AS id, nombre, CAST(scoring_crediticio AS BIGINT) AS scoring_crediticio,
-           CAST(limite_credito AS DOUBLE) AS limite_credito, status_riesgo, location, updated_at
-    FROM u2""",
+           CASE WHEN id % 3 <> 0 THEN CAST(limite_credito AS DOUBLE) END AS limite_credito, status_riesgo, location, updated_at
+    FROM uall""",
     "decode_cards": _with("craw") + "SELECT * FROM craw",
     "scd2_initial": _with("s1") + "SELECT * FROM s1",
     "scd2_snapshot": _with("s3") + "SELECT * FROM s3",
@@ -422,12 +452,12 @@ ORACLE_SQL: dict[str, str] = {
     "rule_location_shift": _with("fa") + "SELECT transaction_id, alert_location_shift FROM fa",
     "rule_source_flag": _with("fa") + "SELECT transaction_id, alert_source_flag FROM fa",
     "risk_band_check": _with("dim") + f"""
-    SELECT user_id, scoring_crediticio, status_riesgo, expected_status,
-           coalesce(status_riesgo = expected_status, false) AS is_consistent
+    SELECT user_id, valid_from, scoring_crediticio, status_riesgo, expected_status
     FROM (SELECT *, CASE WHEN scoring_crediticio >= {K.RISK_BAND_BAJO_MIN} THEN 'bajo'
                          WHEN scoring_crediticio >= {K.RISK_BAND_MEDIO_MIN} THEN 'medio'
                          WHEN scoring_crediticio IS NOT NULL THEN 'alto' END AS expected_status
-          FROM dim WHERE is_current) d""",
+          FROM dim) d
+    WHERE status_riesgo IS DISTINCT FROM expected_status""",
     "credit_score_history": _with("dim") + f"SELECT {_HISTORY} FROM dim ORDER BY user_id, valid_from",
     "credit_score_current": _with("dim") + f"SELECT {_HISTORY} FROM dim WHERE is_current",
     "credit_score_user": _with("dim") + f"""
@@ -443,11 +473,11 @@ ORACLE_SQL: dict[str, str] = {
     "fraud_summary_hourly": _with("fa") + _rate_sql(
         "hour", "hora",
         where=f"WHERE created_at >= TIMESTAMP '{_AS_OF}' - INTERVAL {catalog.SUMMARY_HOURS} HOUR"),
-    "fraud_summary_24h": _with("fa") + _rate_sql(
-        "hour", "hora",
-        where=f"WHERE created_at >= TIMESTAMP '{_AS_OF}' - INTERVAL {K.SUMMARY_HOURS_DEFAULT} HOUR"),
-    "fraud_pct_by_hour": _with("fa") + _rate_sql("hour", "hora", tail=f"LIMIT {K.HOURLY_PANEL_LIMIT}"),
-    "fraud_pct_by_day": _with("fa") + _rate_sql("day", "dia"),
+    "fraud_summary_24h": _with("fam") + _rate_sql(
+        "hour", "hora", "fam",
+        where=f"WHERE created_at >= TIMESTAMP '{catalog.AS_OF_MONTH}' - INTERVAL {K.SUMMARY_HOURS_DEFAULT} HOUR"),
+    "fraud_pct_by_hour": _with("fam") + _rate_sql("hour", "hora", "fam", tail=f"LIMIT {K.HOURLY_PANEL_LIMIT}"),
+    "fraud_pct_by_day": _with("fam") + _rate_sql("day", "dia", "fam"),
     "score_distribution": _with("dim") + f"""
     SELECT status_riesgo,
            CASE WHEN scoring_crediticio < {K.SCORE_MIN} THEN 0
@@ -468,19 +498,22 @@ ORACLE_SQL: dict[str, str] = {
     ORDER BY created_at DESC NULLS FIRST, transaction_id DESC LIMIT {K.FEED_LIMIT}""",
     "alerts_by_rule": _with("fa") + _rules_sql(),
     "dq_report": _dq_sql(),
-    "dq_not_null": _dq_sql(("not_null",)),
-    "dq_unique": _dq_sql(("unique",)),
-    "dq_between": _dq_sql(("between",)),
-    "dq_accepted_values": _dq_sql(("accepted_values",)),
+    "dq_not_null": _dq_soiled_sql("not_null"),
+    "dq_unique": _dq_soiled_sql("unique"),
+    "dq_between": _dq_soiled_sql("between"),
+    "dq_accepted_values": _dq_soiled_sql("accepted_values"),
     "dq_source": _dq_sql(checks=SOURCE_CHECKS),
     "dq_no_pii": _with("craw") + "\nUNION ALL\n".join(
         f"SELECT 'cards' AS model, '{c}' AS column_name, 'no_long_digit_run' AS test, "
         f"count(*) FILTER (WHERE regexp_matches({c}, '[0-9]{{5,}}')) AS failures FROM craw"
         for c in ("pan_last_masked", "card_type", "cardholder_masked", "exp_date")),
-    "dq_relationship": _with("stx", "suall") + """
-    SELECT 'stg_transactions' AS model, 'user_id' AS column_name, 'relationships' AS test,
-           count(*) AS failures
-    FROM stx
-    WHERE user_id IS NOT NULL
-      AND user_id NOT IN (SELECT user_id FROM suall WHERE user_id IS NOT NULL)""",
+    "dq_pii_raw_feed": _with("feed_t") + "\nUNION ALL\n".join(
+        [f"SELECT 'card_feed' AS model, '{c}' AS column_name, 'no_long_digit_run' AS test, "
+         f"CAST(coalesce(sum(CASE WHEN regexp_matches({c}, '[0-9]{{5,}}') THEN 1 ELSE 0 END), 0) AS BIGINT) AS failures FROM feed_t"
+         for c in ("pan", "cvv", "exp_date", "card_type", "cardholder")]
+        + [f"SELECT 'card_feed', '{c}', 'forbidden_column', 1" for c in ("pan", "cvv")]),
+    "dq_relationship": _with("stx", "su3") + """
+    SELECT 'stg_transactions' AS model, 'user_id' AS column_name, 'relationships' AS test, count(*) AS failures
+    FROM stx LEFT JOIN su3 USING (user_id)
+    WHERE stx.user_id IS NOT NULL AND su3.nombre IS NULL AND user_id NOT IN (SELECT user_id FROM su3)""",
 }

@@ -16,11 +16,8 @@ previous versions current; nothing published is overwritten in place.
 
 from __future__ import annotations
 
-import datetime as dt
 import json
-from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from scorewatch.operators import quality, scd2
@@ -28,78 +25,11 @@ from scorewatch.functions.constants import VELOCITY_WINDOWS_MIN
 from scorewatch.operators.velocity import choose_buckets, user_transaction_velocity
 from scorewatch.plans import marts, staging
 from scorewatch.sources.lake import read_raw
-
-_LOG_SCHEMA = T.StructType([T.StructField("version", T.LongType()),
-                            T.StructField("committed_at", T.TimestampNTZType()),
-                            T.StructField("schema_json", T.StringType())])
-
-
-class VersionedTable:
-    """A table published as version folders ``<root>/v=<n>`` plus a commit
-    log ``<root>/_log`` (one small row per commit: version, time, schema)."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def path(self, version: int) -> str:
-        return f"{self.root}/v={version}"
-
-    def latest_commit(self, version: int | None = None):
-        """The log row of ``version`` (default: the highest), or None."""
-        try:
-            log = self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_log")
-        except AnalysisException:
-            return None
-        if version is not None:
-            log = log.filter(F.col("version") == version)
-        return log.orderBy(F.col("version").desc()).select("version", "schema_json").first()
-
-    def current_version(self) -> int | None:
-        row = self.latest_commit()
-        return None if row is None else int(row["version"])
-
-    def read(self, version: int | None = None) -> DataFrame | None:
-        """The committed version, read with its recorded schema (an empty
-        version, e.g. a partitioned write of no rows, has no files)."""
-        row = self.latest_commit(version)
-        if row is None:
-            return None
-        schema = T.StructType.fromJson(json.loads(row["schema_json"]))
-        return self.spark.read.schema(schema).parquet(self.path(int(row["version"])))
-
-    def commit(self, df: DataFrame, writer: Callable[[DataFrame, str], None] | None = None) -> int:
-        """Write the next version, then record it. A folder left by a failed
-        attempt is not in the log, so a retry may overwrite it; readers only
-        ever see logged versions. One writer per table."""
-        v = (self.current_version() or 0) + 1
-        if writer is None:
-            df.write.mode("overwrite").parquet(self.path(v))
-        else:
-            writer(df, self.path(v))
-        now = dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None)
-        (self.spark.createDataFrame([(v, now, df.schema.json())], _LOG_SCHEMA)
-         .coalesce(1).write.mode("append").parquet(f"{self.root}/_log"))
-        return v
-
+from scorewatch.sources.versioned import VersionedTable, publish, read_published
 
 SnapshotStore = VersionedTable
 
 
-def publish(spark: SparkSession, root: str, df: DataFrame,
-            writer: Callable[[DataFrame, str], None] | None = None) -> str:
-    """Commit ``df`` as the next version of the table at ``root``; returns
-    the version's folder."""
-    table = VersionedTable(spark, root)
-    return table.path(table.commit(df, writer))
-
-
-def read_published(spark: SparkSession, root: str) -> DataFrame:
-    df = VersionedTable(spark, root).read()
-    if df is None:
-        raise FileNotFoundError(f"no committed version under {root}")
-    return df
-
-
 def with_event_date(facts: DataFrame, ts_col: str = "created_at") -> DataFrame:
     return facts.withColumn("event_date", F.to_date(F.col(ts_col)))
 
@@ -135,9 +65,8 @@ def build_all(spark: SparkSession, raw_root: str, out_root: str, run_at: Column)
     # velocity and both facts; users: the snapshot): write them once instead
     # of re-running scan + dedup shuffle per consumer. Views stay views.
     for name in ("stg_transactions", "stg_users"):
-        path = f"{out}/staging/{name}"
-        stg[name].write.mode("overwrite").parquet(path)
-        stg[name] = spark.read.schema(stg[name].schema).parquet(path)
+        publish(spark, f"{out}/staging/{name}", stg[name])
+        stg[name] = read_published(spark, f"{out}/staging/{name}")
     for name, df in stg.items():
         df.createOrReplaceTempView(name)
 
@@ -157,7 +86,8 @@ def build_all(spark: SparkSession, raw_root: str, out_root: str, run_at: Column)
     paths["fct_transactions"] = publish(spark, f"{out}/marts/fct_transactions",
                                         with_event_date(marts.fct_transactions(stg_tx, dim)), write_by_date)
     paths["fct_fraud_alerts"] = publish(spark, f"{out}/marts/fct_fraud_alerts",
-                                        with_event_date(marts.fct_fraud_alerts(stg_tx, dim, **buckets)),
+                                        with_event_date(marts.fct_fraud_alerts_from(
+                                            stg_tx, read_published(spark, f"{out}/intermediate/int_user_transaction_velocity"), dim)),
                                         write_by_date)
 
     models = dict(stg)

@@ -21,8 +21,9 @@ def stg_transactions(raw: DataFrame) -> DataFrame:
     return keep_earliest(typed, "transaction_id", "created_at")
 
 
-def stg_users(raw: DataFrame) -> DataFrame:
-    """One row per user: the latest state."""
+def stg_users(raw: DataFrame, batch: str | None = None) -> DataFrame:
+    """One row per user: the latest state (P2); per user and batch if
+    ``batch`` names the column of the snapshot run a row belongs to."""
     typed = raw.select(
         F.col("id").alias("user_id"),
         blank_to_null("nombre").alias("nombre"),
@@ -30,8 +31,8 @@ def stg_users(raw: DataFrame) -> DataFrame:
         F.col("limite_credito").cast(MONEY).alias("limite_credito"),
         F.lower(blank_to_null("status_riesgo")).alias("status_riesgo"),
         blank_to_null("location").alias("location"),
-        "updated_at")
-    return keep_latest(typed, "user_id", "updated_at")
+        "updated_at", *([batch] if batch else []))
+    return keep_latest(typed, ["user_id", batch] if batch else "user_id", "updated_at")
 
 
 def stg_cards(raw: DataFrame) -> DataFrame:

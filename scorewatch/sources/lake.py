@@ -12,11 +12,12 @@ import logging
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from scorewatch.operators.surrogate import dense_id
 from scorewatch.sources.landing import scan_landing_csv
 from scorewatch.sources.schemas import LAKE, RAW, conform
+from scorewatch.sources.versioned import VersionedTable, publish
 
 log = logging.getLogger(__name__)
 
@@ -51,20 +52,33 @@ def scan_lake(spark: SparkSession, lake_root: str, table: str) -> DataFrame:
 
 def raw_movements(landing: DataFrame) -> DataFrame:
     """Landing rows to ``raw.card_movements``: dense id in (source_date, all
-    columns) order, ``sourced_from`` always NULL."""
-    order = [F.col(c).asc_nulls_last() for c in MOVEMENT_ORDER]
-    return conform(dense_id(landing, order), RAW["card_movements"])
+    columns) order, ``sourced_from`` always NULL. Rows are numbered per date and
+    thousand of card ids, and offset by the counts before."""
+    return conform(dense_id(landing, MOVEMENT_ORDER, F.floor(F.col("card_id") / 1000)), RAW["card_movements"])
 
 
 def read_raw_source(spark: SparkSession, table: str, lake_root: str, landing_root: str) -> DataFrame:
     if table == "card_movements":
         return raw_movements(scan_landing_csv(spark, landing_root))
-    return conform(scan_lake(spark, lake_root, table).drop(*PARTITION_COLS), RAW[table])
+    return lake_to_raw(scan_lake(spark, lake_root, table).drop(*PARTITION_COLS), table)
+
+
+def lake_to_raw(rows: DataFrame, table: str) -> DataFrame:
+    """Lake rows typed as the raw table. The raw load carries NULL as the text
+    ``None`` in every table, so that text is NULL here too."""
+    return rows.select(*_typed(table))
+
+
+def _typed(table: str) -> list[Column]:
+    """The raw table's columns of a lake row."""
+    return [(F.nullif(F.col(f.name), F.lit("None")) if isinstance(f.dataType, T.StringType) else F.col(f.name))
+            .cast(f.dataType).alias(f.name) for f in RAW[table].fields]
 
 
 def load_raw(spark: SparkSession, lake_root: str, landing_root: str, raw_root: str,
              tables: Iterable[str] | None = None) -> dict[str, str]:
-    """Full refresh of the raw tables (idempotent: overwrite, never append).
+    """Full refresh of the raw tables (idempotent): a new version of each,
+    current once it is complete, so a failed load leaves the old one.
 
     ``tables`` selects a subset; unknown names are skipped with a warning.
     Returns table -> written path.
@@ -75,15 +89,16 @@ def load_raw(spark: SparkSession, lake_root: str, landing_root: str, raw_root: s
         if t not in RAW:
             log.warning("skipping unknown raw table %s", t)
             continue
-        path = f"{raw_root.rstrip('/')}/{t}"
-        read_raw_source(spark, t, lake_root, landing_root).write.mode("overwrite").parquet(path)
-        out[t] = path
+        out[t] = publish(spark, f"{raw_root.rstrip('/')}/{t}", read_raw_source(spark, t, lake_root, landing_root))
     return out
 
 
 def read_raw(spark: SparkSession, raw_root: str, table: str) -> DataFrame:
     """A raw table (full-refresh or incremental layout); partition columns of
     the incremental layout are not part of the raw schema."""
+    current = VersionedTable(spark, f"{raw_root.rstrip('/')}/{table}").read()
+    if current is not None:
+        return current
     try:
         df = spark.read.schema(RAW[table]).parquet(f"{raw_root.rstrip('/')}/{table}")
         return df.select(*RAW[table].fieldNames())
@@ -120,8 +135,7 @@ def sync_raw(spark: SparkSession, lake_root: str, raw_root: str, checkpoint_root
                 raise
             log.warning("no lake files for %s under %s yet; skipped", t, lake_root)
             continue
-        typed = src.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW[t].fields],
-                           *PARTITION_COLS)
+        typed = src.select(*_typed(t), *PARTITION_COLS)
         path = f"{raw_root.rstrip('/')}/{t}"
         q = (typed.writeStream.format("parquet").outputMode("append")
              .partitionBy(*PARTITION_COLS)

@@ -1,9 +1,9 @@
 """Daily card-movement CSV drops.
 
 Files are ``<root>/<YYYY-MM-DD>/movimientos.csv`` with a header row and five
-columns taken by position. Everything is read as text and typed afterwards,
-so one bad field makes that field NULL, not the row. The literal text
-``None`` is a NULL marker; ``source_date`` is the name of the file's folder.
+columns taken by position. A line with more or fewer fields, or a field that
+does not fit its type, fails the load. The literal text ``None`` is a NULL
+marker; ``source_date`` is the name of the file's folder.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ def scan_landing_csv(spark: SparkSession, root: str) -> DataFrame:
                .option("recursiveFileLookup", True)
                .option("pathGlobFilter", LANDING_FILE)
                .option("enforceSchema", True)
+               .option("mode", "FAILFAST")  # a line with more or fewer fields fails the load
                .schema(_TEXT)
                .csv(root))
     except AnalysisException as e:
@@ -42,9 +43,9 @@ def scan_landing_csv(spark: SparkSession, root: str) -> DataFrame:
             raise
         return spark.createDataFrame([], LANDING_ROWS)
     return raw.select(
-        _none_to_null("card_id").try_cast("long").alias("card_id"),
-        _none_to_null("date").try_cast("timestamp_ntz").alias("date"),
-        _none_to_null("amount").try_cast(MONEY).alias("amount"),
+        _none_to_null("card_id").cast("long").alias("card_id"),
+        _none_to_null("date").cast("timestamp_ntz").alias("date"),
+        _none_to_null("amount").cast(MONEY).alias("amount"),
         _none_to_null("merchant_category").alias("merchant_category"),
         _none_to_null("location").alias("location"),
         F.regexp_extract(F.col("_metadata.file_path"), _SOURCE_DATE, 1).alias("source_date"),

@@ -4,11 +4,13 @@ The source system's inputs (CDC users and transactions, the card feed, the
 daily movement CSV) are derived deterministically from the TPC-H-like test
 tables so that every query's work grows with them:
 
-* users: customers that occur in ``events`` (three snapshot batches),
-* transactions: ``events`` with 30 days compressed into 6 hours, plus
-  re-deliveries,
-* cards: one per customer, with re-deliveries,
-* card movements: ``lineitem`` rows with the supplier's nation.
+* users: all customers (three snapshot batches); some carry a status that
+  does not fit their score,
+* transactions: ``events`` with 30 days compressed into 6 hours (or as they
+  are), plus re-deliveries,
+* cards: one per customer, with re-deliveries, as a feed of pages,
+* card movements: ``lineitem`` rows with the ordering customer's card and the
+  supplier's nation.
 
 All derivations are joins and projections; nothing is collected.
 """
@@ -19,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from scorewatch.functions.timecols import ntz
 from scorewatch.sources.schemas import MONEY
+from scorewatch.streaming import decode
 
 # --- fixed values of the derivation -------------------------------------
 USERS_EPOCH = "2023-12-01 00:00:00"      # batch-1 updated_at = epoch + key minutes
@@ -29,7 +32,7 @@ BATCH_RUN_AT = {2: "2024-01-01 03:30:00", 3: "2024-01-01 05:00:00"}
 CARD_INGESTED = ("2024-01-01 00:00:00", "2024-01-01 00:05:00")
 CARD_TYPES = ("visa", "mastercard", "amex", " ")
 CARDHOLDERS = ("JUAN P.", "MARIA G.", "  ANA   M. ", "SOFIA", "")
-MOVEMENT_CARDS = 200
+WRONG_STATUS_EVERY = 41                  # users whose stored status is always "alto"
 # -------------------------------------------------------------------------
 
 
@@ -39,6 +42,8 @@ TABLE_SCHEMAS = {
               "props string",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
                 "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
@@ -63,23 +68,18 @@ def _limit_for(score: Column, key: Column) -> Column:
             .otherwise(1000 + (key * 7919) % 9000)).cast("double")
 
 
-def _status_for(score: Column) -> Column:
-    return (F.when(score >= 700, F.lit(" Bajo"))
+def _status_for(score: Column, key: Column) -> Column:
+    return (F.when(key % WRONG_STATUS_EVERY == 0, F.lit("alto"))
+            .when(score >= 700, F.lit(" Bajo"))
             .when(score >= 550, F.lit("MEDIO "))
             .otherwise(F.lit("alto")))
 
 
-def event_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers whose key occurs in ``events.user_id``, with their nation.
-
-    ``distinct`` on the event keys is a partial (map-side) aggregate, so the
-    semi-join shuffles one row per user and map task, not every event.
-    """
+def all_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer with their nation."""
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
-    keys = table(spark, sf_dir, "events").select(F.col("user_id").alias("c_custkey")).distinct()
-    return (customer.join(keys, "c_custkey", "left_semi")
-            .join(nation, customer.c_nationkey == nation.n_nationkey)
+    return (customer.join(nation, customer.c_nationkey == nation.n_nationkey)
             .select("c_custkey", "c_name", "c_nationkey", "n_name"))
 
 
@@ -89,10 +89,10 @@ def users_lake(spark: SparkSession, sf_dir: str, batch: int = 1, base: DataFrame
     Batch 2 changes the score of every third user (limit and status follow
     the new score) with an updated_at inside the transaction span; batch 3 is
     batch 2 without the keys ``id % 50 = 7`` (hard deletes). ``base`` is
-    :func:`event_users`; passing one frame to every batch lets Spark reuse
+    :func:`all_users`; passing one frame to every batch lets Spark reuse
     its exchanges.
     """
-    u = base if base is not None else event_users(spark, sf_dir)
+    u = base if base is not None else all_users(spark, sf_dir)
     key = F.col("c_custkey")
     score1 = _score(key)
     if batch == 1:
@@ -110,7 +110,7 @@ def users_lake(spark: SparkSession, sf_dir: str, batch: int = 1, base: DataFrame
          .otherwise(F.col("c_name")).alias("nombre"),
         score.alias("scoring_crediticio"),
         _limit_for(score, key).alias("limite_credito"),
-        _status_for(score).alias("status_riesgo"),
+        _status_for(score, key).alias("status_riesgo"),
         F.col("n_name").alias("location"),
         updated.alias("updated_at"),
     )
@@ -128,9 +128,11 @@ def users_raw(spark: SparkSession, sf_dir: str, batch: int = 1, base: DataFrame
         "status_riesgo", "location", "updated_at")
 
 
-def transactions_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions_lake(spark: SparkSession, sf_dir: str, compression: int = TX_COMPRESSION) -> DataFrame:
     """Transactions as the lake holds them (amount as double), including the
     re-delivered copies of every 50th id (amount + 1, one second later).
+    ``compression``: how much faster than the events time passes; 1 keeps the
+    events' own 30 days.
 
     The user's location comes from the event's customer and its nation (the
     same value batch-1 users carry); the join sides are planned from file
@@ -142,11 +144,12 @@ def transactions_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").alias("u_nationkey"), F.col("n_name").alias("u_location"))
     n_next = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("x_nationkey"), F.col("n_name").alias("x_location"))
+    nations = table(spark, sf_dir, "nation").select(F.count(F.lit(1))).scalar()
     base = ntz(TX_EPOCH)
     shifted = F.timestamp_diff("MICROSECOND", base, F.col("ts"))
     t = (ev.join(customer, ev.user_id == customer.c_custkey, "left")
          .join(n_user, F.col("c_nationkey") == F.col("u_nationkey"), "left")
-         .join(n_next, F.col("x_nationkey") == (F.col("c_nationkey") + 1) % 25, "left"))
+         .join(n_next, F.col("x_nationkey") == (F.col("c_nationkey") + 1) % nations, "left"))
     eid = F.col("event_id")
     t0 = t.select(
         eid.alias("id"), F.col("user_id"),
@@ -156,7 +159,7 @@ def transactions_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("u_location")).alias("location"),
         F.when(eid % 89 == 0, F.lit(None).cast("boolean"))
          .otherwise((F.col("event_type") == "error") & (eid % 4 == 0)).alias("is_flagged_fraud"),
-        F.timestamp_add("MICROSECOND", F.floor(shifted / TX_COMPRESSION), base).alias("created_at"),
+        F.timestamp_add("MICROSECOND", F.floor(shifted / compression), base).alias("created_at"),
     )
     redelivered = t0.filter(F.col("id") % 50 == 0).select(
         "id", "user_id", (F.col("amount") + 1).alias("amount"), "merchant_category",
@@ -165,9 +168,9 @@ def transactions_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t0.unionByName(redelivered)
 
 
-def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions_raw(spark: SparkSession, sf_dir: str, compression: int = TX_COMPRESSION) -> DataFrame:
     """``raw.transactions``: the lake rows with amount typed numeric(15,2)."""
-    lake = transactions_lake(spark, sf_dir)
+    lake = transactions_lake(spark, sf_dir, compression)
     return lake.withColumn("amount", F.col("amount").cast(MONEY))
 
 
@@ -179,7 +182,7 @@ def card_feed(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -
     subquery, evaluated once as its own job.
     """
     customer = table(spark, sf_dir, "customer").select("c_custkey")
-    n_users = (base if base is not None else event_users(spark, sf_dir)).select(F.count(F.lit(1))).scalar()
+    n_users = (base if base is not None else all_users(spark, sf_dir)).select(F.count(F.lit(1))).scalar()
     k = F.col("c_custkey")
     cards = customer.select(
         k.alias("card_id"),
@@ -197,16 +200,41 @@ def card_feed(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -
     return first.unionByName(again)
 
 
+def card_pages(cards: DataFrame, page_size: int) -> DataFrame:
+    """The card feed as it is served: per delivery, pages of ``page_size``
+    card ids (one page holds each id at most once)."""
+    total = cards.select(F.count(F.lit(1))).scalar()
+    page = (F.floor(F.col("card_id") / page_size) + 1).cast("long")
+    item = F.struct(*[F.col(c) for c in ("card_id", "user_id", "pan", "cvv", "exp_date", "card_type", "cardholder")])
+    grouped = cards.groupBy("ingested_at", page.alias("page")).agg(F.collect_list(item).alias("items"))
+    return grouped.select(F.to_json(F.struct(
+        "page", F.lit(page_size).cast("long").alias("page_size"), total.alias("total"), "items")).alias("value"))
+
+
+def change_events(lake: DataFrame) -> DataFrame:
+    """Transactions as change events: flat rows, envelopes, envelopes inside a
+    payload, and deletes without a new state."""
+    wire = decode.encode_transactions(lake)
+    key = F.col("key").cast("long")
+    op = F.when(key % 2 == 0, "c").otherwise("u")
+    envelope = F.concat(F.lit('{"before":null,"after":'), F.col("value"), F.lit(',"op":"'), op, F.lit('"}'))
+    return wire.select("key", F.when(key % 59 == 0, F.lit('{"before":{"id":1},"after":null,"op":"d"}'))
+                       .when(key % 3 == 0, F.col("value")).when(key % 3 == 1, envelope)
+                       .otherwise(F.concat(F.lit('{"schema":{},"payload":'), envelope, F.lit("}"))).alias("value"))
+
+
 def card_movements_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily movement rows as the landing CSV holds them, with the
     ``source_date`` the loader takes from the file's folder name."""
     li = table(spark, sf_dir, "lineitem")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = (li.join(sup, li.l_suppkey == sup.s_suppkey, "left")
+    j = (li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
+         .join(sup, li.l_suppkey == sup.s_suppkey, "left")
          .join(nat, F.col("s_nationkey") == F.col("n_nationkey"), "left"))
     return j.select(
-        (F.col("l_orderkey") % MOVEMENT_CARDS + 1).alias("card_id"),
+        F.col("o_custkey").alias("card_id"),
         F.col("l_shipdate").alias("date"),
         F.col("l_extendedprice").alias("amount"),
         F.when(F.col("l_linenumber") == 7, F.lit(" ")).otherwise(F.col("l_returnflag"))

@@ -50,20 +50,6 @@ def encode_card_events(anon: DataFrame) -> DataFrame:
     return anon.select(F.col("card_id").cast("string").alias("key"), F.to_json(payload).alias("value"))
 
 
-def pages_from_cards(cards: DataFrame, page_size: int) -> DataFrame:
-    """Group raw cards into feed pages of ``page_size`` by card id (the shape
-    the feed serves). A feed lists each card once, so with unique card ids a
-    page is a bounded group of at most ``page_size`` items."""
-    total = cards.select(F.count(F.lit(1))).scalar()
-    page = (F.floor(F.col("card_id") / page_size) + 1).cast("long")
-    item = F.struct(*[F.col(c) for c in ("card_id", "user_id", "pan", "cvv", "exp_date",
-                                          "card_type", "cardholder")])
-    grouped = cards.groupBy(page.alias("page")).agg(F.collect_list(item).alias("items"))
-    return grouped.select(F.to_json(F.struct(
-        "page", F.lit(page_size).cast("long").alias("page_size"), total.alias("total"), "items"))
-        .alias("value"))
-
-
 CARD_TOPIC = "cards.api"
 
 

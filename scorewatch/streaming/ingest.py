@@ -57,18 +57,22 @@ def select_topics(selector: str | None = None) -> list[Route]:
 
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str,
-                 max_offsets_per_trigger: int = K.SINK_FLUSH_ROWS,
+                 max_offsets_per_trigger: int | None = None,
                  min_partitions: int | None = None) -> DataFrame:
     """Broker source from the earliest offset; rows ``topic, key, value``.
 
+    A trigger takes all offsets there are; ``max_offsets_per_trigger`` limits
+    it where an operator asks for that.
+
     ``min_partitions`` splits large topic partitions into more Spark tasks
     (a topic with few partitions does not cap the decode parallelism).
     """
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap)
          .option("subscribe", topic)
-         .option("startingOffsets", "earliest")
-         .option("maxOffsetsPerTrigger", max_offsets_per_trigger))
+         .option("startingOffsets", "earliest"))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     if min_partitions:
         r = r.option("minPartitions", min_partitions)
     return (r.load()

@@ -29,7 +29,7 @@ def test_snapshot_arithmetic(spark):
     snap = Warehouse(spark, "/root/testdata/sf0.01").snapshot(3)
     r = snap.agg(F.count(F.lit(1)).alias("n"),
                  F.count_if(F.col("dbt_valid_to").isNull()).alias("open")).first()
-    assert (r.n, r.open) == (200, 147)
+    assert (r.n, r.open) == (2000, 1470)
     deleted = snap.groupBy("user_id").agg(F.count_if(F.col("dbt_valid_to").isNull()).alias("o")) \
         .filter("o = 0").select("user_id").collect()
-    assert sorted(x.user_id for x in deleted) == [7, 57, 107]
+    assert sorted(x.user_id for x in deleted) == list(range(7, 1500, 50))

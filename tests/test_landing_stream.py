@@ -3,11 +3,13 @@ import json
 import os
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from scorewatch.operators.surrogate import dense_id
 from scorewatch.sources.landing import scan_landing_csv
-from scorewatch.sources.lake import load_raw, read_raw, scan_lake
+from scorewatch.sources.lake import lake_to_raw, load_raw, read_raw, scan_lake
+from scorewatch.sources.schemas import LAKE
 from scorewatch.streaming.ingest import file_source, select_topics, start_ingest
 
 D = dt.datetime
@@ -37,14 +39,41 @@ def test_landing_csv(spark, tmp):
 def test_dense_id_is_total_and_gapless(spark):
     df = spark.range(0, 5000, 1, 7).select((F.col("id") % 13).alias("d"), (F.col("id") * 7919 % 5000).alias("v"))
     df = df.unionByName(df.limit(10))                        # fully equal rows
-    out = dense_id(df, [F.col("d"), F.col("v")]).collect()
+    df = df.unionByName(spark.createDataFrame([(None, 3), (4, None), (None, None), (4, None)], "d long, v long"))
+    out = dense_id(df, ["d", "v"], F.floor(F.col("v") / 100)).collect()
     ids = sorted(r.id for r in out)
-    assert ids == list(range(1, 5011))
+    assert ids == list(range(1, 5015))
     by_id = sorted(out, key=lambda r: r.id)
-    keys = [(r.d, r.v) for r in by_id]
+    keys = [(r.d is None, r.d or 0, r.v is None, r.v or 0) for r in by_id]  # NULLs last
     assert keys == sorted(keys)
 
 
+def test_dense_id_is_lazy(spark):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    dense_id(spark.range(100).select(F.col("id").alias("d"), F.col("id").alias("v")), ["d", "v"], F.col("v"))
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == before
+
+
+@pytest.mark.parametrize("line", ["7,2024-01-02 10:00:00,10.50,food,BA,extra", "7,2024-01-02 10:00:00,10.50,food",
+                                  "x7,2024-01-02 10:00:00,10.50,food,BA", "7,yesterday,10.50,food,BA"])
+def test_landing_line_that_does_not_fit_fails_the_load(spark, tmp, line):
+    good = "9,2024-01-01 09:00:00,1.00,fuel,CBA"
+    _csv(f"{tmp}/landing", "2024-01-01", [good])
+    load_raw(spark, f"{tmp}/lake", f"{tmp}/landing", f"{tmp}/raw", tables=["card_movements"])
+    _csv(f"{tmp}/landing", "2024-01-02", [line])
+    with pytest.raises(Exception):
+        load_raw(spark, f"{tmp}/lake", f"{tmp}/landing", f"{tmp}/raw", tables=["card_movements"])
+    # The failed load left the last good version current.
+    assert [r.card_id for r in read_raw(spark, f"{tmp}/raw", "card_movements").collect()] == [9]
+
+
+def test_lake_text_none_is_null(spark):
+    lake = spark.createDataFrame([(1, 2, 3.0, "m", "None", True, D(2024, 1, 1)), (2, 2, 3.0, "None", "x", True, D(2024, 1, 1))],
+                                 LAKE["transactions"])
+    assert [(r.merchant_category, r.location) for r in lake_to_raw(lake, "transactions").orderBy("id").collect()] == [
+        ("m", None), (None, "x")]
+
+
 def _events(path, n, rows):
     os.makedirs(path, exist_ok=True)
     with open(f"{path}/batch-{n}.json", "w") as f:

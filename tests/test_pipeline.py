@@ -39,7 +39,7 @@ def test_build_all_from_events(spark, tmp):
              "postgres_oltp.public.transactions", ev)
     _publish(decode.encode_users(td.users_lake(spark, SF_SMALL, 1)), "postgres_oltp.public.users", ev)
     feed = td.card_feed(spark, SF_SMALL).filter(F.col("ingested_at") == ntz(td.CARD_INGESTED[0]))
-    pages = cards.pages_from_cards(feed.drop("ingested_at"), 50)
+    pages = td.card_pages(feed, 50)
     cards.publish_card_events(cards.card_events(pages, ntz("2024-01-01 00:00:00")), path=ev)
     n_mov = _landing(spark, SF_SMALL, landing, ["1995-01-02", "1996-03-10", "1998-07-01"])
 

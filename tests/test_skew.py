@@ -6,7 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from scorewatch.operators.dedup import keep_earliest
-from scorewatch.operators.velocity import with_velocity
+from scorewatch.operators.velocity import spread_over_buckets, with_velocity
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -20,10 +20,18 @@ def test_hot_user_spreads_over_buckets(spark):
         F.lit(Decimal("1.00")).cast("decimal(15,2)").alias("amount_usd"))
     out = with_velocity(df, windows_min=(60,), metrics=("cnt",))
     assert out.count() == n
-    # The hot user's rows span 24 hours, so they fall into several window partitions, not one.
-    hot = df.filter("user_id = 1").select(F.floor(F.timestamp_diff("MINUTE", F.lit(T0).cast("timestamp_ntz"),
-                                                                     F.col("created_at")) / 60).alias("b"))
-    assert hot.distinct().count() == 24
+    # The operator's own window groups: with buckets of the window's width, no
+    # group holds more than two of the hot user's 24 hours.
+    def largest(frame, minutes):
+        groups = spread_over_buckets(frame, "user_id", "created_at", "amount_usd", 60, minutes).groupBy("user_id", "_pb").count()
+        return groups.agg(F.max("count")).first()[0]
+    hour = F.floor(F.timestamp_diff("MINUTE", F.lit(T0).cast("timestamp_ntz"), F.col("created_at")) / 60)
+    busiest = df.groupBy("user_id", hour.alias("h")).count().agg(F.max("count")).first()[0]
+    assert largest(df, 60) <= 2 * busiest < n // 3 / 8 and largest(df, None) <= 5 * busiest < n // 3 / 3
+    # Rows without a user are spread too; every one of them has a count of 0.
+    nobody = df.withColumn("user_id", F.when(F.col("transaction_id") % 2 == 0, F.col("user_id")))
+    assert largest(nobody.filter("user_id IS NULL"), None) < 60
+    assert with_velocity(nobody, windows_min=(60,), metrics=("cnt",)).filter("user_id IS NULL AND cnt_60min = 0").count() == n // 2
     # Same result as a plain per-user window over the whole history.
     from pyspark.sql import Window
     from scorewatch.functions.timecols import epoch_micros
