@@ -79,9 +79,9 @@ def test_build_all_from_events(spark, tmp):
     build_all(spark, raw, out, ntz("2024-01-01 03:30:00"))
     store = SnapshotStore(spark, f"{out}/snapshots/snap_users_scoring")
     assert store.current_version() == 2
-    assert store.read(1).count() == 15
+    assert store.read(1).count() == 150
     snap = store.read()
-    assert snap.count() == 15 + 5 and snap.filter(F.col("dbt_valid_to").isNull()).count() == 15
+    assert snap.count() == 150 + 50 and snap.filter(F.col("dbt_valid_to").isNull()).count() == 150
 
 
     # SQL over the published tables gives what the serving functions give.
