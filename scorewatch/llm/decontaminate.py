@@ -82,12 +82,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, sp
     held = candidates.join(sent(sketches.select("item", "strings")), "item").groupBy("d").agg(
         F.collect_list(F.struct("item", "strings")).alias("asked"))
     # d may hold a null id
-    pairs = (held.withColumnRenamed("d", "d2").join(source.select("d", "text").distinct(), F.col("d2").eqNullSafe(F.col("d")))
+    pairs = (held.withColumnRenamed("d", "d2").join(source.select("d", "text"), F.col("d2").eqNullSafe(F.col("d")))
              .withColumn("w", words(F.col("text"))).withColumn("s", F.array_distinct(shingles("w", _text)))
              .select("d", F.explode(F.transform("asked", lambda a: F.struct(
                  a["item"].alias("item"), F.size(a["strings"]).alias("n_shingles"),
                  F.size(F.array_intersect(a["strings"], F.col("s"))).alias("n_found")))).alias("p"))
-             .filter(F.col("p.n_found") >= F.col("p.n_shingles") * least - 1e-9))
+             .filter(F.col("p.n_found") >= F.col("p.n_shingles") * least - 1e-9).distinct())
     return pairs.select(F.col("d.doc_id").alias("doc_id"), F.col("p.item.id").alias("item_id"),
                         F.col("p.n_shingles").cast("int").alias("n_shingles"), F.col("p.n_found").cast("int").alias("n_found"),
                         (F.col("p.n_found") / F.col("p.n_shingles")).alias("containment"), F.col("d.hash").alias("hash"))
