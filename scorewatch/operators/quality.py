@@ -51,33 +51,34 @@ def _row(check: Check, failures: Column) -> list[Column]:
             F.lit(check.test).alias("test"), failures.cast("bigint").alias("failures")]
 
 
-def _single_pass(df: DataFrame, unique: Check, row_checks: Sequence[Check]) -> DataFrame:
-    """All checks of a model with one ``unique`` column in one aggregation:
+def _single_pass(df: DataFrame, uniques: Sequence[Check], row_checks: Sequence[Check]) -> DataFrame:
+    """All checks of a frame with one ``unique`` column in one aggregation:
     group by that column (partial counts map-side), then one global merge."""
-    key = F.col(unique.column)
+    key = F.col(uniques[0].column)
     per_key = df.groupBy(key.alias("_k")).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.count_if(_failing(ch)).alias(f"_f{i}") for i, ch in enumerate(row_checks)])
     agg = per_key.agg(
         F.count_if(F.col("_k").isNotNull() & (F.col("_n") > 1)).alias("_u"),
         *[F.sum(f"_f{i}").alias(f"_f{i}") for i in range(len(row_checks))])
-    rows = [F.struct(*_row(unique, F.col("_u")))]
+    rows = [F.struct(*_row(ch, F.col("_u"))) for ch in uniques]
     rows += [F.struct(*_row(ch, F.coalesce(F.col(f"_f{i}"), F.lit(0)))) for i, ch in enumerate(row_checks)]
     return agg.select(F.inline(F.array(*rows)))
 
 
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """One row per check: model, column_name, test, failures."""
+    """One row per check: model, column_name, test, failures. Models that are
+    given as the same frame (they differ in columns only) share its pass."""
     parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
+    by_frame: dict[int, list[Check]] = {}
     for ch in checks:
-        by_model.setdefault(ch.model, []).append(ch)
-    for model, group in by_model.items():
-        df = models[model]
+        by_frame.setdefault(id(models[ch.model]), []).append(ch)
+    for group in by_frame.values():
+        df = models[group[0].model]
         row_checks = [ch for ch in group if ch.test != "unique"]
         uniques = [ch for ch in group if ch.test == "unique"]
-        if len(uniques) == 1:
-            parts.append(_single_pass(df, uniques[0], row_checks))
+        if len({ch.column for ch in uniques}) == 1:
+            parts.append(_single_pass(df, uniques, row_checks))
             continue
         if row_checks:
             agg = df.agg(*[F.count_if(_failing(ch)).alias(f"_f{i}") for i, ch in enumerate(row_checks)])

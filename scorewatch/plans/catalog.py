@@ -133,7 +133,15 @@ class Warehouse:
         return getattr(self, self.MODELS[name])
 
     def dq(self) -> DataFrame:
-        return quality.run_checks({c.model: self.model(c.model) for c in quality.MODEL_CHECKS}, quality.MODEL_CHECKS)
+        """The report over all models. The velocity model has the staged
+        transactions' rows, and both facts have the same ones joined to the
+        current user: each pair is one frame."""
+        staged = with_velocity(self.stg_transactions)
+        facts = marts.facts_and_alerts(staged, self.dim_users)
+        shared = {"stg_transactions": staged, "int_user_transaction_velocity": staged,
+                  "fct_transactions": facts, "fct_fraud_alerts": facts}
+        models = {c.model: shared[c.model] if c.model in shared else self.model(c.model) for c in quality.MODEL_CHECKS}
+        return quality.run_checks(models, quality.MODEL_CHECKS)
 
     # transactions joined to the current user, for the rules that need one
     def with_user(self, *cols: str) -> DataFrame:
@@ -144,12 +152,13 @@ class Warehouse:
         """A model with repeated rows and with copies that break its tests."""
         df = self.model(name)
         key, changes = SOILED[name]
-        out = df.unionByName(df.filter(F.col(key) % REPEAT_EVERY == 0))
-        for every, columns in changes:
-            broken = df.filter(F.col(key) % every == 0).withColumns(
-                {c: F.lit(v).cast(df.schema[c].dataType) for c, v in columns.items()})
-            out = out.unionByName(broken)
-        return out
+        kinds = [(REPEAT_EVERY, {}), *changes]
+        copies = F.array(F.lit(0), *[F.when(F.col(key) % every == 0, i) for i, (every, _) in enumerate(kinds, 1)])
+        out = df.withColumn("_copy", F.explode(F.array_compact(copies)))
+        for i, (_, columns) in enumerate(kinds, 1):
+            out = out.withColumns({c: F.when(F.col("_copy") == i, F.lit(v).cast(df.schema[c].dataType)).otherwise(F.col(c))
+                                   for c, v in columns.items()})
+        return out.drop("_copy")
 
     def dq_soiled(self, test: str) -> DataFrame:
         checks = [c for c in (*quality.MODEL_CHECKS, STATUS_CHECK) if c.test == test]

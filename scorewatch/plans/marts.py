@@ -68,8 +68,13 @@ def fct_fraud_alerts_from(stg_tx: DataFrame, velocity: DataFrame, dim: DataFrame
 
 
 def _alerts(vel: DataFrame, dim: DataFrame) -> DataFrame:
+    return facts_and_alerts(vel, dim).select(*ALERT_COLS)
+
+
+def facts_and_alerts(vel: DataFrame, dim: DataFrame) -> DataFrame:
+    """Columns of both fact models: each transaction with its velocity, the
+    current user and the rules' flags."""
     cur = current_users(dim).select(
-        F.col("user_id").alias("_uid"), "limite_credito",
+        F.col("user_id").alias("_uid"), "user_sk", "scoring_crediticio", "status_riesgo", "limite_credito",
         F.col("location").alias("user_location"))
-    joined = vel.join(cur, F.col("user_id") == F.col("_uid"), "left")
-    return rules.evaluate(joined).select(*ALERT_COLS)
+    return rules.evaluate(vel.join(cur, F.col("user_id") == F.col("_uid"), "left"))
