@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import functools
+import io
 import uuid
-from collections.abc import Iterable, Iterator
+import zipfile
+from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +48,42 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def store(folder: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a folder given as a URI or a path."""
+    return fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+
+
+def sent_to_executors(spark: SparkSession, name: str, content: bytes) -> str:
+    """Write a file to the shared folder and have Spark hand it to every
+    executor, those that start later too; returns its URI."""
+    folder = shared_folder(spark, "files")
+    files, root = store(folder)
+    files.create_dir(root, recursive=True)
+    with files.open_output_stream(f"{root}/{name}") as out:
+        out.write(content)
+    spark.sparkContext.addFile(f"{folder}/{name}")
+    return f"{folder}/{name}"
+
+
+def shipped(query: Callable) -> Callable:
+    """The query, after its Python workers can import this package: executors
+    may not have it, and a driver may have been started anywhere."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args):
+        sc = spark.sparkContext
+        if not getattr(sc, "_scorewatch_shipped", False):
+            package, raw = Path(__file__).resolve().parents[1], io.BytesIO()
+            with zipfile.ZipFile(raw, "w") as out:
+                for path in sorted(package.rglob("*.py")):
+                    out.write(path, str(path.relative_to(package.parent)))
+            sc.addPyFile(sent_to_executors(spark, f"scorewatch-{uuid.uuid4().hex[:12]}.zip", raw.getvalue()))
+            sc._scorewatch_shipped = True
+        return query(spark, *args)
+
+    return run
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)

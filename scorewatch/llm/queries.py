@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, license_scan, line_dedup, lm_ppm, near_dup, token_files, topk, toxicity_pu, url_filter
-from .common import fold, read_table, texts
+from .common import fold, read_table, shipped, texts
 
 #: Fixed rules of the url query: host, path, verdict.
 URL_RULES = [
@@ -24,38 +24,45 @@ MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 BYTE_BPE = "byte_bpe_50k.json"
 
 
+@shipped
 def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 1: log probability of every document; one id fold in seven is held out."""
     scores = lm_ppm.score(read_table(spark, sf_dir, "documents"), fold(7) != 2)
     return scores.withColumn("held_out", fold(7) == 2)
 
 
+@shipped
 def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 2: license phrases and labels of every document."""
     return license_scan.scan(read_table(spark, sf_dir, "documents"))
 
 
+@shipped
 def exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 3: the 10 best rows by integer inner product for every 100th vector."""
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+@shipped
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 4: verdict of the fixed rules on every page's url."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge(read_table(spark, sf_dir, "pages"), rules)
 
 
+@shipped
 def bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 5: encode every document, decode the ids, digests of both."""
     return bpe.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path(MULTI_RANKS), public_tokenizers.PATTERN)
 
 
+@shipped
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 6: every pair of a document and a benchmark item that it holds."""
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("hash")
 
 
+@shipped
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 7: toxicity score of every document; one id fold in five is held out."""
     docs = texts(read_table(spark, sf_dir, "documents"))
@@ -64,16 +71,19 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@shipped
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 8: class and number of links of every document."""
     return near_dup.classes(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
+@shipped
 def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 10: every maximal line run that is a later copy."""
     return line_dedup.repeated_runs(read_table(spark, sf_dir, "documents"))
 
 
+@shipped
 def token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 9: write every document's ids as flat files, read them back."""
     return token_files.written_and_read(spark, read_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import checkpointed, shared_folder, slices, texts
+from .common import checkpointed, shared_folder, slices, store, texts
 
 #: A space after white space, where cutting before every space isn't safe.
 _UNSAFE = re.compile(r"\s ")
@@ -134,16 +134,12 @@ def _encoder(raw: str) -> CachedEncoder:
     return _encoders[hash(raw)]
 
 
-def _store(folder: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
-
-
-def _mapped(store: fs.FileSystem, path: str, dtype) -> np.ndarray:
+def _mapped(files: fs.FileSystem, path: str, dtype) -> np.ndarray:
     """The file in mapped memory: in place where it is a local file, else
     through a copy in the task's own temporary folder, gone when unmapped."""
-    if isinstance(store, fs.LocalFileSystem):
+    if isinstance(files, fs.LocalFileSystem):
         return np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
-    with store.open_input_stream(path) as source, tempfile.TemporaryFile() as copy:
+    with files.open_input_stream(path) as source, tempfile.TemporaryFile() as copy:
         while block := source.read(8 << 20):
             copy.write(block)
         copy.flush()
@@ -157,24 +153,24 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 0, id
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         raw = spark.sparkContext.broadcast(f.read())
-    store, root = _store(folder)
-    store.create_dir(root, recursive=True)
+    files, root = store(folder)
+    files.create_dir(root, recursive=True)
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        store, root = _store(folder)
+        files, root = store(folder)
         stem, encoder = f"{part:06d}-{uuid.uuid4().hex[:12]}", _encoder(raw.value)
         end = np.array([end_id], encoder.dtype).tobytes()
         ids, counts = [], []
-        with store.open_output_stream(f"{root}/{stem}.ids") as out:
+        with files.open_output_stream(f"{root}/{stem}.ids") as out:
             for piece in slices(batches):
                 for x in encoder.encode(piece.column("text").to_pylist()):
                     counts.append(len(x) // encoder.dtype.itemsize + 1)
                     out.write(x + end)
                 ids.extend(piece.column("doc_id").to_pylist())
-        with store.open_output_stream(f"{root}/{stem}.doc") as out, pa.ipc.new_file(out, pa.schema([("doc_id", kind)])) as table:
+        with files.open_output_stream(f"{root}/{stem}.doc") as out, pa.ipc.new_file(out, pa.schema([("doc_id", kind)])) as table:
             table.write_batch(pa.record_batch([pa.array(ids, kind)], ["doc_id"]))
-        with store.open_output_stream(f"{root}/{stem}.len") as out:
+        with files.open_output_stream(f"{root}/{stem}.len") as out:
             out.write(np.array(counts, "<i8").tobytes())
         yield pa.RecordBatch.from_pydict({"part": [part], "file": [stem], "dtype": [encoder.dtype.str],
                                           "n_docs": [len(ids)], "n_ids": [sum(counts)]})
@@ -195,13 +191,13 @@ def _finish(manifest: DataFrame, folder: str, parts: int) -> DataFrame:
     """Turn each partition's lengths into offsets from the first id of all."""
 
     def run(batches):
-        store, root = _store(folder)
+        files, root = store(folder)
         for batch in batches:
             for row in batch.to_pylist():
-                lengths = _mapped(store, f"{root}/{row['file']}.len", "<i8")
+                lengths = _mapped(files, f"{root}/{row['file']}.len", "<i8")
                 offsets = np.concatenate([[0], np.cumsum(lengths)]) + row["base"]
                 stem = f"{row['file']}-{uuid.uuid4().hex[:8]}"
-                with store.open_output_stream(f"{root}/{stem}.off") as out:
+                with files.open_output_stream(f"{root}/{stem}.off") as out:
                     out.write(offsets.astype("<i8").tobytes())
                 yield pa.RecordBatch.from_pylist([row | {"offsets": stem}])
 
@@ -214,14 +210,14 @@ def read(manifest: DataFrame, folder: str, id_type: str = "bigint") -> DataFrame
     the unsigned crc32 of its ids as little-endian unsigned 32-bit integers."""
 
     def run(batches):
-        store, root = _store(folder)
+        files, root = store(folder)
         for batch in batches:
             for row in batch.to_pylist():
                 if not row["n_docs"]:
                     continue
-                ids = _mapped(store, f"{root}/{row['file']}.ids", row["dtype"])
-                offsets = _mapped(store, f"{root}/{row['offsets']}.off", "<i8")
-                with store.open_input_file(f"{root}/{row['file']}.doc") as source:
+                ids = _mapped(files, f"{root}/{row['file']}.ids", row["dtype"])
+                offsets = _mapped(files, f"{root}/{row['offsets']}.off", "<i8")
+                with files.open_input_file(f"{root}/{row['file']}.doc") as source:
                     keys = pa.ipc.open_file(source).read_all().column("doc_id").combine_chunks()
                 for i in range(0, row["n_docs"], 10_000):
                     at = offsets[i: i + 10_001] - row["base"]

@@ -21,15 +21,16 @@ are not read.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyarrow import fs
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, shared_folder
+from .common import ascii_lower, sent_to_executors
 
 BLOCK, ALLOW = "block", "allow"
 
@@ -114,16 +115,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = ALLOW, max_bytes: i
 
 
 def _published(spark: SparkSession, index: bytes) -> str:
-    """Write the index into the shared folder and have Spark hand it to every
-    executor, those that start later too; returns the file's name there."""
-    folder = shared_folder(spark, "url-index")
-    store, root = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
-    store.create_dir(root, recursive=True)
-    name = folder.rpartition("/")[2] + ".idx"
-    with store.open_output_stream(f"{root}/{name}") as out:
-        out.write(index)
-    spark.sparkContext.addFile(f"{folder}/{name}")
-    return name
+    """The index as a file that every executor gets; returns its name there."""
+    return sent_to_executors(spark, f"url-{uuid.uuid4().hex}.idx", index).rpartition("/")[2]
 
 
 def judge_by_index(urls: DataFrame, name: str, default: str) -> DataFrame:
