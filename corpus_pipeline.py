@@ -19,27 +19,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewatch.llm import bpe, decontaminate, line_dedup, near_dup, toxicity_pu
-from scorewatch.llm.common import fold, read_table, shared_folder, texts
+from scorewatch.llm.common import fold, read_table, shared_folder, shipped, texts
 from scorewatch.llm.queries import MULTI_RANKS
 
 
+@shipped
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity_pu.fit(texts(docs), read_table(spark, sf_dir, "labels"), fold(5) != 0)
     return toxicity_pu.kept(docs, model)
 
 
+@shipped
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicated(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
+@shipped
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_dup.deduplicated(docs)
 
 
+@shipped
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+@shipped
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit integers), n_tokens and
     decoded_sha256, the digest of the bytes that the ids decode to."""
