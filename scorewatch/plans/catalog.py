@@ -235,8 +235,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fct_fraud_alerts": _w(lambda w: w.fct_fraud_alerts),
     "fct_transactions": _w(lambda w: w.fct_transactions),
     "fct_transactions_asof": _w(lambda w: w.fct_transactions_asof),
+    "fct_transactions_asof_carry": _w(lambda w: marts.fct_transactions_asof(
+        w.stg_transactions, w.dim_users, strategy="carry", bucket_seconds=1800)),
     "dim_users": _w(lambda w: w.dim_users),
     "user_transaction_velocity": _w(lambda w: w.velocity),
+    "velocity_probe": _w(lambda w: user_transaction_velocity(w.stg_transactions, strategy="probe", bucket_seconds=600)),
     "velocity_count": _w(lambda w: with_velocity(
         w.stg_transactions.select("user_id", "transaction_id", "created_at", "amount_usd"),
         windows_min=(5,), metrics=("cnt",)).select("transaction_id", "cnt_5min")),

@@ -42,11 +42,12 @@ def fct_transactions(stg_tx: DataFrame, dim: DataFrame) -> DataFrame:
             .join(cur, F.col("user_id") == F.col("_uid"), "left").drop("_uid"))
 
 
-def fct_transactions_asof(stg_tx: DataFrame, dim: DataFrame) -> DataFrame:
+def fct_transactions_asof(stg_tx: DataFrame, dim: DataFrame, **plan) -> DataFrame:
     """Transactions with the version valid at transaction time (the model's
-    stated intent)."""
+    stated intent). ``plan`` (``strategy``, ``bucket_seconds``) passes through
+    to :func:`asof_join`."""
     return asof_join(stg_tx.select(*TX_COLS), dim, "user_id", "created_at",
-                     select=("user_sk", "scoring_crediticio", "status_riesgo"))
+                     select=("user_sk", "scoring_crediticio", "status_riesgo"), **plan)
 
 
 def fct_fraud_alerts(stg_tx: DataFrame, dim: DataFrame, bucket_minutes: int | str | None = None,

@@ -385,8 +385,10 @@ ORACLE_SQL: dict[str, str] = {
     "fct_fraud_alerts": _with("fa") + "SELECT * FROM fa",
     "fct_transactions": _with("fct") + "SELECT * FROM fct",
     "fct_transactions_asof": _with("fct_asof") + "SELECT * FROM fct_asof",
+    "fct_transactions_asof_carry": _with("fct_asof") + "SELECT * FROM fct_asof",
     "dim_users": _with("dim") + "SELECT * FROM dim",
     "user_transaction_velocity": _with("vel") + "SELECT * FROM vel",
+    "velocity_probe": _with("vel") + "SELECT * FROM vel",
     "velocity_count": _with("vel") + "SELECT transaction_id, cnt_5min FROM vel",
     "velocity_sum": _with("vel") + "SELECT transaction_id, sum_60min FROM vel",
     "stg_transactions": _with("stx") + "SELECT * FROM stx",
