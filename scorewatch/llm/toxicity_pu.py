@@ -122,17 +122,22 @@ def _selected(sample: DataFrame, max_features: int, least_z: float) -> tuple[np.
 def nn_pu(x: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400,
           rate: float = 0.05, decay: float = 3e-4) -> tuple[np.ndarray, float]:
     """Weights and intercept of the linear model, by Adam on the whole sample."""
+    # Single precision throughout: the driver holds no second copy of the sample.
+    x = x.astype(np.float32, copy=False)
     xp, xu = x[positive], x[unlabelled]
     w, b = np.zeros(x.shape[1]), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
 
+    def margin(rows):
+        return rows @ w.astype(np.float32) + b
+
     def gradient(rows, sign, weight):
         # d/dz of log(1 + exp(-sign * z)), averaged
-        g = -sign / (1 + np.exp(np.clip(sign * (rows @ w + b), -40, 40))) * (weight / len(rows))
-        return np.append(rows.T @ g, g.sum())
+        g = -sign / (1 + np.exp(np.clip(sign * margin(rows), -40, 40))) * (weight / len(rows))
+        return np.append(g.astype(np.float32) @ rows, g.sum())
 
     for t in range(1, steps + 1):
-        loss = lambda rows: np.logaddexp(0, rows @ w + b).mean()  # noqa: E731  risk of calling them negative
+        loss = lambda rows: np.logaddexp(0, margin(rows)).mean()  # noqa: E731  risk of calling them negative
         negative = loss(xu) - prior * loss(xp)
         correction = gradient(xu, -1, 1.0) - gradient(xp, -1, prior)
         step = gradient(xp, 1, prior) + correction if negative >= 0 else -correction
