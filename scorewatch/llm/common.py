@@ -90,12 +90,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def sent_if_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """Broadcast a narrow table that has ``rows`` rows at most (counted, so it
-    should be checkpointed); a larger one is joined by shuffle."""
-    return F.broadcast(df) if df.count() <= rows else df
-
-
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text",
            max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each piece holds about ``max_bytes`` of text
