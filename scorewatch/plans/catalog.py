@@ -137,7 +137,7 @@ class Warehouse:
         transactions' rows, and both facts have the same ones joined to the
         current user: each pair is one frame."""
         staged = with_velocity(self.stg_transactions)
-        facts = marts.facts_and_alerts(staged, self.dim_users)
+        facts = marts.facts_and_alerts(staged, self.dim_users, marts.FACT_USER_COLS)
         shared = {"stg_transactions": staged, "int_user_transaction_velocity": staged,
                   "fct_transactions": facts, "fct_fraud_alerts": facts}
         models = {c.model: shared[c.model] if c.model in shared else self.model(c.model) for c in quality.MODEL_CHECKS}

@@ -10,6 +10,8 @@ saves the join back on ``transaction_id``. The current-user join shuffles on
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from scorewatch.operators import rules
@@ -72,10 +74,14 @@ def _alerts(vel: DataFrame, dim: DataFrame) -> DataFrame:
     return facts_and_alerts(vel, dim).select(*ALERT_COLS)
 
 
-def facts_and_alerts(vel: DataFrame, dim: DataFrame) -> DataFrame:
-    """Columns of both fact models: each transaction with its velocity, the
-    current user and the rules' flags."""
+#: Columns of the user that ``fct_transactions`` has and the alerts don't need.
+FACT_USER_COLS = ("user_sk", "scoring_crediticio", "status_riesgo")
+
+
+def facts_and_alerts(vel: DataFrame, dim: DataFrame, user_cols: Sequence[str] = ()) -> DataFrame:
+    """Each transaction with its velocity, the current user's limit, location
+    and ``user_cols``, and the rules' flags. With ``FACT_USER_COLS`` the rows
+    have the columns of both fact models."""
     cur = current_users(dim).select(
-        F.col("user_id").alias("_uid"), "user_sk", "scoring_crediticio", "status_riesgo", "limite_credito",
-        F.col("location").alias("user_location"))
+        F.col("user_id").alias("_uid"), *user_cols, "limite_credito", F.col("location").alias("user_location"))
     return rules.evaluate(vel.join(cur, F.col("user_id") == F.col("_uid"), "left"))
