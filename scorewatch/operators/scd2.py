@@ -51,10 +51,27 @@ def snapshot_initial(batch: DataFrame, key: str = "user_id",
 def snapshot_step(prev: DataFrame, batch: DataFrame, as_of: Column, key: str = "user_id",
                   updated_at: str = "updated_at", invalidate_hard_deletes: bool = True) -> DataFrame:
     """Next snapshot from ``prev`` and the current ``batch`` run at ``as_of``."""
-    cols = list(batch.columns)
     closed = prev.filter(F.col("dbt_valid_to").isNotNull())
     opened = prev.filter(F.col("dbt_valid_to").isNull())
+    old, new, joined = _versions(opened, batch, as_of, key, updated_at, invalidate_hard_deletes)
+    touched = joined.select(F.inline(F.filter(F.array(old, new), lambda x: x.isNotNull())))
+    return closed.unionByName(touched.select(*closed.columns))
+
+
+def snapshot_changes(opened: DataFrame, batch: DataFrame, as_of: Column, key: str = "user_id",
+                     updated_at: str = "updated_at", invalidate_hard_deletes: bool = True) -> DataFrame:
+    """Only what a step changes: the open versions that close (with their
+    ``dbt_valid_to``) and the versions that open. Nothing for other keys."""
+    old, new, joined = _versions(opened, batch, as_of, key, updated_at, invalidate_hard_deletes)
+    found = F.filter(F.array(F.when(old["dbt_valid_to"].isNotNull(), old), new), lambda x: x.isNotNull())
+    return joined.select(F.inline(found)).select(*batch.columns, *SCD_COLS)
 
+
+def _versions(opened: DataFrame, batch: DataFrame, as_of: Column, key: str, updated_at: str,
+              invalidate_hard_deletes: bool) -> tuple[Column, Column, DataFrame]:
+    """The old and the new version of each key after the step, NULL where
+    there is none, as columns of the joined frame."""
+    cols = list(batch.columns)
     # Presence markers, not key nullness: a NULL key never matches, so its
     # open version is closed as deleted and its batch row opens a new one.
     o = opened.select(*[F.col(c).alias(f"o_{c}") for c in cols + list(SCD_COLS)],
@@ -82,8 +99,7 @@ def snapshot_step(prev: DataFrame, batch: DataFrame, as_of: Column, key: str = "
         F.col(f"b_{updated_at}").alias("dbt_updated_at"),
         F.col(f"b_{updated_at}").alias("dbt_valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("dbt_valid_to")))
-    touched = (j.select(F.inline(F.filter(F.array(old, new), lambda x: x.isNotNull()))))
-    return closed.unionByName(touched.select(*closed.columns))
+    return old, new, j
 
 
 def snapshot_batches(batches: Sequence[DataFrame], run_times: Sequence[Column],
