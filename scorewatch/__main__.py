@@ -5,6 +5,7 @@
     python -m scorewatch load    --lake DIR --landing DIR --raw DIR [--single t1,t2]
     python -m scorewatch sync    --lake DIR --raw DIR --checkpoint DIR [--single t1,t2]
     python -m scorewatch build   --raw DIR --out DIR [--run-at 'YYYY-MM-DD HH:MM:SS']
+    python -m scorewatch update  --deliveries DIR --users DIR --out DIR [--run-at 'YYYY-MM-DD HH:MM:SS'] [--compact]
     python -m scorewatch report  --out DIR
     python -m scorewatch serve   QUERY --out DIR [--user N] [--limit N] [--hours N] [--as-of TS] [--write DIR]
     python -m scorewatch sql     "SELECT ... FROM marts.fct_fraud_alerts ..." --out DIR [--database marts] [--write DIR]
@@ -53,7 +54,41 @@ def _emit(df: DataFrame, write: str | None, show: int | None = None) -> int:
     return n
 
 
+def serve_updated(spark: SparkSession, args) -> DataFrame:
+    """The same queries from the tables that ``update`` keeps: lookups open the
+    user's buckets, lists the newest dates, rates the hourly rollup."""
+    from scorewatch.plans import marts, newest, rollup, serving
+    from scorewatch.plans.incremental import IncrementalBuild
+    build = IncrementalBuild(spark, args.out)
+    users = [args.user] if args.user is not None else None
+    q = args.query
+    if q in ("credit-score", "credit-score-current"):
+        history = q == "credit-score"
+        rows = build.snapshot.of_users(users, history) if users else build.snapshot.read() if history else build.snapshot.current()
+        dim = marts.dim_users(rows)
+        return serving.credit_score_history(dim) if history else serving.credit_score_current(dim)
+    if q == "score-distribution":
+        return serving.score_distribution(marts.dim_users(build.snapshot.current()))
+    alerts, hours = build.tables["fct_fraud_alerts"], build.tables["alerts_hourly"]
+    if q == "alerts":
+        return newest.active_alerts(alerts, K.ALERTS_LIMIT_DEFAULT if args.limit is None else args.limit, args.user)
+    if q == "feed":
+        limit = K.FEED_LIMIT if args.limit is None else args.limit
+        if args.minutes:
+            return serving.alert_feed(alerts.read(), limit, _as_of(args.as_of), args.minutes)
+        return newest.alert_feed(alerts, limit)
+    if q == "alerts-summary":
+        return rollup.fraud_summary(hours.read(), _as_of(args.as_of),
+                                    K.SUMMARY_HOURS_DEFAULT if args.hours is None else args.hours, alerts.read())
+    panels = {"fraud-by-hour": rollup.fraud_pct_by_hour, "fraud-by-day": rollup.fraud_pct_by_day, "alerts-by-rule": rollup.alerts_by_rule}
+    if q in panels:
+        return panels[q](hours.read())
+    raise SystemExit(f"unknown query {q!r}")
+
+
 def serve(spark: SparkSession, args) -> DataFrame:
+    if args.updated:
+        return serve_updated(spark, args)
     from scorewatch.plans import serving
     from scorewatch.plans.pipeline import read_published
     out = args.out.rstrip("/")
@@ -109,11 +144,18 @@ def main(argv: list[str] | None = None) -> int:
     b = sub.add_parser("build", help="snapshot, velocity, marts and the data-quality report")
     b.add_argument("--raw", required=True), b.add_argument("--out", required=True), b.add_argument("--run-at")
 
+    u = sub.add_parser("update", help="bring the tables up to new deliveries and the users as they are: changed dates only")
+    u.add_argument("--deliveries", required=True, help="raw transactions (Parquet) since the last update")
+    u.add_argument("--users", required=True, help="raw users (Parquet), all of them")
+    u.add_argument("--out", required=True), u.add_argument("--run-at")
+    u.add_argument("--compact", action="store_true", help="then move closed score versions to their users' buckets")
+
     r = sub.add_parser("report", help="print the data-quality report")
     r.add_argument("--out", required=True)
 
     s = sub.add_parser("serve", help="run a served query over the marts")
     s.add_argument("query"), s.add_argument("--out", required=True)
+    s.add_argument("--updated", action="store_true", help="from the tables of 'update' instead of 'build'")
     s.add_argument("--user", type=int), s.add_argument("--limit", type=int)
     s.add_argument("--hours", type=int), s.add_argument("--minutes", type=int)
     s.add_argument("--as-of"), s.add_argument("--write"), s.add_argument("--show", type=int)
@@ -156,6 +198,15 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "build":
         from scorewatch.plans.pipeline import build_all
         print(json.dumps(build_all(spark, args.raw, args.out, _as_of(args.run_at))))
+    elif args.cmd == "update":
+        from scorewatch.plans.incremental import IncrementalBuild
+        from scorewatch.sources.schemas import RAW
+        build = IncrementalBuild(spark, args.out)
+        dates = build.apply(spark.read.schema(RAW["transactions"]).parquet(args.deliveries),
+                            spark.read.schema(RAW["users"]).parquet(args.users), _as_of(args.run_at))
+        if args.compact:
+            build.snapshot.compact()
+        print(json.dumps({"dates": [None if d is None else str(d) for d in dates]}))
     elif args.cmd == "report":
         from scorewatch.plans.pipeline import read_published
         _emit(read_published(spark, f"{args.out.rstrip('/')}/reports/dq_report"), None)

@@ -22,10 +22,11 @@ after a single exchange and sort.
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scorewatch.functions.constants import VELOCITY_WINDOWS_MIN
 from scorewatch.functions.timecols import MICROS_PER_MINUTE, epoch_micros
@@ -51,6 +52,11 @@ def choose_buckets(df: DataFrame, user_col: str, ts_col: str, widest_min: int,
     minutes = int(target_rows / per_minute)
     if minutes >= widest_min:
         return {"strategy": "halo", "bucket_minutes": min(minutes, 24 * 60)}
+    instants = (df.filter(F.col(user_col).isNotNull() & F.col(ts_col).isNotNull())
+                .groupBy(user_col, ts_col).agg(F.count(F.lit(1)).alias("_n"))
+                .agg(F.max("_n").alias("_peak")).first()["_peak"])
+    if instants > target_rows:
+        return {"strategy": "instants", "target_rows_per_task": target_rows}
     return {"strategy": "probe", "bucket_seconds": max(1, int(target_rows / (per_minute / 60.0)))}
 
 
@@ -67,18 +73,33 @@ def with_velocity(df: DataFrame, user_col: str = "user_id", ts_col: str = "creat
     copied. ``strategy="probe"``: no copies and buckets of any width
     (``bucket_seconds``, default 60), for data where one user-bucket of
     halo width could still hold a large share of all rows; it costs a second
-    exchange (see :func:`_with_velocity_probe`). ``bucket_minutes="auto"``
-    picks strategy and width from the data (:func:`choose_buckets`).
+    exchange (see :func:`_with_velocity_probe`). ``strategy="instants"``: rows
+    of one user and instant are added up first, for data where a single instant
+    holds a large share of all rows (see :func:`_with_velocity_instants`).
+    ``bucket_minutes="auto"`` picks strategy and width from the data
+    (:func:`choose_buckets`).
     """
     if bucket_minutes == "auto":
         return with_velocity(df, user_col, ts_col, amount_col, windows_min, metrics=metrics,
-                             **choose_buckets(df, user_col, ts_col, max(windows_min), target_rows_per_task))
+                             **{"target_rows_per_task": target_rows_per_task}
+                             | choose_buckets(df, user_col, ts_col, max(windows_min), target_rows_per_task))
+    if strategy == "instants":
+        return _with_velocity_instants(df, user_col, ts_col, amount_col, windows_min, bucket_minutes, metrics,
+                                       target_rows_per_task)
     if strategy == "probe":
         return _with_velocity_probe(df, user_col, ts_col, amount_col, windows_min,
                                     bucket_seconds or 60, metrics)
     if strategy != "halo":
         raise ValueError(f"unknown strategy {strategy!r}")
-    spread = spread_over_buckets(df, user_col, ts_col, amount_col, max(windows_min), bucket_minutes)
+    one, amount = F.lit(1), F.col(amount_col)
+    return _halo(df, user_col, ts_col, amount_col, one, amount, windows_min, bucket_minutes, metrics)
+
+
+def _halo(df: DataFrame, user_col: str, ts_col: str, weight_col: str, count: Column, amount: Column,
+          windows_min: Sequence[int], bucket_minutes: int | None, metrics: Sequence[str]) -> DataFrame:
+    """Window totals of ``count`` and ``amount``, expressions of ``weight_col``
+    (the one column that copies into a following bucket carry along)."""
+    spread = spread_over_buckets(df, user_col, ts_col, weight_col, max(windows_min), bucket_minutes)
     owner = F.col("_shift") == 0
 
     # (t - w, t] = (-inf, t] minus (-inf, t - w]. Both are UNBOUNDED PRECEDING
@@ -87,22 +108,65 @@ def with_velocity(df: DataFrame, user_col: str = "user_id", ts_col: str = "creat
     # with a NULL time sit in their own partition, so prefixes never see them.
     spec = Window.partitionBy(user_col, "_pb").orderBy("_us")
     upto_now = spec.rangeBetween(Window.unboundedPreceding, 0)
-    amount = F.col(amount_col)
     guard = F.col(user_col).isNull() | F.col("_us").isNull()
+    none = F.lit(0)
     cols = []
     for w in windows_min:
         upto_before = spec.rangeBetween(Window.unboundedPreceding, -w * MICROS_PER_MINUTE)
         if "cnt" in metrics:
-            cnt = F.count(F.lit(1)).over(upto_now) - F.count(F.lit(1)).over(upto_before)
-            cols.append(F.when(guard, F.lit(0)).otherwise(cnt).cast("bigint").alias(f"cnt_{w}min"))
+            cnt = F.sum(count).over(upto_now) - F.coalesce(F.sum(count).over(upto_before), none)
+            cols.append(F.when(guard, none).otherwise(cnt).cast("bigint").alias(f"cnt_{w}min"))
         if "sum" in metrics:
-            total = (F.coalesce(F.sum(amount).over(upto_now), F.lit(0))
-                     - F.coalesce(F.sum(amount).over(upto_before), F.lit(0)))
-            cols.append(F.when(guard, F.lit(0)).otherwise(total).cast(SUM_TYPE).alias(f"sum_{w}min"))
+            total = (F.coalesce(F.sum(amount).over(upto_now), none)
+                     - F.coalesce(F.sum(amount).over(upto_before), none))
+            cols.append(F.when(guard, none).otherwise(total).cast(SUM_TYPE).alias(f"sum_{w}min"))
     out = spread.select("*", *cols).filter(owner)
     return out.select(*df.columns, *out.columns[len(spread.columns):])
 
 
+def _with_velocity_instants(df: DataFrame, user_col: str, ts_col: str, amount_col: str, windows_min: Sequence[int],
+                            bucket_minutes: int | None, metrics: Sequence[str], target_rows: int) -> DataFrame:
+    """Velocity by instants: two levels of totals.
+
+    All rows of one user and time have the same windows. They are added up to one
+    row per (user, time) with their number and amount (partial sums on the map
+    side, so a crowded instant is a row per map task); the windows run over these,
+    and the result goes back to the rows by a join on (user, time). There the
+    rows of an instant with more than ``target_rows`` are dealt out over
+    ceil(n / target_rows) shares and its totals are copied to each.
+    """
+    known = df.filter(F.col(user_col).isNotNull() & F.col(ts_col).isNotNull())
+    instants = known.groupBy(F.col(user_col).alias("_iu"), F.col(ts_col).alias("_it")).agg(
+        F.struct(F.count(F.lit(1)).alias("n"), F.sum(amount_col).alias("s")).alias("_w"))
+    totals = _halo(instants, "_iu", "_it", "_w", F.col("_w.n"), F.col("_w.s"), windows_min, bucket_minutes, metrics)
+    names = [c for c in totals.columns if c.startswith(("cnt_", "sum_"))]
+    shares = F.ceil(F.col("_w.n") / F.lit(target_rows)).cast("int")
+    dealt = totals.withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("_w")
+    rows = deal_out(df, instants, user_col, ts_col, target_rows)
+    joined = rows.join(dealt, (F.col(user_col) == F.col("_iu")) & (F.col(ts_col) == F.col("_it"))
+                       & (F.col("_s") == F.col("_share")), "left")
+    return joined.select(*df.columns, *[F.coalesce(F.col(c), F.lit(0)).cast(totals.schema[c].dataType).alias(c) for c in names])
+
+
+#: Crowded instants (24 bytes each) that may be broadcast; more are joined by shuffle.
+MOST_CROWDED = 100_000
+
+
+def deal_out(df: DataFrame, instants: DataFrame, user_col: str, ts_col: str, target_rows: int) -> DataFrame:
+    """The rows with ``_s``, the share of their instant they go to, by a hash
+    of the row. Each crowded instant stands for ``target_rows`` rows at least, so
+    there are few; they are counted before they are broadcast."""
+    crowded = instants.filter(F.col("_w.n") > target_rows).select(
+        F.col("_iu").alias("_cu"), F.col("_it").alias("_ct"), F.ceil(F.col("_w.n") / F.lit(target_rows)).alias("_k"))
+    if crowded.limit(MOST_CROWDED + 1).count() <= MOST_CROWDED:
+        crowded = F.broadcast(crowded)
+    marked = df.join(crowded, (F.col(user_col) == F.col("_cu")) & (F.col(ts_col) == F.col("_ct")), "left")
+    # Rows without a user or time meet no instant; they go anywhere.
+    nobody = F.col(user_col).isNull() | F.col(ts_col).isNull()
+    share = F.pmod(F.xxhash64(*df.columns), F.when(nobody, F.lit(NOBODY)).otherwise(F.coalesce("_k", F.lit(1))))
+    return marked.select(*df.columns, share.cast("int").alias("_s"))
+
+
 def spread_over_buckets(df: DataFrame, user_col: str, ts_col: str, amount_col: str, widest: int,
                         bucket_minutes: int | None) -> DataFrame:
     """The rows and their copies with ``_pb``: one window group per user and
@@ -223,3 +287,30 @@ def user_transaction_velocity(stg_transactions: DataFrame, **kw) -> DataFrame:
     v = with_velocity(base, **kw)
     metrics = [c for c in v.columns if c.startswith(("cnt_", "sum_"))]
     return v.select("user_id", "transaction_id", "created_at", *metrics)
+
+
+def velocity_for_dates(stg_transactions: DataFrame, dates: Sequence[dt.date | None], date_col: str = "event_date",
+                       **kw) -> DataFrame:
+    """The velocity model's rows of some dates, from those dates' transactions
+    and the widest window's worth of the dates before them. ``stg_transactions``
+    has ``date_col``, the date of ``created_at``; where it is a partition column,
+    only these dates' partitions are read, and of the halo's only late row groups.
+    """
+    widest = max(kw.get("windows_min", VELOCITY_WINDOWS_MIN))
+    wanted, known = set(dates), sorted(d for d in dates if d is not None)
+    halo = set()  # the dates that the widest window reaches back to
+    for d in known:
+        halo.update(d - dt.timedelta(days=x) for x in range(1, math.ceil(widest / 1440) + 1))
+    own = F.col(date_col).isin(known)
+    if None in wanted:
+        own = own | F.col(date_col).isNull()
+    near = F.lit(False)
+    for d in sorted(halo - wanted):
+        # Rows that some later wanted date's first window can hold.
+        reached = [x for x in known if x > d and x - d <= dt.timedelta(days=math.ceil(widest / 1440))]
+        since = dt.datetime.combine(min(reached), dt.time()) - dt.timedelta(minutes=widest)
+        near = near | ((F.col(date_col) == F.lit(d)) & (F.col("created_at") > F.lit(since).cast("timestamp_ntz")))
+    rows = stg_transactions.filter(own | near).select("user_id", "transaction_id", "created_at", "amount_usd", date_col)
+    v = with_velocity(rows, **kw).filter(own)
+    metrics = [c for c in v.columns if c.startswith(("cnt_", "sum_"))]
+    return v.select("user_id", "transaction_id", "created_at", *metrics, date_col)

@@ -18,7 +18,7 @@ from scorewatch.functions.timecols import ntz
 from scorewatch.operators import quality, rules, scd2
 from scorewatch.operators.dedup import keep_earliest, keep_latest
 from scorewatch.operators.velocity import user_transaction_velocity, with_velocity
-from scorewatch.plans import marts, serving, staging
+from scorewatch.plans import marts, rollup, serving, staging
 from scorewatch.session import configure
 from scorewatch.sources import testdata as td
 from scorewatch.sources.lake import lake_to_raw, raw_movements
@@ -121,6 +121,10 @@ class Warehouse:
     def fct_fraud_alerts(self) -> DataFrame:
         return marts.fct_fraud_alerts(self.stg_transactions, self.dim_users)
 
+    @cached_property
+    def alerts_hourly(self) -> DataFrame:
+        return rollup.hourly(self.fct_fraud_alerts)
+
     @cached_property
     def current(self) -> DataFrame:
         return marts.current_users(self.dim_users)
@@ -240,6 +244,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_users": _w(lambda w: w.dim_users),
     "user_transaction_velocity": _w(lambda w: w.velocity),
     "velocity_probe": _w(lambda w: user_transaction_velocity(w.stg_transactions, strategy="probe", bucket_seconds=600)),
+    "velocity_instants": _w(lambda w: user_transaction_velocity(w.stg_transactions, strategy="instants")),
     "velocity_count": _w(lambda w: with_velocity(
         w.stg_transactions.select("user_id", "transaction_id", "created_at", "amount_usd"),
         windows_min=(5,), metrics=("cnt",)).select("transaction_id", "cnt_5min")),
@@ -292,15 +297,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fraud_alerts_active": _w(lambda w: serving.active_alerts(w.fct_fraud_alerts)),
     "fraud_alerts_user": _w(lambda w: serving.active_alerts(w.fct_fraud_alerts, limit=K.ALERTS_LIMIT_MAX,
                                                             user_id=ALERT_USER)),
-    "fraud_summary_hourly": _w(lambda w: serving.fraud_summary(w.fct_fraud_alerts, _asof(w), SUMMARY_HOURS)),
-    "fraud_summary_24h": _month(lambda w: serving.fraud_summary(w.fct_fraud_alerts, ntz(AS_OF_MONTH))),
-    "fraud_pct_by_hour": _month(lambda w: serving.fraud_pct_by_hour(w.fct_fraud_alerts)),
-    "fraud_pct_by_day": _month(lambda w: serving.fraud_pct_by_day(w.fct_fraud_alerts)),
+    "alerts_hourly": _month(lambda w: w.alerts_hourly),
+    "fraud_summary_hourly": _w(lambda w: rollup.fraud_summary(w.alerts_hourly, _asof(w), SUMMARY_HOURS)),
+    "fraud_summary_24h": _month(lambda w: rollup.fraud_summary(w.alerts_hourly, ntz(AS_OF_MONTH))),
+    "fraud_pct_by_hour": _month(lambda w: rollup.fraud_pct_by_hour(w.alerts_hourly)),
+    "fraud_pct_by_day": _month(lambda w: rollup.fraud_pct_by_day(w.alerts_hourly)),
     "score_distribution": _w(lambda w: serving.score_distribution(w.dim_users)),
     "alert_feed": _w(lambda w: serving.alert_feed(w.fct_fraud_alerts)),
     "alert_radar_5min": _w(lambda w: serving.alert_feed(w.fct_fraud_alerts, as_of=_asof(w),
                                                         minutes=RADAR_MINUTES)),
-    "alerts_by_rule": _w(lambda w: serving.alerts_by_rule(w.fct_fraud_alerts)),
+    "alerts_by_rule": _w(lambda w: rollup.alerts_by_rule(w.alerts_hourly)),
     # data quality
     "dq_report": _w(lambda w: w.dq()),
     "dq_not_null": _w(lambda w: w.dq_soiled("not_null")),

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from scorewatch.functions import constants as K
 from scorewatch.operators.quality import MODEL_CHECKS, SOURCE_CHECKS
+from scorewatch.operators.rules import FLAGS
 from scorewatch.plans import catalog
 
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {}
@@ -389,6 +390,7 @@ ORACLE_SQL: dict[str, str] = {
     "dim_users": _with("dim") + "SELECT * FROM dim",
     "user_transaction_velocity": _with("vel") + "SELECT * FROM vel",
     "velocity_probe": _with("vel") + "SELECT * FROM vel",
+    "velocity_instants": _with("vel") + "SELECT * FROM vel",
     "velocity_count": _with("vel") + "SELECT transaction_id, cnt_5min FROM vel",
     "velocity_sum": _with("vel") + "SELECT transaction_id, sum_60min FROM vel",
     "stg_transactions": _with("stx") + "SELECT * FROM stx",
@@ -478,6 +480,11 @@ ORACLE_SQL: dict[str, str] = {
     "fraud_summary_24h": _with("fam") + _rate_sql(
         "hour", "hora", "fam",
         where=f"WHERE created_at >= TIMESTAMP '{catalog.AS_OF_MONTH}' - INTERVAL {K.SUMMARY_HOURS_DEFAULT} HOUR"),
+    "alerts_hourly": _with("fam") + """
+    SELECT date_trunc('hour', created_at) AS hora, count(*) AS tx_total, count(*) FILTER (is_fraud_alert) AS tx_con_alertas,
+           """ + ", ".join(f"count(*) FILTER (is_fraud_alert AND {f}) AS n_{f}" for f in FLAGS) + """,
+           date_trunc('hour', created_at)::DATE AS event_date
+    FROM fam GROUP BY ALL""",
     "fraud_pct_by_hour": _with("fam") + _rate_sql("hour", "hora", "fam", tail=f"LIMIT {K.HOURLY_PANEL_LIMIT}"),
     "fraud_pct_by_day": _with("fam") + _rate_sql("day", "dia", "fam"),
     "score_distribution": _with("dim") + f"""

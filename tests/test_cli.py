@@ -44,3 +44,35 @@ def test_job_commands(spark, tmp):
     assert spark.read.parquet(f"{inc}/transactions").count() == 6
     last = json.loads(lines[-1])
     assert last["n"] == 6 and last["a"] == summary["tx_con_alertas"]
+
+
+def test_update_and_serve(spark, tmp):
+    """Two updates, then each served query from the tables they keep."""
+    import datetime as dt
+    from decimal import Decimal
+
+    from scorewatch.sources.schemas import RAW
+    users = [(i, f"U{i}", 500 + 100 * i, Decimal(1000), "medio", "A", dt.datetime(2024, 1, 1)) for i in range(3)]
+    txs = [(10 + i, i % 3, Decimal(2000 * i), "m", "A" if i % 2 else "B", False, dt.datetime(2024, 1, 1 + i // 3, 0, i)) for i in range(6)]
+    spark.createDataFrame(users, RAW["users"]).write.parquet(f"{tmp}/users")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        for n, part in enumerate((txs[:3], txs[3:])):
+            spark.createDataFrame(part, RAW["transactions"]).write.parquet(f"{tmp}/new{n}")
+            main(["update", "--deliveries", f"{tmp}/new{n}", "--users", f"{tmp}/users", "--out", f"{tmp}/out",
+                  "--run-at", f"2024-01-0{n + 2} 01:00:00", "--compact"])
+        for q in ("alerts", "feed", "alerts-by-rule", "fraud-by-day", "score-distribution"):
+            print(f"# {q}")
+            main(["serve", q, "--out", f"{tmp}/out", "--updated"])
+        print("# summary")
+        main(["serve", "alerts-summary", "--out", f"{tmp}/out", "--updated", "--as-of", "2024-01-02 00:30:00", "--hours", "2"])
+        print("# user")
+        assert main(["serve", "credit-score", "--out", f"{tmp}/out", "--updated", "--user", "2"]) == 0
+        assert main(["serve", "credit-score-current", "--out", f"{tmp}/out", "--updated", "--user", "99"]) == 1
+    head, *parts = buf.getvalue().split("# ")
+    assert [json.loads(x)["dates"] for x in head.splitlines()] == [["2024-01-01"], ["2024-01-02"]]
+    got = {p.splitlines()[0]: [json.loads(x) for x in p.splitlines()[1:]] for p in parts}
+    assert [r["transaction_id"] for r in got["alerts"]] == [15, 14, 13, 12, 11, 10][:len(got["alerts"])] and len(got["feed"]) == len(got["alerts"])
+    assert [r["tx_total"] for r in got["fraud-by-day"]] == [3, 3] and [r["tx_total"] for r in got["summary"]] == [3]
+    assert len(got["alerts-by-rule"]) == 5 and sum(r["usuarios"] for r in got["score-distribution"]) == 3
+    assert [r["user_id"] for r in got["user"]] == [2]

@@ -140,3 +140,63 @@ def test_auto_buckets_on_empty_input(spark):
     assert choose_buckets(empty, "user_id", "created_at", 60) == {"strategy": "halo", "bucket_minutes": 1440}
     r = _run(spark, [(1, None, None, Decimal("1.00"))], bucket_minutes="auto")
     assert r[1]["cnt_60min"] == 0
+
+
+def test_instants_strategy_matches_brute_force(spark):
+    rng = random.Random(23)
+    rows = [(i, rng.choice([1, 1, 2, None]),
+             None if rng.random() < 0.05 else T0 + dt.timedelta(minutes=rng.choice([0, 0, 5, 14, 15, 60, 61, 130])),
+             None if rng.random() < 0.1 else Decimal(rng.randrange(10_000)) / 100) for i in range(300)]
+    for target in (7, 10_000):
+        r = _run(spark, rows, strategy="instants", target_rows_per_task=target)
+        assert len(r) == 300
+        for w in (5, 15, 60):
+            for tid, (n, s) in _brute(rows, w).items():
+                assert (r[tid][f"cnt_{w}min"], r[tid][f"sum_{w}min"]) == (n, s), (target, w, tid)
+
+
+def test_one_instant_with_a_third_of_all_rows(spark):
+    """100,000 rows of one user at one instant: no window group and no join
+    key holds more than a bounded number of them."""
+    from pyspark.sql import functions as F
+
+    from scorewatch.operators.velocity import choose_buckets, deal_out
+    df = spark.range(300_000).select(
+        F.col("id").alias("transaction_id"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 500).cast("long").alias("user_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(T0)).otherwise(F.timestamp_add("SECOND", (F.col("id") % 7200).cast("int"), F.lit(T0)))
+        .cast("timestamp_ntz").alias("created_at"), F.lit(1).cast("decimal(15,2)").alias("amount_usd"))
+    target = 4000
+    chosen = choose_buckets(df, "user_id", "created_at", 60, target_rows=target)
+    assert chosen == {"strategy": "instants", "target_rows_per_task": target}
+    instants = df.groupBy(F.col("user_id").alias("_iu"), F.col("created_at").alias("_it")).agg(
+        F.struct(F.count(F.lit(1)).alias("n"), F.sum("amount_usd").alias("s")).alias("_w"))
+    assert instants.agg(F.max("_w.n")).first()[0] >= 100_000
+    largest = (deal_out(df, instants, "user_id", "created_at", target)
+               .groupBy("user_id", "created_at", "_s").count().agg(F.max("count")).first()[0])
+    assert largest < 1.2 * target
+    assert instants.groupBy("_iu").count().agg(F.max("count")).first()[0] < target * 2  # what the windows run over
+    hot = with_velocity(df, bucket_minutes="auto", target_rows_per_task=target).filter(F.col("created_at") == F.lit(T0))
+    got = hot.filter("user_id = 1").agg(F.count("*"), F.min("cnt_5min"), F.max("cnt_60min"), F.max("sum_5min")).first()
+    at_t0 = df.filter((F.col("user_id") == 1) & (F.col("created_at") == F.lit(T0))).count()
+    assert tuple(got) == (at_t0, at_t0, at_t0, at_t0)
+
+
+def test_days_one_by_one_equal_the_whole_table(spark):
+    from pyspark.sql import functions as F
+
+    from scorewatch.operators.velocity import user_transaction_velocity, velocity_for_dates
+    rng = random.Random(9)
+    rows = [(i, rng.choice([1, 2, 3, None]), None if i % 40 == 0 else dt.datetime(2024, 1, 1) + dt.timedelta(
+        days=rng.randrange(5), minutes=rng.choice([0, 1, 30, 59, 700, 1381, 1400, 1439]), microseconds=rng.randrange(2)), Decimal(i))
+        for i in range(500)]
+    tx = spark.createDataFrame(rows, SCHEMA).withColumn("event_date", F.to_date("created_at"))
+    full = [tuple(r) for r in user_transaction_velocity(tx).withColumn("event_date", F.to_date("created_at")).collect()]
+    days = [dt.date(2024, 1, d) for d in range(1, 6)]
+    folded = [tuple(r) for d in [*days, None] for r in velocity_for_dates(tx, [d]).collect()]
+    assert sorted(folded, key=str) == sorted(full, key=str)
+    got = [r for r in folded if r[-1]]
+    some = [days[0], days[2], days[3]]
+    assert sorted((tuple(r) for r in velocity_for_dates(tx, some).collect()), key=str) == sorted((r for r in got if r[-1] in some), key=str)
+    wide = velocity_for_dates(tx, [days[4]], windows_min=(2000,))  # reaches back two days
+    full = {r.transaction_id: r.cnt_2000min for r in user_transaction_velocity(tx, windows_min=(2000,)).collect()}
+    assert all(full[r.transaction_id] == r.cnt_2000min for r in wide.collect())
