@@ -90,6 +90,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows, written below the shared checkpoint folder and read again:
+    computed once, with the lineage cut."""
+    path = shared_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text",
            max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each piece holds about ``max_bytes`` of text

@@ -31,6 +31,91 @@ def test_banded_distance(seed):
         assert got == (true if true <= most else None)
 
 
+@pytest.mark.parametrize("seed", range(60))
+def test_distance_row_by_row(seed):
+    """Distances beyond the diagonals' range."""
+    rnd = random.Random(seed)
+    a = [rnd.randrange(50) for _ in range(rnd.randrange(60, 140))]
+    b = list(a)
+    for _ in range(rnd.randrange(20, 50)):
+        at = rnd.randrange(len(b))
+        b[at: at + rnd.randrange(3)] = [rnd.randrange(50)] * rnd.randrange(3)
+    true = edit_distance(a, b)
+    x, y = np.array(a, np.int64), np.array(b, np.int64)
+    for most in (true - 1, true, true + 9, 200):
+        assert near_dup.banded_distance(x, y, most) == (true if true <= most else None)
+        assert near_dup._by_rows(x, y, most) == (true if true <= most else None)
+
+
+def test_long_reordered_texts_take_bounded_memory():
+    import time
+    import tracemalloc
+    w = np.random.default_rng(1).integers(0, 1 << 32, 20_000)
+    turned = np.concatenate([w[10_000:], w[:10_000]])
+    tracemalloc.start()
+    began = time.perf_counter()
+    assert not near_dup.similar(w, turned, 0.8)
+    assert near_dup.similar(w, np.concatenate([w[500:], w[:500]]), 0.8)
+    assert tracemalloc.get_traced_memory()[1] < 60 << 20 and time.perf_counter() - began < 120
+    tracemalloc.stop()
+
+
+def similarity_classes(rows, least):
+    """Exact: every pair of texts compared by its edit distance."""
+    texts = {d: np.array([hash(x) for x in t.split()], np.int64) for d, t in rows}
+    ids, found = list(texts), []
+    for i, x in enumerate(ids):
+        for y in ids[i + 1:]:
+            if near_dup.similar(texts[x], texts[y], least):
+                found.append((x, y))
+    return found
+
+
+@pytest.mark.parametrize("level", [0.80, 0.85, 0.90, 0.95])
+def test_recall_at_the_threshold(spark, level):
+    """Pairs that are this similar, by changes spread over the text, against an
+    exact comparison of all pairs: nine of ten or more share a class."""
+    rnd = random.Random(int(level * 100))
+    rows = []
+    for g in range(150):
+        base = text(rnd, rnd.choice([60, 200, 500]))
+        changed = list(base)
+        for at in rnd.sample(range(len(base)), int(len(base) * (1 - level) + 1e-9)):
+            changed[at] = f"x{rnd.randrange(10**6)}"
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(changed))]
+    exact = similarity_classes(rows, 0.8)
+    assert len(exact) == 150
+    got = {r.doc_id: r.class_id for r in near_dup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    recall = sum(got[x] == got[y] for x, y in exact) / len(exact)
+    assert recall >= 0.9, recall
+    linked = {(x, y) for x in got for y in got if x < y and got[x] == got[y]}
+    assert linked <= set(exact)  # and no others
+
+
+def test_similar_texts_among_many_that_share_their_passage(spark):
+    """A passage of half of each text joins 300 unrelated texts; pairs among
+    them that are similar are found, the others stay apart, pairs stay few."""
+    rnd = random.Random(21)
+    passage, rows = text(rnd, 100), []
+    for g in range(150):
+        own = text(rnd, 100)
+        rows.append((2 * g, " ".join(own[:50] + passage + own[50:])))
+        if g % 2:
+            for at in rnd.sample(range(100), 12):
+                own[at] = f"x{rnd.randrange(10**6)}"
+        else:
+            own = text(rnd, 100)
+        rows.append((2 * g + 1, " ".join(own[:50] + passage + own[50:])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dup.classes(frame).collect()}
+    together = [g for g in range(150) if got[2 * g + 1] == 2 * g]
+    assert all(g % 2 for g in together) and len(together) >= 0.9 * 75
+    assert len(set(got.values())) == 300 - len(together)
+    sketches = near_dup.stored(near_dup.sketched(near_dup.texts(frame), 5, 64, 2))
+    pairs = near_dup.pairs_of(sketches.selectExpr("key", "explode(sketch) AS h")).count()
+    assert pairs <= 64 * 300 < 300 * 299 / 2
+
+
 def text(rnd, n):
     return [f"w{rnd.randrange(4000)}" for _ in range(n)]
 
