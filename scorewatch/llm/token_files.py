@@ -15,8 +15,10 @@ holds the task attempt; the manifest names the files of the attempt that
 counted, so a lost executor or a second attempt does no harm.
 
 Defined cases: null and empty texts give the end id alone; rows of equal id
-stand in order of their text's hash; null ids come first; an empty table gives
-an empty result; other columns are not read.
+stand in order of their text's hash; null ids come first; special tokens in a text
+have their own ids, as the library gives them; very long texts are cut into units
+like others; an empty table gives an empty result; other columns, whatever their
+names, are not read.
 """
 
 from __future__ import annotations
@@ -35,96 +37,136 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import checkpointed, shared_folder, slices, store, texts
+from .common import checkpointed, shared_folder, slices, store, texts, utf8
+from .wordhash import byte_class
 
-#: A space after white space, where cutting before every space isn't safe.
-_UNSAFE = re.compile(r"\s ")
-#: Letters, marks, and after a line feed letters and marks again.
-_SHAPE = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)(?:\n([^\W\d_]+)([!-/:-@\[-`{-~]*))?\Z")
-TOGETHER = 200  # pieces in one call; the library slows down on longer texts
+TOGETHER = 200  # words in one call; the library slows down on longer texts
 _encoders: dict[int, CachedEncoder] = {}
 
+_WHITE = byte_class((0x09, 0x0D), (0x1C, 0x20))
+_LETTER = byte_class((0x41, 0x5A), (0x61, 0x7A))
+_MARK = byte_class((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
+#: Last two bytes of the white space beyond ASCII, in UTF-8.
+_WIDE_WHITE = np.zeros(1 << 16, bool)
+_WIDE_WHITE[[0xC285, 0xC2A0, 0x9A80, 0x80A8, 0x80A9, 0x80AF, 0x819F, *range(0x8080, 0x808B)]] = True
+_WORD = re.compile(rb" [^\s\x1c-\x1f]+\Z")  # bytes from 0x80 on included, so wide white space is looked for too
+_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
+def units(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the rows' texts can be cut so that the ids of a text are those of
+    its parts: at places that no match of the byte-level pattern goes across.
+
+    * before white space, after a character that isn't white space;
+    * after a single line feed between two that aren't;
+    * between a letter and an ASCII mark.
+
+    Where bytes beyond ASCII leave a doubt there is no cut. A text without any
+    such place, however long, is one unit."""
+    n = len(raw)
+    cut = np.zeros(n + 1, bool)
+    if n > 1:
+        white = _WHITE[raw]
+        solid = ~white
+        pairs = (raw[:-1].astype(np.uint16) << 8) | raw[1:]
+        solid[1:] &= ~_WIDE_WHITE[pairs] | (raw[1:] < 0x80)  # may be taken for wide white space: no cut
+        letter = _LETTER[raw]
+        letter[1:] |= (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
+        cut[1:n] = white[1:] & solid[:-1]
+        cut[1:n] |= letter[:-1] & _MARK[raw[1:]]
+        plain = (raw < 0x80) & ~white | (raw == 0xC3)
+        cut[2:n] |= solid[:-2] & (raw[1:-1] == 0x0A) & plain[2:]
+    cut[offsets] = True
+    return cut
+
 
 class CachedEncoder:
-    """The library's ids of a text, as bytes.
-
-    No match of the byte-level pattern goes on from a character that isn't
-    white space into a space, so the ids of a text are those of its pieces cut
-    before spaces. Nor does one go on from letters into marks, or over a line
-    feed between marks and letters; a piece of that shape has the ids of its words
-    and marks. The ids of pieces and of words are kept, so the library sees a
-    word about once in a worker's life, many words at a time. Texts with a space
-    after white space go to the library whole. Special tokens in a text are
-    ordinary text.
+    """The library's ids of texts, as it is set up by default (special tokens
+    in a text are special).
+
+    A slice of texts is cut into units (``units``), words mostly. Arrow numbers
+    the distinct ones, so a word is handled once a slice; their ids are kept
+    for the next slices, up to ``keep`` units. Unknown words go to the library
+    many at a time. Ids are put together by numpy. A text that holds a special
+    token is one unit.
     """
 
-    def __init__(self, raw: str, keep: int = 300_000):
+    def __init__(self, raw: str, keep: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(raw)
-        self.library.encode_special_tokens = True
         size = self.library.get_vocab_size()
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         # Each character of a byte-level token stands for one byte.
         self.width = np.array([len(self.library.id_to_token(i) or "") for i in range(size)], np.int64)
+        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.keep = keep
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}  # with the space before them
-        self.single: dict[str, bytes] = {}  # texts that don't begin with a space
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
-
-    def _alone(self, text: str) -> bytes:
-        ids = self.single.get(text)
-        if ids is None:
-            ids = self.single[text] = self._ids(text).tobytes()
-        return ids
-
-    def _spaced(self, words: list[str], into: dict[str, bytes]) -> None:
-        """Ids of each word with a space before it."""
-        size = self.dtype.itemsize
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids = [np.zeros(0, self.dtype)]  # ids of the known units, one after the other
+        self.sizes: list[np.ndarray] = [np.zeros(0, np.int64)]
+
+    def _add(self, new: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.ids.append(ids)
+        self.sizes.append(sizes)
+
+    def _learn(self, new: list[bytes]) -> None:
+        words, other = [], []
+        for x in new:
+            (words if _WORD.match(x) and (x.isascii() or not _WIDE.search(x.decode("utf-8", "replace"))) else other).append(x)
         for i in range(0, len(words), TOGETHER):
-            part = [f" {x}" for x in words[i: i + TOGETHER]]
-            ids = self._ids("".join(part))
-            ends = np.cumsum([len(x.encode()) for x in part])
-            at = np.searchsorted(np.cumsum(self.width[ids]), ends, "right") * size
-            raw, last = ids.tobytes(), 0
-            for word, end in zip(words[i: i + TOGETHER], at.tolist()):
-                into[word] = raw[last:end]
-                last = end
-
-    def _learn(self, pieces: list[str]) -> None:
-        shaped, other = [], []
-        for x in pieces:
-            m = _SHAPE.match(x)
-            if m and m[1].isalpha() and (m[3] is None or m[3].isalpha()):
-                shaped.append((x, m[1], m[2], m[3], m[4]))
-            else:
-                other.append(x)
-        self._spaced(list({s[1] for s in shaped}.difference(self.words)), self.words)
-        self._spaced(other, self.pieces)
-        for x, word, marks, following, more in shaped:
-            ids = self.words[word]
-            if marks:
-                ids += self._alone(marks)
-            if following is not None:
-                ids += self._alone("\n") + self._alone(following)
-                if more:
-                    ids += self._alone(more)
-            self.pieces[x] = ids
+            part = words[i: i + TOGETHER]
+            ids = self._encoded([b"".join(part)])[0]
+            ends = np.cumsum([len(x) for x in part])
+            at = np.searchsorted(np.cumsum(self.width[ids]), ends, "right")
+            self._add(part, ids, np.diff(at, prepend=0))
+        for i in range(0, len(other), TOGETHER):
+            part = other[i: i + TOGETHER]
+            ids = self._encoded(part)
+            self._add(part, np.concatenate(ids), np.array([len(x) for x in ids], np.int64))
+
+    def _encoded(self, texts: list[bytes]) -> list[np.ndarray]:
+        made = self.library.encode_batch_fast([x.decode("utf-8", "replace") for x in texts], add_special_tokens=False)
+        return [np.array(x.ids, self.dtype) for x in made]
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows, one after the other, and the number of each row's."""
+        raw, offsets = utf8(column)
+        cut = units(raw, offsets)
+        whole = raw.tobytes()
+        for token in self.special:
+            at = whole.find(token)
+            while at >= 0:
+                row = np.searchsorted(offsets, at, "right") - 1
+                cut[offsets[row] + 1: offsets[row + 1]] = False
+                at = whole.find(token, int(offsets[row + 1]))
+        places = np.flatnonzero(cut)
+        if len(places) < 2:
+            return np.zeros(0, self.dtype), np.zeros(len(column), np.int64)
+        parts = pa.Array.from_buffers(pa.large_binary(), len(places) - 1,
+                                      [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(whole)]).dictionary_encode()
+        distinct = parts.dictionary.to_pylist()
+        if len(self.known) > self.keep:
+            self._forget()
+        self._learn([x for x in distinct if x not in self.known])
+        if len(self.ids) > 1:
+            self.ids, self.sizes = [np.concatenate(self.ids)], [np.concatenate(self.sizes)]
+        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        begins = np.cumsum(self.sizes[0]) - self.sizes[0]
+        own = number[parts.indices.to_numpy()]
+        size = self.sizes[0][own]
+        ends = np.cumsum(size)
+        ids = self.ids[0][np.repeat(begins[own] - (ends - size), size) + np.arange(int(ends[-1]))]
+        before = np.concatenate([[0], ends])[np.searchsorted(places, offsets)]
+        return ids, np.diff(before)
 
     def encode(self, batch: list[str]) -> list[bytes]:
-        for known, most in ((self.pieces, self.keep), (self.words, 2 * self.keep), (self.single, self.keep)):
-            if len(known) > most:
-                known.clear()
-        cut = [None if _UNSAFE.search(t) else t.split(" ") for t in batch]
-        new = {x for pieces in cut if pieces for x in pieces[1:]}
-        self._learn(list(new.difference(self.pieces)))
-        get = self.pieces.__getitem__
-        return [self._ids(t).tobytes() if pieces is None else b"".join([self._alone(pieces[0]), *map(get, pieces[1:])])
-                for t, pieces in zip(batch, cut)]
+        ids, counts = self.encode_column(pa.array(batch, pa.large_string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(counts)[:-1])]
 
 
 def _encoder(raw: str) -> CachedEncoder:
@@ -160,20 +202,20 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 0, id
         part = TaskContext.get().partitionId()
         files, root = store(folder)
         stem, encoder = f"{part:06d}-{uuid.uuid4().hex[:12]}", _encoder(raw.value)
-        end = np.array([end_id], encoder.dtype).tobytes()
-        ids, counts = [], []
+        ids, counts = [], [np.zeros(0, np.int64)]
         with files.open_output_stream(f"{root}/{stem}.ids") as out:
             for piece in slices(batches):
-                for x in encoder.encode(piece.column("text").to_pylist()):
-                    counts.append(len(x) // encoder.dtype.itemsize + 1)
-                    out.write(x + end)
+                made, sizes = encoder.encode_column(piece.column("text"))
+                out.write(np.insert(made, np.cumsum(sizes), end_id).tobytes())
+                counts.append(sizes + 1)
                 ids.extend(piece.column("doc_id").to_pylist())
+        counts = np.concatenate(counts)
         with files.open_output_stream(f"{root}/{stem}.doc") as out, pa.ipc.new_file(out, pa.schema([("doc_id", kind)])) as table:
             table.write_batch(pa.record_batch([pa.array(ids, kind)], ["doc_id"]))
         with files.open_output_stream(f"{root}/{stem}.len") as out:
-            out.write(np.array(counts, "<i8").tobytes())
+            out.write(counts.astype("<i8").tobytes())
         yield pa.RecordBatch.from_pydict({"part": [part], "file": [stem], "dtype": [encoder.dtype.str],
-                                          "n_docs": [len(ids)], "n_ids": [sum(counts)]})
+                                          "n_docs": [len(ids)], "n_ids": [int(counts.sum())]})
 
     source = texts(docs, id_col, text_col).withColumn("_order", F.xxhash64("text")).withColumn(
         "_row", F.monotonically_increasing_id())

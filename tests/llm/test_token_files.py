@@ -16,16 +16,15 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)  # with its default settings
 
 
 def texts(n):
     rnd = random.Random(2)
     parts = ["word", "Wörter", " ", "  ", "\n", "\n\n", "\t", ".", ",", "!?", "'s", "don't", "12", "x9", "日本語", "\u00a0", "🙂",
-             " a", "the end.\nThen", "²", "\u2028", "<|endoftext|>", "a.b", "foo'", "_x_"]
-    return ["".join(rnd.choices(parts, k=rnd.randrange(0, 40))) for _ in range(n)] + [" ", "  ", "", " a", "a ", "\n "]
+             " a", "the end.\nThen", "²", "\u2028", "<|endoftext|>", "a.b", "foo'", "_x_", "é", "É.", "×", "÷,", "…", "\u3000", "\u200a ",
+             "\x85", "\x1f", "\r\n", "'ll", "('s", "ß\n", "\né", "\n ", " \n", "Я", "d'été", "̈"]
+    return ["".join(rnd.choices(parts, k=rnd.randrange(0, 40))) for _ in range(n)] + ["<|endoftext|>", "x <|endoftext|>\ny", " ", "  ", "", " a", "a ", "\n "]
 
 
 def test_cached_encoder_is_the_library(library):
