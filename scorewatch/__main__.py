@@ -1,6 +1,7 @@
 """Command line: the jobs of the pipeline and the served queries.
 
     python -m scorewatch ingest  --events DIR | --bootstrap HOST  --lake DIR --checkpoint DIR [--topic X] [--once]
+    python -m scorewatch compact --lake DIR [--single t1,t2] [--expire]
     python -m scorewatch cards   --pages DIR (--events DIR | --bootstrap HOST) [--max-pages N]
     python -m scorewatch load    --lake DIR --landing DIR --raw DIR [--single t1,t2]
     python -m scorewatch sync    --lake DIR --raw DIR --checkpoint DIR [--single t1,t2]
@@ -128,6 +129,11 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--lake", required=True), a.add_argument("--checkpoint", required=True)
     a.add_argument("--topic"), a.add_argument("--once", action="store_true")
     a.add_argument("--max-offsets", type=int, help="broker offsets per topic and trigger (default: all)")
+    a.add_argument("--fanout", action="store_true", help="read the source once for all tables, batch by batch")
+
+    co = sub.add_parser("compact", help="bring the batches of a fan-out lake together by date")
+    co.add_argument("--lake", required=True), co.add_argument("--single")
+    co.add_argument("--expire", action="store_true", help="remove the batch folders that are compacted")
 
     c = sub.add_parser("cards", help="card feed pages -> anonymized card events")
     c.add_argument("--pages", required=True), c.add_argument("--events"), c.add_argument("--bootstrap")
@@ -170,7 +176,18 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.cmd == "ingest":
         from scorewatch.streaming import ingest
-        if args.bootstrap:
+        if args.fanout:
+            if args.bootstrap:
+                sources = [ingest.kafka_source(spark, args.bootstrap, r.topic, args.max_offsets) for r in ingest.select_topics(args.topic)]
+                events = sources[0]
+                for more in sources[1:]:
+                    events = events.unionByName(more)
+            elif args.events:
+                events = ingest.file_source(spark, args.events)
+            else:
+                raise SystemExit("give --events or --bootstrap")
+            queries = [ingest.start_fanout(events, args.lake, args.checkpoint, args.topic, args.once)]
+        elif args.bootstrap:
             queries = []
             for route in ingest.select_topics(args.topic):
                 src = ingest.kafka_source(spark, args.bootstrap, route.topic, args.max_offsets)
@@ -182,11 +199,19 @@ def main(argv: list[str] | None = None) -> int:
             raise SystemExit("give --events or --bootstrap")
         for q in queries:
             q.awaitTermination()
+    elif args.cmd == "compact":
+        from scorewatch.sources import lake_batches
+        from scorewatch.sources.schemas import LAKE
+        tables = args.single.split(",") if args.single else list(LAKE)
+        print(json.dumps({t: lake_batches.compact(spark, args.lake, t) for t in tables}))
+        if args.expire:
+            print(json.dumps({t: lake_batches.expire(spark, args.lake, t) for t in tables}))
     elif args.cmd == "cards":
         from scorewatch.streaming import cards
         pages = spark.read.text(args.pages, wholetext=True)
-        cards.publish_card_events(cards.card_events(pages, max_pages=args.max_pages),
-                                  bootstrap=args.bootstrap, path=args.events)
+        # The same pages are the same batch: a second run leaves one set of events.
+        cards.publish_card_events(cards.card_events(pages, max_pages=args.max_pages), bootstrap=args.bootstrap,
+                                  path=args.events, batch=cards.batch_of(pages))
     elif args.cmd == "load":
         from scorewatch.sources.lake import load_raw
         tables = args.single.split(",") if args.single else None

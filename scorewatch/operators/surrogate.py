@@ -12,6 +12,12 @@ a group's offset is the number of rows in all groups before it:
 
 Rows are shuffled once, by group; a value of the first column that holds much
 of the data is spread over its ranges. Nothing runs before an action.
+
+``ranged_id`` needs no ranges to be named: Spark samples the whole order and
+cuts it where the rows are, so that one date, or one card of one date, with a
+third of all rows is split by the columns after it. Rows are sorted inside their
+range and written to the checkpoint folder with their place, so that the places
+are the same when a task is run again. The input is read twice, once to sample.
 """
 
 from __future__ import annotations
@@ -20,6 +26,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from scorewatch.session import ensure_checkpoint_dir
+
 
 def dense_id(df: DataFrame, order: Sequence[str], part: Column, id_col: str = "id") -> DataFrame:
     """``order``: the columns of the total order, NULLs last; ``part``: a
@@ -40,3 +48,20 @@ def dense_id(df: DataFrame, order: Sequence[str], part: Column, id_col: str = "i
     numbered = rows.withColumn("_rn", F.row_number().over(along))
     joined = numbered.join(offsets, first.eqNullSafe(F.col("_first")) & F.col("_part").eqNullSafe(F.col("_p")))
     return joined.select((F.col("_offset") + F.col("_rn")).alias(id_col), *df.columns)
+
+
+def ranged_id(df: DataFrame, order: Sequence[str], id_col: str = "id") -> DataFrame:
+    """``order``: the columns of the total order, NULLs last. Rows equal in all
+    of them take their numbers in any order. Runs one job at once."""
+    ensure_checkpoint_dir(df.sparkSession)
+    along = [F.col(c).asc_nulls_last() for c in order]
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The id's upper bits number the ranges, in order; the lower 33 the rows inside.
+    placed = (df.repartitionByRange(ranges, *along).sortWithinPartitions(*along)
+              .withColumn("_at", F.monotonically_increasing_id()).checkpoint())
+    part, inside = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = placed.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return (placed.join(F.broadcast(offsets), part == F.col("_p"))
+            .select((F.col("_offset") + inside + 1).alias(id_col), *df.columns))

@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from scorewatch.operators.surrogate import dense_id
+from scorewatch.operators.surrogate import ranged_id
 from scorewatch.sources.landing import scan_landing_csv
 from scorewatch.sources.schemas import LAKE, RAW, conform
 from scorewatch.sources.versioned import VersionedTable, publish
@@ -38,9 +38,13 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def scan_lake(spark: SparkSession, lake_root: str, table: str) -> DataFrame:
-    """All Parquet files under ``<lake_root>/<table>``; a missing folder
-    logs a warning and gives an empty frame with the same schema."""
+    """All rows of ``<lake_root>/<table>``, of a streaming sink's files or of
+    the batches of a fan-out (``sources.lake_batches``); a missing folder logs a
+    warning and gives an empty frame with the same schema."""
     schema = lake_schema(table)
+    from scorewatch.sources import lake_batches
+    if lake_batches.complete_batches(spark, lake_root, table) or lake_batches.has_compacted(spark, lake_root, table):
+        return lake_batches.scan_batches(spark, lake_root, table)
     try:
         return spark.read.schema(schema).parquet(f"{lake_root.rstrip('/')}/{table}")
     except AnalysisException as e:
@@ -52,9 +56,9 @@ def scan_lake(spark: SparkSession, lake_root: str, table: str) -> DataFrame:
 
 def raw_movements(landing: DataFrame) -> DataFrame:
     """Landing rows to ``raw.card_movements``: dense id in (source_date, all
-    columns) order, ``sourced_from`` always NULL. Rows are numbered per date and
-    thousand of card ids, and offset by the counts before."""
-    return conform(dense_id(landing, MOVEMENT_ORDER, F.floor(F.col("card_id") / 1000)), RAW["card_movements"])
+    columns) order, ``sourced_from`` always NULL. Rows are numbered per sampled
+    range of that order, and offset by the counts before."""
+    return conform(ranged_id(landing, MOVEMENT_ORDER), RAW["card_movements"])
 
 
 def read_raw_source(spark: SparkSession, table: str, lake_root: str, landing_root: str) -> DataFrame:

@@ -20,10 +20,11 @@ _POINTER = "part string, folder string, table_schema string, note string"
 
 
 class PartitionedTable:
-    """``part``: the partition column, a date or a number."""
+    """``parts``: the partition columns, dates, numbers or plain words. A
+    partition is named by its value, of several columns joined by ``/``."""
 
-    def __init__(self, spark: SparkSession, root: str, part: str):
-        self.spark, self.root, self.part = spark, root.rstrip("/"), part
+    def __init__(self, spark: SparkSession, root: str, *parts: str):
+        self.spark, self.root, self.parts = spark, root.rstrip("/"), parts
         self.pointer = VersionedTable(spark, f"{self.root}/_parts")
 
     def version(self) -> int:
@@ -65,12 +66,12 @@ class PartitionedTable:
         folders, _, _ = self._state()
         n = self.version() + 1
         folder = f"{self.root}/w={n}"
-        (layout(df) if layout else df).write.mode("overwrite").options(**(options or {})).partitionBy(self.part).parquet(folder)
-        written = self.spark.read.schema(df.schema).parquet(folder).select(F.col(self.part).cast("string")).distinct().collect()
+        (layout(df) if layout else df).write.mode("overwrite").options(**(options or {})).partitionBy(*self.parts).parquet(folder)
+        written = (self.spark.read.schema(df.schema).parquet(folder)
+                   .select(*[F.coalesce(F.col(c).cast("string"), F.lit(NULL_PART)).alias(c) for c in self.parts]).distinct().collect())
         now = {p: f for p, f in folders.items() if p not in set(touched)}
-        for (value,) in written:
-            value = NULL_PART if value is None else value
-            now[value] = f"{folder}/{self.part}={value}"
+        for row in written:
+            now["/".join(row)] = "/".join([folder, *[f"{c}={v}" for c, v in zip(self.parts, row)]])
         rows = [(None, None, df.schema.json(), note), *[(p, f, None, None) for p, f in sorted(now.items())]]
         self.pointer.commit(self.spark.createDataFrame(rows, _POINTER).coalesce(1))
         return n

@@ -61,11 +61,26 @@ def card_events(pages: DataFrame, ingested_at: Column | None = None,
     return encode_card_events(anon).select(F.lit(CARD_TOPIC).alias("topic"), "key", "value")
 
 
-def publish_card_events(events: DataFrame, bootstrap: str | None = None, path: str | None = None) -> None:
-    """Write card events to the broker topic, or as JSON lines to ``path``."""
+def batch_of(pages: DataFrame, value_col: str = "value") -> str:
+    """A name for a set of feed pages that follows from their content, in
+    whatever order and files they come."""
+    row = pages.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(value_col)).alias("x"),
+                    F.sum(F.crc32(F.coalesce(F.col(value_col), F.lit("")).cast("binary"))).alias("c")).first()
+    return f"{row['n']}-{(row['x'] or 0) & ((1 << 64) - 1):016x}-{row['c'] or 0}"
+
+
+def publish_card_events(events: DataFrame, bootstrap: str | None = None, path: str | None = None,
+                        batch: str | None = None) -> None:
+    """Write card events to the broker topic, or as JSON lines to ``path``.
+    With ``batch`` they are the events of that batch: in a folder of their own,
+    written over what an earlier run of the same batch left, so that publishing a
+    batch twice gives one set of events (a broker gets them again; the decoded
+    cards keep one row per card)."""
     if bootstrap:
         (events.select("key", "value").write.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap).option("topic", CARD_TOPIC).save())
+    elif path and batch is not None:
+        events.write.mode("overwrite").json(f"{path.rstrip('/')}/batch={batch}")
     elif path:
         events.write.mode("append").json(path)
     else:

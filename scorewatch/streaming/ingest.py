@@ -6,7 +6,7 @@ date as zero-padded ``year/month/day`` strings and appends Parquet
 partitioned by them. The file sink and the checkpoint give exactly-once
 files: a stopped query resumes from its checkpoint and replays only the
 unfinished micro-batch. Late events simply land in their own date's
-partition.
+partition. :func:`start_fanout` reads the source once for all tables instead.
 
 Sources are pluggable: :func:`kafka_source` for a broker (needs the Kafka
 connector on the classpath), :func:`file_source` for JSON-lines files with
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from scorewatch.functions import constants as K
+from scorewatch.sources.lake_batches import is_complete, write_batch
 from scorewatch.streaming.decode import DECODERS, unwrap_cdc
 
 # --- fixed values: topics and the table each feeds ------------------------
@@ -115,3 +116,31 @@ def start_ingest(events: DataFrame, lake_root: str, checkpoint_root: str,
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{flush_seconds} seconds")
         queries.append(w.start(f"{lake_root.rstrip('/')}/{route.table}"))
     return queries
+
+
+def start_fanout(events: DataFrame, lake_root: str, checkpoint_root: str, selector: str | None = None,
+                 available_now: bool = False, flush_seconds: int = K.SINK_FLUSH_SECONDS) -> StreamingQuery:
+    """One query for all selected tables: each batch of the source is read
+    once, kept while its tables are written, one after the other
+    (``sources.lake_batches``). A batch that was interrupted is done again with
+    the same rows under the same number: tables that have it whole are passed over,
+    the others write over what the attempt before left.
+
+    Several topics of a broker go in as the union of their sources."""
+    routes = select_topics(selector)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        left = [r for r in routes if not is_complete(batch.sparkSession, lake_root, r.table, batch_id)]
+        if not left:
+            return
+        batch = batch.persist()
+        try:
+            for route in left:
+                write_batch(to_lake_rows(batch, route), lake_root, route.table, batch_id)
+        finally:
+            batch.unpersist()
+
+    w = (events.writeStream.foreachBatch(write).queryName("ingest_fanout")
+         .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/fanout"))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{flush_seconds} seconds")
+    return w.start()

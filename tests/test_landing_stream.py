@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from scorewatch.operators.surrogate import dense_id
+from scorewatch.operators.surrogate import dense_id, ranged_id
 from scorewatch.sources.landing import scan_landing_csv
 from scorewatch.sources.lake import lake_to_raw, load_raw, read_raw, scan_lake
 from scorewatch.sources.schemas import LAKE
@@ -48,6 +48,23 @@ def test_dense_id_is_total_and_gapless(spark):
     assert keys == sorted(keys)
 
 
+def test_ranged_id_splits_a_hot_card(spark):
+    """One card with a third of a day's rows: ids are total and gapless, and no
+    range holds more than its share."""
+    day = spark.range(0, 60_000, 1, 6).select(
+        F.when(F.col("id") % 50 == 0, None).when(F.col("id") % 50 < 40, "2024-01-02").otherwise("2024-01-01").alias("d"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 977).alias("card"), (F.col("id") * 7919 % 60_013).alias("v"))
+    day = day.unionByName(spark.createDataFrame([("2024-01-01", None, 5), (None, None, None), ("2024-01-02", 7, None)], day.schema))
+    out = ranged_id(day, ["d", "card", "v"])
+    rows = sorted(out.collect(), key=lambda r: r.id)
+    assert [r.id for r in rows] == list(range(1, 60_004))
+    keys = [tuple((x is None, x or (0 if i else "")) for i, x in enumerate(r[1:])) for r in rows]
+    assert keys == sorted(keys)
+    hot = out.filter("card = 7").groupBy("d", F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    assert hot < 20_000 / 2  # of 20,000 rows of the card
+    assert ranged_id(day.limit(0), ["d", "card", "v"]).count() == 0
+
+
 def test_dense_id_is_lazy(spark):
     before = spark.sparkContext.statusTracker().getJobIdsForGroup()
     dense_id(spark.range(100).select(F.col("id").alias("d"), F.col("id").alias("v")), ["d", "v"], F.col("v"))
