@@ -24,7 +24,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from scorewatch.sources.schemas import LAKE_CARD, LAKE_TRANSACTION, LAKE_USER, WIRE_CARD, \
     WIRE_TRANSACTION, WIRE_USER
 
-_ISO_DATE = r"^\s*\d{4}-\d{2}-\d{2}"
+#: The usual form, which Spark's cast reads as it is.
+_ISO_PLAIN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
+#: Any ISO-8601 calendar form: with or without separators, any one character
+#: before the time, hours alone, a point or comma before any number of decimals.
+_ISO_ANY = (r"(?s)^(\d{4})(-?)(\d{2})\2(\d{2})(?:Z|.(\d{2})(?:(:?)(\d{2})(?:\6(\d{2})(?:[.,](\d+))?)?)?"
+            r"(?:Z|([+-]\d{2})(?::?(\d{2}))?)?)?$")
 _NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$|^\s*[+-]?(nan|inf|infinity)\s*$"
 
 _ENVELOPE = T.StructType([
@@ -38,9 +43,15 @@ _ENVELOPE = T.StructType([
 
 
 def parse_iso_ts(c: Column) -> Column:
-    """ISO-8601 text to UTC ``timestamp_ntz``; anything else is NULL."""
-    ok = c.rlike(_ISO_DATE)
-    return F.when(ok, c.try_cast("timestamp").cast("timestamp_ntz"))
+    """ISO-8601 text to UTC ``timestamp_ntz``; anything else is NULL. Decimals
+    beyond microseconds are cut off."""
+    group = lambda i: F.regexp_extract(c, _ISO_ANY, i)
+    or_00 = lambda i: F.when(group(i) == "", "00").otherwise(group(i))
+    spelt = F.concat(group(1), F.lit("-"), group(3), F.lit("-"), group(4), F.lit("T"), or_00(5), F.lit(":"), or_00(7), F.lit(":"), or_00(8),
+                     F.lit("."), F.rpad(F.substring(group(9), 1, 6), 6, "0"),
+                     F.when(group(10) == "", "Z").otherwise(F.concat(group(10), F.lit(":"), or_00(11))))
+    text = F.when(c.rlike(_ISO_PLAIN), c).when(c.rlike(_ISO_ANY), spelt)
+    return text.try_cast("timestamp").cast("timestamp_ntz")
 
 
 def parse_number(c: Column) -> Column:

@@ -59,7 +59,8 @@ def select_topics(selector: str | None = None) -> list[Route]:
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str,
                  max_offsets_per_trigger: int | None = None,
-                 min_partitions: int | None = None) -> DataFrame:
+                 min_partitions: int | None = None, flush_rows: int | None = None,
+                 flush_seconds: int = K.SINK_FLUSH_SECONDS) -> DataFrame:
     """Broker source from the earliest offset; rows ``topic, key, value``.
 
     A trigger takes all offsets there are; ``max_offsets_per_trigger`` limits
@@ -67,6 +68,10 @@ def kafka_source(spark: SparkSession, bootstrap: str, topic: str,
 
     ``min_partitions`` splits large topic partitions into more Spark tasks
     (a topic with few partitions does not cap the decode parallelism).
+
+    ``flush_rows``: a batch begins once that many rows wait, or
+    ``flush_seconds`` after the last one, whichever is first; use it with a
+    trigger that doesn't wait itself (``flush_seconds=0`` of the sink).
     """
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap)
@@ -76,6 +81,8 @@ def kafka_source(spark: SparkSession, bootstrap: str, topic: str,
         r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     if min_partitions:
         r = r.option("minPartitions", min_partitions)
+    if flush_rows:
+        r = r.option("minOffsetsPerTrigger", flush_rows).option("maxTriggerDelay", f"{flush_seconds}s")
     return (r.load()
             .select(F.col("topic"), F.col("key").cast("string"), F.col("value").cast("string")))
 

@@ -116,3 +116,20 @@ def test_cards_command(spark, tmp):
     assert [(r.topic, r.key) for r in ev] == [("cards.api", "3")]
     body = json.loads(ev[0].value)
     assert body["pan_last_masked"] == "**** **** **** 0004" and "cvv" not in body
+
+
+def test_iso_timestamps(spark):
+    """As the sink's parser reads them: every ISO-8601 calendar form, nothing else."""
+    import datetime as dt
+    utc = lambda *a: dt.datetime(*a)
+    cases = {
+        "2024-01-02T10:11:12Z": utc(2024, 1, 2, 10, 11, 12), "2024-01-02 10:11:12.5": utc(2024, 1, 2, 10, 11, 12, 500000),
+        "20240102T101112": utc(2024, 1, 2, 10, 11, 12), "20240102T101112.123456789Z": utc(2024, 1, 2, 10, 11, 12, 123456),
+        "2024-01-02T10:11:12,25+02:00": utc(2024, 1, 2, 8, 11, 12, 250000), "2024-01-02T10:11-0330": utc(2024, 1, 2, 13, 41),
+        "2024-01-02T10+02": utc(2024, 1, 2, 8), "2024-01-02": utc(2024, 1, 2), "20240102": utc(2024, 1, 2), "2024-01-02x10:11": utc(2024, 1, 2, 10, 11),
+        "2024-01-02T101112": utc(2024, 1, 2, 10, 11, 12), "2024-01-02Z": utc(2024, 1, 2), "2024-01-02T10:11:12.1234567Z": utc(2024, 1, 2, 10, 11, 12, 123456),
+        " 2024-01-02T10:11:12Z": None, "2024-01-02T10:11:12Z ": None, "2024-01-02T1:02:03Z": None, "2024-1-2": None, "2024-01-02T10:1": None,
+        "2024-13-02": None, "2024-02-30T00:00:00Z": None, "2024-0102": None, "2024-01-02T10:1112": None, "2024-01-02T": None, "junk": None,
+        "": None, "2024-01-02T25:00:00Z": None, "2024-01": None, "2024-01-02T10:11:12z": None, "2024-01-02T10:11:12.": None}
+    rows = spark.createDataFrame([(k,) for k in cases], "t string").select("t", decode.parse_iso_ts(F.col("t")).alias("at")).collect()
+    assert {r.t: r.at for r in rows} == cases
