@@ -15,8 +15,9 @@ Spark instead, with the same result.
 
 Defined cases: a null url or one without ``://`` has an empty host and path
 and gets the default verdict; repeated rows are judged each; without rules
-every url gets the default; an empty table gives an empty table; other columns
-are not read.
+every url gets the default; of very long urls only the endings and beginnings
+that a rule could have are looked at; an empty table gives an empty table; other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -71,7 +72,10 @@ class DigestArray:
         self.offsets = raw[at: at + 8 * (n + 1)].view("<i8")
         at += 8 * (n + 1)
         self.block, self.strings = raw[at: at + n], raw[at + n: at + n + size]
-        self.path_sizes = sorted({len(self.key(i).split("\n", 1)[1]) for i in range(n)})
+        keys = [self.key(i).split("\n", 1) for i in range(n)]
+        self.path_sizes = sorted({len(p) for _, p in keys})
+        self.label_counts = sorted({h.count(".") + 1 for h, _ in keys})
+        self.longest = max((len(h) for h, _ in keys), default=0)
 
     def key(self, i: int) -> str:
         return self.strings[self.offsets[i]: self.offsets[i + 1]].tobytes().decode()
@@ -94,11 +98,18 @@ class DigestArray:
         return found
 
 
-def probes(host: str, path: str, path_sizes: list[int]) -> list[str]:
-    """Every rule that would fit, as a key."""
-    labels = host.split(".")
-    return [f"{suffix}\n{path[:n]}" for suffix in (".".join(labels[i:]) for i in range(len(labels)))
-            for n in path_sizes if n <= len(path)] if host else []
+def probes(host: str, path: str, index: DigestArray) -> list[str]:
+    """Every rule that would fit, as a key: the host's endings of as many labels
+    as some rule has, no longer than the longest, with the path's beginnings of
+    the rules' lengths. However long the url is, its keys are not."""
+    endings, at = [], len(host)
+    for count in range(1, (index.label_counts[-1] if index.label_counts else 0) + 1):
+        at = host.rfind(".", 0, at)
+        if count in index.label_counts and len(host) - at - 1 <= index.longest:
+            endings.append(host[at + 1:])
+        if at < 0 or len(host) - at > index.longest:
+            break
+    return [f"{ending}\n{path[:n]}" for ending in endings for n in index.path_sizes if n <= len(path)] if host else []
 
 
 def judge(pages: DataFrame, rules: DataFrame, default: str = ALLOW, max_bytes: int = 256 << 20,
@@ -126,7 +137,7 @@ def judge_by_index(urls: DataFrame, name: str, default: str) -> DataFrame:
             hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
             keys, owner = [], []
             for i, (host, path) in enumerate(zip(hosts, paths)):
-                mine = probes(host, path, index.path_sizes)
+                mine = probes(host, path, index)
                 keys += mine
                 owner += [i] * len(mine)
             best: dict[int, tuple[int, int, str]] = {}
@@ -152,9 +163,11 @@ def judge_by_join(urls: DataFrame, rules: DataFrame, default: str) -> DataFrame:
              .agg(F.max(F.col("verdict") == BLOCK).alias("r_block")))
     sizes = [r[0] for r in rules.select(F.length("r_path")).distinct().collect()]
     pairs = urls.select("host", "path").distinct().filter("host <> ''")
-    labels = F.split("host", "\\.")
-    suffix = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    # The host's endings of as many labels as some rule has.
+    counts = [r[0] for r in rules.select(F.size(F.split("r_host", "\\."))).distinct().collect()]
+    dots = F.length("host") - F.length(F.replace("host", F.lit("."), F.lit("")))
+    suffix = F.array_compact(F.array(*[F.when(dots >= c - 1, F.substring_index("host", ".", -c)) for c in counts]
+                                     or [F.lit(None).cast("string")]))
     probed = (pairs.withColumn("r_host", F.explode(suffix))
               .withColumn("n", F.explode(F.array(*[F.lit(n) for n in sizes] or [F.lit(0)])))
               .filter(F.col("n") <= F.length("path")).withColumn("r_path", F.expr("substring(path, 1, n)")))

@@ -84,3 +84,32 @@ def test_collision_is_not_a_match(tmp_path, monkeypatch):
     index = url_filter.DigestArray(str(tmp_path / "i"))
     found = index.find(["a.com\n/", "b.com\n/", "aa.com\n/", "zz\n/"])
     assert [index.key(i) if i >= 0 else None for i in found] == ["a.com\n/", "b.com\n/", None, None]
+
+
+def test_very_long_urls_take_bounded_memory(spark):
+    import tracemalloc
+
+    from scorewatch.llm import url_filter
+    rules = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("a.b.c.d.example.com", "/x", "block"), ("net", "/" + "y" * 50, "block")]
+    hosts = ["a." * 500_000 + "example.com", "." * 1_000_000 + "com", "x" * 1_000_000, "b.c.d.example.com", "a.b.c.d.example.com", ".example.com", ""]
+    urls = [f"http://{h}{p}" for h in hosts for p in ("/en/" + "z" * 1_000_000, "/x", "/")]
+    path = url_filter.build(rules)
+    import tempfile
+    with tempfile.NamedTemporaryFile() as f:
+        f.write(path), f.flush()
+        index = url_filter.DigestArray(f.name)
+        tracemalloc.start()
+        found = [url_filter.probes(h, "/en/" + "z" * 1_000_000, index) for h in hosts]
+        assert tracemalloc.get_traced_memory()[1] < 8 << 20 and max(map(len, found)) <= 3 * 4
+        tracemalloc.stop()
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    listed = spark.createDataFrame(rules, "host string, path string, verdict string")
+    by_index = sorted(map(tuple, url_filter.judge(frame, listed).collect()))
+    assert by_index == sorted(map(tuple, url_filter.judge(frame, listed, max_bytes=0).collect()))
+
+    def brute(host, path):
+        fits = [(h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fits, key=lambda x: len(x[0])) if fits else (None, "allow")
+
+    want = [brute(h, p) for h in hosts for p in ("/en/" + "z" * 1_000_000, "/x", "/")]
+    assert [(r[3], r[4]) for r in by_index] == want
