@@ -15,9 +15,10 @@ of the data is spread over its ranges. Nothing runs before an action.
 
 ``ranged_id`` needs no ranges to be named: Spark samples the whole order and
 cuts it where the rows are, so that one date, or one card of one date, with a
-third of all rows is split by the columns after it. Rows are sorted inside their
-range and written to the checkpoint folder with their place, so that the places
-are the same when a task is run again. The input is read twice, once to sample.
+third of all rows is split by the columns after it. The input is written to the
+checkpoint folder first, so that it is derived once; the rows sorted inside their
+range are written there with their place, so that the places are the same when a
+task is run again.
 """
 
 from __future__ import annotations
@@ -57,7 +58,7 @@ def ranged_id(df: DataFrame, order: Sequence[str], id_col: str = "id") -> DataFr
     along = [F.col(c).asc_nulls_last() for c in order]
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The id's upper bits number the ranges, in order; the lower 33 the rows inside.
-    placed = (df.repartitionByRange(ranges, *along).sortWithinPartitions(*along)
+    placed = (df.checkpoint().repartitionByRange(ranges, *along).sortWithinPartitions(*along)
               .withColumn("_at", F.monotonically_increasing_id()).checkpoint())
     part, inside = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     counts = placed.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
