@@ -61,8 +61,8 @@ def ranged_id(df: DataFrame, order: Sequence[str], id_col: str = "id") -> DataFr
     placed = (df.checkpoint().repartitionByRange(ranges, *along).sortWithinPartitions(*along)
               .withColumn("_at", F.monotonically_increasing_id()).checkpoint())
     part, inside = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = placed.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
-    offsets = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return (placed.join(F.broadcast(offsets), part == F.col("_p"))
+    counts = placed.groupBy(part.alias("_first")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = counts.select("_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return (placed.join(F.broadcast(offsets), part == F.col("_first"))
             .select((F.col("_offset") + inside + 1).alias(id_col), *df.columns))
