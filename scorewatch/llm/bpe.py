@@ -3,7 +3,7 @@
 ``encode`` adds the ids of every whole text, ``decode`` turns ids back into
 the raw bytes. Long texts go to the library piece by piece, cut only where no
 match of the pre-splitting pattern can span the cut, so the ids are those of
-the whole text and the library never holds more than a piece.
+the whole text. A text without such a place, however long, is one piece.
 
 Defined cases: null and empty texts give no ids and decode to no bytes;
 repeated rows are encoded each; an empty table gives an empty table; other

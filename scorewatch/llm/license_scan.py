@@ -17,8 +17,9 @@ to meet their spans.
 Defined cases: words are runs of ASCII letters and digits and of non-ASCII
 characters, A-Z lower-cased; null and empty texts have no words and no label
 (empty string, score 0, no first or last word); rows equal in id and text get
-the same result each; null ids are kept; an empty table gives an empty result;
-extra columns are not read.
+the same result each; null ids are kept; very long texts are scanned whole, a
+task holds one of them at a time; an empty table gives an empty result; extra
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -27,8 +27,9 @@ is a later copy, and its lines are deleted. Overlapping copies count.
 Defined cases: null and empty texts have no lines and stay; blank lines
 belong to no run but go with one that spans them; rows equal in id and text
 are one document; rows of equal id and other text are ordered by text hash;
-null ids come last; an empty table gives an empty result; extra columns are kept
-by ``deduplicated`` and don't matter elsewhere.
+null ids come last; very long texts are many rows, one per line; an empty table
+gives an empty result; extra columns, whatever their names, are kept by
+``deduplicated`` and don't matter elsewhere.
 """
 
 from __future__ import annotations

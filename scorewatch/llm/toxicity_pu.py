@@ -20,8 +20,9 @@ share among positives exceeds that in unlabelled text significantly, at most
 Defined cases: null and empty texts have no features and get the score of the
 intercept; a document with several labels is positive if one of them is 1;
 null labels count as none; without positives every score is the prior;
-repeated rows are scored each; an empty table gives an empty table. Labels,
-lang, source and doc_id are never features.
+repeated rows are scored each; very long texts are scored whole, a task holds one
+of them at a time; an empty table gives an empty table; other columns, whatever
+their names, are not read. Labels, lang, source and doc_id are never features.
 """
 
 from __future__ import annotations

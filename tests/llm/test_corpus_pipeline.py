@@ -87,6 +87,31 @@ def test_registered_and_run(spark, corpus):
     folder = corpus[0]
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in __spark_entry__.oracle_sql()
     names = __spark_entry__.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     out = corpus_pipeline.run(spark, folder)
     assert out.columns == ["doc_id", "ids", "n_tokens", "decoded_sha256"] and out.count() > 250
+
+
+def test_edge_rows_through_all_stages(spark, corpus, tmp_path):
+    """Nulls in every column, empty and very long texts, repeated rows, other
+    columns whose names the stages use inside, and an empty table."""
+    folder = corpus[0]
+    long = "\n".join(f"line {i} of a very long text that stays" for i in range(30_000))
+    rows = [(900, None, None, None, None), (901, "", "en", "s", 0), (902, long, "en", "s", len(long)), (903, "short one", "en", "s", 9),
+            (903, "short one", "en", "s", 9), (None, "text without an id", "en", "s", 18)]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = docs.unionByName(spark.createDataFrame(rows, docs.schema)).selectExpr(
+        "*", "1 AS hash", "2 AS node", "'x' AS key", "3 AS d", "4 AS score", "5 AS block", "6 AS _d", "7 AS line", "8 AS label", "9 AS item_id")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        empty = stage(spark, docs.limit(0), folder)
+        assert empty.columns == columns and empty.count() == 0, name
+        stage(spark, docs, folder).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        assert docs.columns == columns, name
+    left = {r.doc_id: r for r in docs.collect()}
+    assert {902, None} <= set(left) and left[902].text == long and left[902].hash == 1
+    assert sum(r.doc_id == 903 for r in docs.collect()) == 1 or docs.filter("doc_id = 903").distinct().count() == 1
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, docs.limit(0), folder).count() == 0
+    assert last(spark, docs, folder).filter("doc_id = 902").count() == 1
