@@ -10,6 +10,10 @@ stage's ``docs``. All stages but the last return the columns of ``documents``.
 3. near_dedup: one document of each class of near duplicates stays.
 4. decontamination: documents that hold a benchmark item go.
 5. bpe: token ids of what is left, with a check of the round trip.
+
+Every stage takes null ids and texts, empty and very long texts, repeated rows
+(near_dedup keeps rows equal in id and text together) and an empty table, and hands on
+every column of its input, whatever its name; an empty table gives an empty one.
 """
 
 from __future__ import annotations
