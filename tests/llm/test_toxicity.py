@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from scorewatch.llm import toxicity_pu
@@ -70,3 +71,48 @@ def test_edge_rows(spark):
     assert len({r.score for r in none}) == 1
     assert toxicity_pu.scored(df.limit(0), y, fold(5) != 0).count() == 0
     assert toxicity_pu.scored(df, y.limit(0), fold(5) != 0).count() == len(rows)
+
+
+def plain_nn_pu(x, positive, unlabelled, prior, steps, rate=0.05, decay=3e-4, corrected=True):
+    """The estimator from its definition: risks by loops over documents, their
+    gradients by differences, one branch or the other."""
+    import math
+
+    def risk(theta, rows, sign):
+        return sum(math.log1p(math.exp(-sign * (sum(a * b for a, b in zip(theta, r)) + theta[-1]))) for r in rows) / len(rows)
+
+    xp, xu = [list(r) for r in x[positive]], [list(r) for r in x[unlabelled]]
+    theta = [0.0] * x.shape[1] + [math.log(prior / (1 - prior))]
+    m, v, branches = [0.0] * len(theta), [0.0] * len(theta), []
+    for t in range(1, steps + 1):
+        toxic = lambda th: prior * risk(th, xp, 1)
+        clean = lambda th: risk(th, xu, -1) - prior * risk(th, xp, -1)
+        branches.append(clean(theta) >= 0)
+        aim = (lambda th: toxic(th) + clean(th)) if branches[-1] or not corrected else (lambda th: -clean(th))
+        step = []
+        for i in range(len(theta)):
+            up, down = list(theta), list(theta)
+            up[i] += 1e-5
+            down[i] -= 1e-5
+            step.append((aim(up) - aim(down)) / 2e-5 + (decay * theta[i] if i < len(theta) - 1 else 0))
+        m = [0.9 * a + 0.1 * g for a, g in zip(m, step)]
+        v = [0.999 * a + 0.001 * g * g for a, g in zip(v, step)]
+        theta = [a - rate * (b / (1 - 0.9 ** t)) / (math.sqrt(c / (1 - 0.999 ** t)) + 1e-8) for a, b, c in zip(theta, m, v)]
+    return theta, branches
+
+
+@pytest.mark.parametrize("prior,both", [(0.2, False), (0.7, True)])
+def test_risk_and_gradient_against_the_definition(prior, both):
+    rng = np.random.default_rng(3)
+    positive = np.arange(40) < 15
+    x = (rng.random((40, 4)) < np.where(positive[:, None], [0.9, 0.7, 0.5, 0.2], [0.1, 0.3, 0.5, 0.2])).astype(float)
+    x[~positive & (np.arange(40) % 3 == 0)] = [1, 1, 0, 0]  # toxic ones among the unlabelled
+    want, branches = plain_nn_pu(x, positive, ~positive, prior, 60)
+    assert (False in branches) == both and True in branches  # the correction turns negative with the large prior
+    w, b = toxicity_pu.nn_pu(x, positive, ~positive, prior, 60)
+    # Single precision, and Adam's steps of full size on small gradients: equal to
+    # a few hundredths, where leaving the correction out makes a larger difference.
+    assert np.allclose([*w, b], want, atol=0.06)
+    if both:
+        without, _ = plain_nn_pu(x, positive, ~positive, prior, 60, corrected=False)
+        assert np.abs(np.array([*w, b]) - without).max() > 0.2
