@@ -36,10 +36,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, shared_folder, slices, texts, utf8
+from .common import checkpointed, slices, stored, texts, utf8
 from .wordhash import LOWER
 
 END = 0xFF  # not a byte of any UTF-8 text
@@ -211,18 +211,17 @@ def score(docs: DataFrame, train: Column, order: int = ORDER, block_bytes: int =
     which ids the model learns from (an expression over ``doc_id``)."""
     spark = docs.sparkSession
     source = blocks(docs, block_bytes, id_col, text_col).withColumn("train", F.coalesce(train, F.lit(False)))
-    same = Window.partitionBy("code", "word")
-    path = shared_folder(spark, "lm-counts")
-    (occurring(source, order).withColumn("c", F.sum("n").over(same))
-     .withColumn("once", F.row_number().over(same.orderBy("block")) == 1).drop("n").write.parquet(path))
-    counts = spark.read.parquet(path)
-    total = counts.filter("once AND word IS NOT NULL").agg(
+    occurred = stored(occurring(source, order))
+    # A gram's blocks are added up on the map side first: a common one is a row per task.
+    totals = stored(occurred.groupBy("code", "word").agg(F.sum("n").alias("c")))
+    total = totals.filter("word IS NOT NULL").agg(
         F.sum("c").alias("n"), F.sum(F.when(F.col("c") > 0, 1).otherwise(0)).alias("v")).first()
     n, v = int(total.n or 0), int(total.v or 0)
-    values = log_probabilities(counts.filter("once AND code IS NOT NULL").select("code", "c"), order)
-    needed = (counts.filter("code IS NOT NULL").join(values, "code")
+    values = log_probabilities(totals.filter("code IS NOT NULL").select("code", "c"), order)
+    words_of = totals.filter("word IS NOT NULL").select("word", F.col("c").cast("double").alias("value"))
+    needed = (occurred.filter("code IS NOT NULL").join(values, "code")
               .select("block", "code", F.lit(None).cast("binary").alias("word"), F.col("lp").alias("value"))
-              .unionByName(counts.filter("word IS NOT NULL").select("block", "code", "word", F.col("c").cast("double").alias("value"))))
+              .unionByName(occurred.filter("word IS NOT NULL").join(words_of.hint("merge"), "word").select("block", "code", "word", "value")))
     id_type = dict(source.dtypes)["doc_id"]
 
     def run(texts: pa.Table, model: pa.Table) -> pa.Table:
