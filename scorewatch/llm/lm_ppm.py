@@ -201,7 +201,8 @@ def log_probabilities(asked: DataFrame, order: int) -> DataFrame:
 
 
 def _bounded(level: DataFrame, k: int) -> DataFrame:
-    """Levels of up to two bytes have 65,536 rows at most."""
+    """Levels of up to two bytes have 65,536 rows at most; a row's map holds 256
+    symbols at most."""
     return F.broadcast(level) if k <= 1 else level
 
 
