@@ -9,12 +9,14 @@ is a later copy, and its lines are deleted. Overlapping copies count.
 1. Texts that are equal as a whole are one document for the suffix array: the
    copy with the smallest id stands for all, and later copies go whole if they
    have ``min_words`` words. A huge group of copies is so counted once.
-2. Lines that occur once end every run; only repeated lines go on.
+2. Lines that occur once end every run; only repeated lines go on. Lines are told
+   apart by 128 bits.
 3. Distributed prefix doubling: ``rank_h`` of a position is its place in the
    order of all suffixes by their first h lines. ``rank_2h`` is the start of its
    ``rank_h`` bucket plus the number of bucket members whose ``rank_h`` h lines
    further on is smaller. Ranks come from counts of distinct pairs, so a very
-   frequent line is pre-aggregated before it meets its bucket.
+   frequent line is pre-aggregated before it meets its bucket; the running counts
+   of a bucket go over ranges of the following rank, so no window grows with it.
 4. The suffixes that share m lines are an interval of the suffix array whose
    longest common prefix is m or more; it is named by m and the ranks of the
    first and the last 2^j <= m lines. Asking only for the windows that are just long
@@ -24,6 +26,11 @@ is a later copy, and its lines are deleted. Overlapping copies count.
    position stays; the others are later copies. Their windows merge into
    maximal runs.
 
+Whatever a group is given back to its members (copies of a text, places of a
+line, of a pair, of an interval) goes by shares: members are dealt over
+``SHARES`` shares of their group, shares are added up before they meet, and each
+share of a group joins its own members only.
+
 Defined cases: null and empty texts have no lines and stay; blank lines
 belong to no run but go with one that spans them; rows equal in id and text
 are one document; rows of equal id and other text are ordered by text hash;
@@ -40,7 +47,8 @@ from pyspark.sql import functions as F
 from .common import checkpointed, texts
 
 MIN_WORDS = 50
-SPREAD = 4096  # ranges of line ids whose totals one task adds up
+SHARES = 64  # a group's members meet what is known of the group in as many places
+RANGE = 1 << 20  # ranks that one window runs over
 
 
 def _key(text: Column, id_col: str, kind: str) -> Column:
@@ -59,33 +67,58 @@ def _n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"\S+")).cast("long")
 
 
+def _share(*member: str) -> Column:
+    return F.pmod(F.xxhash64(*member), F.lit(SHARES)).cast("int").alias("share")
+
+
+def _ends(rows: DataFrame, keys: list[str], member: Column) -> DataFrame:
+    """keys, share, low, high: smallest and largest member of each group that has
+    more than one, for every share of it that occurs."""
+    group = Window.partitionBy(*keys)  # SHARES rows at most
+    return (rows.groupBy(*keys, "share").agg(F.min(member).alias("low"), F.max(member).alias("high"))
+            .withColumn("low", F.min("low").over(group)).withColumn("high", F.max("high").over(group))
+            .filter("low <> high").drop("high"))
+
+
 def copies(keyed: DataFrame) -> DataFrame:
-    """d, text's digest, and the first document with the same text, of every
-    document that has an earlier copy."""
-    digest = keyed.filter("text <> ''").select("d", F.md5(F.col("text").cast("binary")).alias("digest"))
-    first = (digest.groupBy("digest").agg(F.min("d").alias("first"), F.max("d").alias("last"))
-             .filter("first <> last").drop("last"))
-    return digest.join(first, "digest").filter("d > first").select("d", "first").distinct()
+    """d, and the first document with the same text, of every document that has
+    an earlier copy."""
+    digest = keyed.filter("text <> ''").select("d", F.md5(F.col("text").cast("binary")).alias("digest"), _share("d"))
+    first = _ends(digest, ["digest"], F.col("d")).withColumnRenamed("low", "first")
+    return digest.join(first, ["digest", "share"]).filter("d > first").select("d", "first").distinct()
 
 
 def _lines(keyed: DataFrame) -> DataFrame:
-    """d, i (index among non-blank lines), n (line number), line, w (words)."""
+    """d, i (index among non-blank lines), n (line number), line and line2 (its
+    128 bits), w (words)."""
     numbered = F.transform(F.split("text", "\n"), lambda x, n: F.struct(n.alias("n"), x.alias("x")))
     return (keyed.select("d", F.posexplode(F.filter(numbered, lambda x: x["x"].rlike(r"\S"))).alias("i", "l"))
-            .select("d", "i", F.col("l.n").alias("n"), F.xxhash64("l.x").alias("line"), _n_words(F.col("l.x")).alias("w")))
+            .select("d", "i", F.col("l.n").alias("n"), F.xxhash64("l.x").alias("line"),
+                    F.xxhash64(F.lit("line"), "l.x").alias("line2"), _n_words(F.col("l.x")).alias("w")))
 
 
 def _first_ranks(lines: DataFrame) -> DataFrame:
-    """line, r: number of positions with a smaller line id, of repeated lines.
-    Ids are spread evenly, so fixed ranges of them are even too."""
-    counted = (lines.groupBy("line").agg(F.count("*").alias("c")).filter("c > 1")
-               .withColumn("range", F.shiftright("line", 52)))
-    totals = counted.groupBy("range").agg(F.sum("c").alias("t"))  # SPREAD rows at most
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("range", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("range").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    return (counted.join(totals, "range")
-            .select("line", (F.col("base") + F.coalesce(F.sum("c").over(inside), F.lit(0))).alias("r")))
+    """line, line2, share, r: number of positions with a smaller line id, of
+    repeated lines, for every share of a line that occurs. Ids are spread evenly, so
+    fixed ranges of them are even too: 2^12 coarse ones, each of 2^12 fine ones."""
+    line = Window.partitionBy("line", "line2")
+    shared = (lines.groupBy("line", "line2", "share").agg(F.count("*").alias("c"))
+              .withColumn("c", F.sum("c").over(line)).filter("c > 1"))
+    counted = (shared.groupBy("line", "line2").agg(F.first("c").alias("c"))
+               .withColumn("coarse", F.shiftright("line", 52)).withColumn("fine", F.shiftright("line", 40)))
+    fine = counted.groupBy("coarse", "fine").agg(F.sum("c").alias("t"))
+    coarse = fine.groupBy("coarse").agg(F.sum("t").alias("t"))  # 2^12 rows at most
+
+    def before(name: str, *parts: str) -> Column:
+        return F.coalesce(F.sum(name).over(Window.partitionBy(*parts[:-1]).orderBy(parts[-1])
+                                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    coarse = coarse.select("coarse", before("t", "coarse").alias("base"))
+    fine = fine.join(coarse, "coarse").select("fine", (F.col("base") + before("t", "coarse", "fine")).alias("base"))
+    inside = Window.partitionBy("fine").orderBy("line", "line2").rowsBetween(Window.unboundedPreceding, -1)
+    ranks = counted.join(fine, "fine").select(
+        "line", "line2", (F.col("base") + F.coalesce(F.sum("c").over(inside), F.lit(0))).alias("r"))
+    return shared.select("line", "line2", "share").join(ranks, ["line", "line2"])
 
 
 def _windows(rows: DataFrame, min_words: int) -> DataFrame:
@@ -114,10 +147,20 @@ def _doubled(ranks: DataFrame, h: int) -> DataFrame:
     along = Window.partitionBy("d").orderBy("i")
     pairs = (ranks.withColumn("r2", F.lead("r", h).over(along)).withColumn("i2", F.lead("i", h).over(along))
              .filter(F.col("i2") == F.col("i") + h).select("d", "i", "r", "r2"))
-    below = Window.partitionBy("r").orderBy("r2").rowsBetween(Window.unboundedPreceding, -1)
-    ordered = (pairs.groupBy("r", "r2").agg(F.count("*").alias("c"))
-               .select("r", "r2", (F.col("r") + F.coalesce(F.sum("c").over(below), F.lit(0))).alias("new")))
-    return pairs.join(ordered, ["r", "r2"]).select("d", "i", F.col("new").alias("r"))
+    pairs = pairs.withColumn("share", _share("d", "i"))
+    pair = Window.partitionBy("r", "r2")
+    shared = pairs.groupBy("r", "r2", "share").agg(F.count("*").alias("c")).withColumn("c", F.sum("c").over(pair))
+    counted = (shared.groupBy("r", "r2").agg(F.first("c").alias("c"))
+               .withColumn("range", F.floor(F.col("r2") / RANGE).cast("long")))
+    # A bucket's followers are ranks, so a range of them has RANGE rows at most.
+    earlier = Window.partitionBy("r").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (counted.groupBy("r", "range").agg(F.sum("c").alias("t"))
+              .select("r", "range", F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("base")))
+    below = Window.partitionBy("r", "range").orderBy("r2").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = (counted.join(ranges, ["r", "range"])
+               .select("r", "r2", (F.col("r") + F.col("base") + F.coalesce(F.sum("c").over(below), F.lit(0))).alias("new")))
+    given = shared.select("r", "r2", "share").join(ordered, ["r", "r2"])
+    return pairs.join(given, ["r", "r2", "share"]).select("d", "i", F.col("new").alias("r"))
 
 
 def _covers(windows: DataFrame, rows: DataFrame) -> DataFrame:
@@ -137,9 +180,10 @@ def _covers(windows: DataFrame, rows: DataFrame) -> DataFrame:
     if named is None:
         return windows.select("d", "s", "m", F.col("d").alias("first"))
     place = F.struct("d", "s")
-    interval = (named.groupBy("m", "ra", "rb").agg(F.min(place).alias("f"), F.max(place).alias("l")).filter("f <> l").drop("l"))
-    return (named.join(interval, ["m", "ra", "rb"]).filter(place > F.col("f"))
-            .select("d", "s", "m", F.col("f.d").alias("first")))
+    named = named.withColumn("share", _share("d", "s"))
+    interval = _ends(named, ["m", "ra", "rb"], place)
+    return (named.join(interval, ["m", "ra", "rb", "share"]).filter(place > F.col("low"))
+            .select("d", "s", "m", F.col("low.d").alias("first")))
 
 
 def _merged(covers: DataFrame, rows: DataFrame) -> DataFrame:
@@ -158,8 +202,8 @@ def _merged(covers: DataFrame, rows: DataFrame) -> DataFrame:
 def _found(keyed: DataFrame, min_words: int) -> DataFrame:
     again = checkpointed(copies(keyed))
     single = keyed.select("d", "text").join(again.select("d"), "d", "left_anti") if again.head(1) else keyed.select("d", "text")
-    lines = _lines(single)
-    rows = checkpointed(lines.join(_first_ranks(lines), "line").select("d", "i", "n", "w", "r").distinct())
+    lines = _lines(single).withColumn("share", _share("d", "i"))
+    rows = checkpointed(lines.join(_first_ranks(lines), ["line", "line2", "share"]).select("d", "i", "n", "w", "r").distinct())
     windows = checkpointed(_windows(rows, min_words))
     runs = _merged(_covers(windows, rows), rows).select("d", "first_line", "last_line", "n_words", "first")
     whole = (keyed.join(again, "d").distinct().withColumn("n_words", _n_words(F.col("text"))).filter(F.col("n_words") >= min_words)

@@ -81,3 +81,41 @@ def test_edge_rows(spark):
 def test_one_line_over_and_over(spark):
     df = spark.createDataFrame([(1, "\n".join(["ten words in this line which is repeated many times"] * 20))], "doc_id long, text string")
     assert found(line_dedup.repeated_runs(df)) == brute(dict(df.collect()), 50) == {1: set(range(1, 20))}
+
+
+@pytest.mark.parametrize("shares,width", [(1, 1), (2, 3), (64, 1 << 20)])
+def test_shares_and_ranges_do_not_matter(spark, monkeypatch, shares, width):
+    monkeypatch.setattr(line_dedup, "SHARES", shares)
+    monkeypatch.setattr(line_dedup, "RANGE", width)
+    rnd = random.Random(11)
+    lines = [" ".join(rnd.choices("ab cd ef gh".split(), k=rnd.choice([1, 2, 5]))) for _ in range(6)]
+    docs = {d: "\n".join(rnd.choices(lines, [20, 3, 3, 1, 1, 1], k=rnd.randrange(0, 40))) for d in range(30)}
+    docs |= {d: docs[7] for d in range(30, 45)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    assert found(line_dedup.repeated_runs(df, 12)) == brute(docs, 12)
+
+
+def test_no_share_holds_a_hot_group(spark):
+    """What a group knows goes back to its members by shares: of 6,000 copies of
+    one text, and of a line that a third of all rows have, no join key holds many."""
+    from pyspark.sql import functions as F
+    rows = spark.range(9000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 < 2, "the same text")
+                                    .otherwise(F.concat(F.lit("own "), "id", F.lit("\na common line"))).alias("text"))
+    keyed = line_dedup._keyed(rows, "doc_id", "text")
+    again = line_dedup.copies(keyed)
+    assert again.count() == 5999 and {r.first.id for r in again.select("first").distinct().collect()} == {0}
+    lines = line_dedup._lines(keyed).withColumn("share", line_dedup._share("d", "i"))
+    ranks = line_dedup._first_ranks(lines)
+    assert ranks.select("line", "line2", "r").distinct().count() == 2
+    joined = lines.join(ranks, ["line", "line2", "share"])
+    assert joined.count() == 9000 and joined.groupBy("line", "share").count().agg(F.max("count")).first()[0] < 200
+
+
+def test_first_ranks(spark):
+    rnd = random.Random(3)
+    lines = [(1, i, rnd.choice([rnd.randrange(-2**63, 2**63), 5, 6, -7]), rnd.randrange(2), i % 4) for i in range(400)]
+    got = line_dedup._first_ranks(spark.createDataFrame(lines, "d long, i int, line long, line2 long, share int"))
+    ids = [x[2:4] for x in lines]
+    repeated = [x for x in ids if ids.count(x) > 1]
+    assert {(r.line, r.line2): r.r for r in got.collect()} == {x: sum(y < x for y in repeated) for x in repeated}
+    assert got.count() == len({x[2:5] for x in lines if x[2:4] in repeated})
