@@ -9,10 +9,12 @@ candidates whose upper bound lies under it are compacted away. Scores are
 64-bit integers, and a candidate whose bound equals the bar stays, so the result is
 exact, ties included.
 
-The stated query set goes over all rows in blocks: each block of at most
-``block`` queries is broadcast and every partition of the candidates is
-scanned once, with the bar carried on from batch to batch. A partition hands
-on k rows per query at most.
+The stated query set goes over all rows in blocks: the queries are written once
+to the shared folder, and every task reads them block by block for each stretch
+of candidates of at most ``stretch_bytes``. So a task holds one block of at most
+``block`` queries and one stretch, whatever the tables' sizes; nothing of the
+queries passes through the driver or is broadcast, and the plan is the same for
+any number of them. A stretch hands on k rows per query at most.
 
 Defined cases: vectors that are null, or hold null or non-finite components,
 take no part, nor do rows with a null id; vectors are compared with those of
@@ -28,9 +30,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import shared_folder, store
+
 DIMENSIONS = 16  # a block of dimensions
 
 
@@ -47,15 +53,39 @@ def quantised(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame
                     F.transform(vec, lambda x: F.floor(x * F.lit(float(scale))).cast("long")).alias("v")))
 
 
-def _vertical(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _vertical(vectors: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Ids and the dimensions-by-rows array, for each number of dimensions."""
-    col = batch.column("v")
-    ids = batch.column("vec_id").to_numpy()
-    sizes = np.diff(col.offsets.to_numpy())
-    flat, starts = col.values.to_numpy(zero_copy_only=False), col.offsets.to_numpy()[:-1]
-    for d in np.unique(sizes):
-        rows = np.flatnonzero(sizes == d)
-        yield ids[rows], np.ascontiguousarray(flat[starts[rows][:, None] + np.arange(d)].T)
+    for batch in vectors.combine_chunks().to_batches():
+        col = batch.column("v")
+        ids = batch.column("vec_id").to_numpy()
+        starts = col.offsets.to_numpy()
+        sizes, flat = np.diff(starts), col.values.to_numpy(zero_copy_only=False)
+        for d in np.unique(sizes):
+            rows = np.flatnonzero(sizes == d)
+            yield ids[rows], np.ascontiguousarray(flat[starts[rows][:, None] + np.arange(d)].T)
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[pa.Table]:
+    """Batches put together until they have ``max_bytes``."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= max_bytes:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _blocks(folder: str, block: int) -> Iterator[pa.Table]:
+    """The written queries, ``block`` at most at a time."""
+    files, root = store(folder)
+    for info in sorted(files.get_file_info(fs.FileSelector(root)), key=lambda f: f.path):
+        if info.base_name.endswith(".parquet"):
+            with files.open_input_file(info.path) as source:
+                for batch in pq.ParquetFile(source).iter_batches(block):
+                    yield pa.Table.from_batches([batch])
 
 
 def _remaining(x: np.ndarray) -> np.ndarray:
@@ -65,9 +95,8 @@ def _remaining(x: np.ndarray) -> np.ndarray:
 
 
 def search(ids: np.ndarray, x: np.ndarray, rest: np.ndarray, query: np.ndarray, query_rest: np.ndarray,
-           own: int, k: int, bar: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the candidates that may be among the k best; ``bar``:
-    a score that k others are known to reach."""
+           own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of the candidates that may be among the k best."""
     alive = np.flatnonzero(ids != own)
     score = np.zeros(len(alive), np.int64)
     for b, start in enumerate(range(0, len(x), DIMENSIONS)):
@@ -77,9 +106,8 @@ def search(ids: np.ndarray, x: np.ndarray, rest: np.ndarray, query: np.ndarray,
         if b + 1 < len(rest):
             slack = np.ceil(rest[b + 1, alive] * query_rest[b + 1]) + 1
         low = score - slack
-        reached = np.partition(low, len(low) - k)[len(low) - k] if len(low) >= k else -np.inf
-        at_least = reached if bar is None else max(reached, bar)
-        keep = score + slack >= at_least
+        bar = np.partition(low, len(low) - k)[len(low) - k] if len(low) >= k else -np.inf
+        keep = score + slack >= bar
         if not keep.all():
             alive, score = alive[keep], score[keep]
         if not len(alive):
@@ -88,46 +116,35 @@ def search(ids: np.ndarray, x: np.ndarray, rest: np.ndarray, query: np.ndarray,
 
 
 def top_k(df: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, id_col: str = "vec_id",
-          vec_col: str = "embedding", block: int = 8192) -> DataFrame:
+          vec_col: str = "embedding", block: int = 8192, stretch_bytes: int = 64 << 20) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k best of each query, ties
     to the smaller vec_id."""
-    vectors = quantised(df, id_col, vec_col, scale)
-    asked = quantised(df.filter(is_query), id_col, vec_col, scale).groupBy("vec_id").agg(F.min("v").alias("v"))
-    blocks = max(1, -(-df.filter(is_query).count() // block))
-    found = None
-    for i in range(blocks):
-        rows = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == i).toArrow()
-        part = _over_all(vectors, rows, k)
-        found = part if found is None else found.unionByName(part)
+    folder = shared_folder(df.sparkSession, "queries")
+    asked = quantised(df.filter(is_query), id_col, vec_col, scale)
+    asked.groupBy("vec_id").agg(F.min("v").alias("v")).write.parquet(folder)
+    found = _over_all(quantised(df, id_col, vec_col, scale), folder, k, block, stretch_bytes)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 
 
-def _over_all(vectors: DataFrame, queries: pa.Table, k: int) -> DataFrame:
-    sent = vectors.sparkSession.sparkContext.broadcast(
-        (queries.column("vec_id").to_pylist(), queries.column("v").to_pylist()))
-
+def _over_all(vectors: DataFrame, folder: str, k: int, block: int, stretch_bytes: int) -> DataFrame:
     def run(batches):
-        asked: dict[int, list] = {}
-        for own, v in zip(*sent.value):
-            q = np.array(v, np.int64)
-            asked.setdefault(len(q), []).append((own, q, _remaining(q[:, None])[:, 0] if len(q) else q))
-        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
-            for ids, x in _vertical(batch):
-                rest = _remaining(x) if len(x) else np.zeros((0, len(ids)))
-                for own, q, q_rest in asked.get(len(x), ()):
-                    have = best.get(own)
-                    bar = int(have[1][-1]) if have is not None and len(have[1]) == k else None
-                    new, score = search(ids, x, rest, q, q_rest, own, k, bar)
-                    if have is not None:
-                        new, score = np.concatenate([have[0], new]), np.concatenate([have[1], score])
-                    order = np.lexsort((new, -score))[:k]
-                    best[own] = new[order], score[order]
-        for own, (ids, score) in best.items():
-            if len(ids):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), own), pa.int64()), pa.array(ids, pa.int64()),
-                                                  pa.array(score, pa.int64())], ["query_id", "vec_id", "score"])
+        for stretch in _stretches(batches, stretch_bytes):
+            held = {len(x): (ids, x, _remaining(x) if len(x) else np.zeros((0, len(ids)))) for ids, x in _vertical(stretch)}
+            for queries in _blocks(folder, block):
+                out = []
+                for asked, every in _vertical(queries):
+                    if len(every) not in held:
+                        continue
+                    ids, x, rest = held[len(every)]
+                    every_rest = _remaining(every) if len(every) else every
+                    for own, q, q_rest in zip(asked, np.ascontiguousarray(every.T), every_rest.T):
+                        new, score = search(ids, x, rest, q, q_rest, own, k)
+                        order = np.lexsort((new, -score))[:k]
+                        out.append((np.full(len(order), own), new[order], score[order]))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out)],
+                                                     ["query_id", "vec_id", "score"])
 
     return vectors.mapInArrow(run, "query_id long, vec_id long, score long")

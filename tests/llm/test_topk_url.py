@@ -29,8 +29,21 @@ def test_top_k(spark, dim, block):
     rnd = np.random.default_rng(dim)
     rows = [(i, (rnd.normal(size=dim) / 3).round(1 if i % 3 else 3).astype(np.float32).tolist()) for i in range(120)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
-    got = sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 10 == 0, 6, block=block).collect()))
-    assert got == brute(rows, 6)
+    for stretch in (64 << 20, 1):
+        got = sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 10 == 0, 6, block=block, stretch_bytes=stretch).collect()))
+        assert got == brute(rows, 6)
+
+
+def test_top_k_plan_and_tasks_do_not_grow_with_the_queries(spark, tmp_path):
+    import pyarrow as pa
+    df = spark.range(400).select(F.col("id").alias("vec_id"), F.array(*[F.rand(i) for i in range(5)]).alias("embedding"))
+    few, many = (topk.top_k(df, F.col("vec_id") % n == 0, block=7)._jdf.queryExecution().optimizedPlan().toString() for n in (100, 1))
+    assert few.count("MapInArrow") == many.count("MapInArrow") == 1 and "Union" not in many
+    spark.range(50).select(F.col("id").alias("vec_id"), F.array(F.col("id")).alias("v")).repartition(3).write.parquet(f"{tmp_path}/q")
+    parts = list(topk._blocks(f"{tmp_path}/q", 7))
+    assert max(p.num_rows for p in parts) <= 7 and sorted(i for p in parts for i in p["vec_id"].to_pylist()) == list(range(50))
+    batch = pa.RecordBatch.from_pydict({"vec_id": [1, 2], "v": [[1], [2]]})
+    assert [t.num_rows for t in topk._stretches(iter([batch] * 5), 2 * batch.nbytes)] == [4, 4, 2]
 
 
 def test_top_k_edge_rows(spark):
