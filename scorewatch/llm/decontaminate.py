@@ -11,8 +11,10 @@ that. So a document that holds enough of an item holds ``spare`` hashes of its
 sketch at least, however long it is: the search loses nothing. Candidates are
 verified by the exact share of shingle strings.
 
-Only sketch hashes meet the documents' shingles. The sketch table goes to every
-executor if it has at most ``max_broadcast`` rows (counted); a larger one is
+Items of equal text are one item for the search, so their documents are verified
+once; their ids come back at the end. Only sketch hashes meet the documents'
+shingles. The sketch table and the items' shingle strings each go to every executor
+if they have at most ``max_broadcast`` bytes (added up first); larger ones are
 joined by shuffle.
 
 Defined cases: words are runs of letters and digits, lower-cased; null or
@@ -26,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import checkpointed, texts
 
 WORDS = 5
 LEAST = 0.8
@@ -65,21 +67,28 @@ def item_sketches(items: DataFrame, least: float, spare: int) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, spare: int = 2,
-                 max_broadcast: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text",
+                 max_broadcast: int = 32 << 20, id_col: str = "doc_id", text_col: str = "text",
                  item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """doc_id, item_id, n_shingles (of the item), n_found, containment: every
     pair of a document and an item that it holds, and ``hash`` of the text."""
     source = texts(docs, id_col, text_col).withColumn("d", F.struct("doc_id", F.xxhash64("text").alias("hash")))
-    items = texts(benchmark, item_id_col, item_text_col).distinct().select(
-        F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash")).alias("item"), "text")
-    sketches = item_sketches(items, least, spare)
+    ids = texts(benchmark, item_id_col, item_text_col).distinct().select(
+        F.col("doc_id").alias("item_id"), F.sha2(F.col("text").cast("binary"), 256).alias("item"), "text")
+    items = ids.groupBy("item").agg(F.first("text").alias("text"))
+    sketches = checkpointed(item_sketches(items, least, spare))
     probe = sketches.select("item", "need", F.explode("sketch").alias("h"))
-    small = probe.count() <= max_broadcast
-    sent = F.broadcast if small else lambda df: df
+    key = 64 + 16  # bytes of an item's digest and of what stands beside it
+    sizes = sketches.agg(
+        F.sum((F.lit(key) + 8) * F.size("sketch")).alias("probe"),
+        F.sum(key + F.aggregate("strings", F.lit(0).cast("long"), lambda n, x: n + F.octet_length(x) + 16)).alias("strings")).first()
+
+    def sent(df: DataFrame, size: int | None) -> DataFrame:
+        return F.broadcast(df) if (size or 0) <= max_broadcast else df
+
     occurring = source.withColumn("w", words(F.col("text"))).select("d", F.explode(shingles("w", F.xxhash64)).alias("h"))
-    candidates = (occurring.join(sent(probe), "h").groupBy("d", "item").agg(
+    candidates = (occurring.join(sent(probe, sizes.probe), "h").groupBy("d", "item").agg(
         F.countDistinct("h").alias("hits"), F.first("need").alias("need")).filter("hits >= need").select("d", "item"))
-    held = candidates.join(sent(sketches.select("item", "strings")), "item").groupBy("d").agg(
+    held = candidates.join(sent(sketches.select("item", "strings"), sizes.strings), "item").groupBy("d").agg(
         F.collect_list(F.struct("item", "strings")).alias("asked"))
     # d may hold a null id
     pairs = (held.withColumnRenamed("d", "d2").join(source.select("d", "text"), F.col("d2").eqNullSafe(F.col("d")))
@@ -88,7 +97,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, sp
                  a["item"].alias("item"), F.size(a["strings"]).alias("n_shingles"),
                  F.size(F.array_intersect(a["strings"], F.col("s"))).alias("n_found")))).alias("p"))
              .filter(F.col("p.n_found") >= F.col("p.n_shingles") * least - 1e-9).distinct())
-    return pairs.select(F.col("d.doc_id").alias("doc_id"), F.col("p.item.id").alias("item_id"),
+    named = pairs.withColumn("item", F.col("p.item")).join(ids.select("item", "item_id"), "item")
+    return named.select(F.col("d.doc_id").alias("doc_id"), "item_id",
                         F.col("p.n_shingles").cast("int").alias("n_shingles"), F.col("p.n_found").cast("int").alias("n_found"),
                         (F.col("p.n_found") / F.col("p.n_shingles")).alias("containment"), F.col("d.hash").alias("hash"))
 

@@ -43,7 +43,7 @@ def case():
     return docs, items
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_broadcast": 0}, {"spare": 5}])
+@pytest.mark.parametrize("limits", [{}, {"max_broadcast": 0}, {"max_broadcast": 40_000}, {"spare": 5}])
 def test_same_as_exact_containment(spark, case, limits):
     docs, items = case
     got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
@@ -65,3 +65,14 @@ def test_edge_rows(spark):
     for a, b in ((docs.limit(0), items), (docs, items.limit(0))):
         assert decontaminate.contaminated(a, b).count() == 0
     assert decontaminate.clean(docs, items.limit(0)).count() == 7
+
+
+def test_items_of_equal_text_are_searched_once(spark):
+    text = "one two three four five six seven eight"
+    items = spark.createDataFrame([(i, text) for i in range(300)] + [(None, text), (500, text + " nine")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"a {text} b"), (2, "nothing of it")], "doc_id long, text string")
+    got = decontaminate.contaminated(docs, items)
+    # 4 of the longer item's 5 shingles are there: 0.8.
+    assert sorted((r.item_id if r.item_id is not None else -1, r.n_found) for r in got.collect()) == [
+        (-1, 4), *((i, 4) for i in range(300)), (500, 4)]
+    assert [r.doc_id for r in decontaminate.clean(docs, items).collect()] == [2]
