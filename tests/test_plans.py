@@ -10,7 +10,7 @@ from scorewatch.plans.catalog import QUERIES
 
 from conftest import SF_SMALL
 
-# The dense id's offset window runs over one row per partition (bounded).
+# The dense id's offset window runs over one row per sampled range (bounded).
 UNPARTITIONED_WINDOW_OK = {"movement_surrogate_id", "stg_card_movements", "dq_report", "dq_not_null",
                            "dq_unique"}
 

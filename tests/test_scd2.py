@@ -49,7 +49,7 @@ def test_scd_id_format(spark):
     assert row.h == hashlib.md5(b"7|2024-01-01 00:00:00.000000").hexdigest()
 
 
-def test_long_fold_checkpoints(spark):
+def test_long_fold(spark):
     batches = [spark.createDataFrame([(1, 500 + i, D(2024, 1, 1 + i))], S) for i in range(6)]
     runs = [ntz(f"2024-01-{10 + i:02d} 00:00:00") for i in range(5)]
     snap = scd2.snapshot_batches(batches, runs)
